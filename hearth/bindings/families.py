@@ -1 +1,257 @@
-"""Source-family compositions bound to the benchmark tables (filled in below)."""
+"""Source families run on a market panel derived from the benchmark tables.
+
+The panel is what the published housing files are: one row per region and
+month (and property type) with levels, plus month-over-month, year-over-year
+and versus-national changes. It is built from lineitem, orders, customer,
+nation and region (lines pre-aggregated per order before the big join), so
+its cost grows with the tables. Each family then runs its real transform on
+a landed frame shaped like its source file, and the oracle SQL recomputes the
+same target layout in DuckDB.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from hearth.bindings import binding, table
+from hearth.functions import yyyymm
+from hearth.operators import fits
+from hearth.plans import families as fam
+from hearth.plans import specs as S
+
+RUN_TS = dt.datetime(2025, 1, 15, 6, 30, 0)
+RUN_DATE = dt.date(2025, 1, 15)
+
+# ---------------------------------------------------------------------------
+# Panel (Spark)
+
+PANEL_KEYS = ["n_nationkey", "n_name", "n_regionkey", "r_name"]
+
+
+def market_panel(spark, sf) -> DataFrame:
+    """(nation, month, order status) -> exact aggregates of the order lines."""
+    li = table(spark, sf, "lineitem")
+    per_order = li.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("units"),
+        F.max("l_extendedprice").alias("top_price"), F.min("l_extendedprice").alias("low_price"),
+        F.count_if(F.col("l_tax") > 0.04).alias("taxed"), F.count_if(F.col("l_discount") > 0.05).alias("discounted"),
+        F.count_if(F.col("l_linestatus") == "O").alias("open_lines"),
+        F.count_if(F.col("l_returnflag") == "R").alias("returned"),
+        F.min("l_discount").alias("min_disc"), F.max("l_shipdate").alias("last_ship"))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    geo = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")) \
+        .select(*PANEL_KEYS)
+    geo = F.broadcast(geo) if fits(geo, 100_000) else geo
+    j = (per_order.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+         .join(c, F.col("o_custkey") == F.col("c_custkey"))
+         .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
+    return j.groupBy(*PANEL_KEYS, F.col("o_orderstatus").alias("status"),
+                     F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month_start")).agg(
+        F.sum("lines").alias("homes_sold"), F.sum("units").alias("units"), F.max("top_price").alias("top_price"),
+        F.min("low_price").alias("low_price"), F.count(F.lit(1)).alias("orders"), F.sum("taxed").alias("taxed"),
+        F.sum("discounted").alias("discounted"), F.sum("open_lines").alias("open"),
+        F.sum("returned").alias("returned"), F.min("min_disc").alias("min_disc"),
+        F.max(F.datediff(F.col("last_ship").cast("date"), F.col("o_orderdate").cast("date"))).alias("max_days"),
+        F.max("o_orderdate").alias("last_order"))
+
+
+def region_month(panel: DataFrame) -> DataFrame:
+    """The panel summed over order status: (nation, month)."""
+    return panel.groupBy(*PANEL_KEYS, "month_start").agg(
+        F.sum("homes_sold").alias("homes_sold"), F.sum("units").alias("units"), F.max("top_price").alias("top_price"),
+        F.min("low_price").alias("low_price"), F.sum("orders").alias("orders"), F.sum("taxed").alias("taxed"),
+        F.sum("discounted").alias("discounted"), F.sum("open").alias("open"), F.sum("returned").alias("returned"),
+        F.min("min_disc").alias("min_disc"), F.max("max_days").alias("max_days"))
+
+
+def _div(a, b):
+    return F.try_divide(a, b)
+
+
+def _ratio_change(x: str, w, k: int):
+    return F.try_divide(F.col(x), F.lag(x, k).over(w)) - 1
+
+
+def _point_change(x: str, w, k: int):
+    return F.col(x) - F.lag(x, k).over(w)
+
+
+# ---------------------------------------------------------------------------
+# Panel (SQL)
+
+PANEL_SQL = """per_order AS (
+  SELECT l_orderkey, count(*) AS lines, sum(l_quantity) AS units, max(l_extendedprice) AS top_price,
+         min(l_extendedprice) AS low_price, count(*) FILTER (WHERE l_tax > 0.04) AS taxed,
+         count(*) FILTER (WHERE l_discount > 0.05) AS discounted, count(*) FILTER (WHERE l_linestatus = 'O') AS open_lines,
+         count(*) FILTER (WHERE l_returnflag = 'R') AS returned, min(l_discount) AS min_disc, max(l_shipdate) AS last_ship
+  FROM lineitem GROUP BY l_orderkey),
+panel AS (
+  SELECT n.n_nationkey, n.n_name, n.n_regionkey, r.r_name, o.o_orderstatus AS status,
+         CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month_start,
+         CAST(sum(p.lines) AS BIGINT) AS homes_sold, sum(p.units) AS units, max(p.top_price) AS top_price,
+         min(p.low_price) AS low_price, CAST(count(*) AS BIGINT) AS orders, CAST(sum(p.taxed) AS BIGINT) AS taxed,
+         CAST(sum(p.discounted) AS BIGINT) AS discounted, CAST(sum(p.open_lines) AS BIGINT) AS open,
+         CAST(sum(p.returned) AS BIGINT) AS returned, min(p.min_disc) AS min_disc,
+         max(datediff('day', CAST(o.o_orderdate AS DATE), CAST(p.last_ship AS DATE))) AS max_days,
+         max(o.o_orderdate) AS last_order
+  FROM per_order p JOIN orders o ON p.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+  GROUP BY n.n_nationkey, n.n_name, n.n_regionkey, r.r_name, o.o_orderstatus, CAST(date_trunc('month', o.o_orderdate) AS DATE)),
+region_month AS (
+  SELECT n_nationkey, n_name, n_regionkey, r_name, month_start, CAST(sum(homes_sold) AS BIGINT) AS homes_sold,
+         sum(units) AS units, max(top_price) AS top_price, min(low_price) AS low_price, CAST(sum(orders) AS BIGINT) AS orders,
+         CAST(sum(taxed) AS BIGINT) AS taxed, CAST(sum(discounted) AS BIGINT) AS discounted, CAST(sum(open) AS BIGINT) AS open,
+         CAST(sum(returned) AS BIGINT) AS returned, min(min_disc) AS min_disc, max(max_days) AS max_days
+  FROM panel GROUP BY n_nationkey, n_name, n_regionkey, r_name, month_start)"""
+
+
+def _w(part: str) -> str:
+    return f"OVER (PARTITION BY {part} ORDER BY month_start)"
+
+
+def _sql_ratio(x: str, part: str, k: int) -> str:
+    return f"{x} / NULLIF(lag({x}, {k}) {_w(part)}, 0) - 1"
+
+
+def _sql_point(x: str, part: str, k: int) -> str:
+    return f"{x} - lag({x}, {k}) {_w(part)}"
+
+
+def _cols(items) -> str:
+    return ",\n    ".join(items)
+
+
+# ---------------------------------------------------------------------------
+# Housing tracker
+
+TRACKER_LEVELS = [
+    ("median_sale_price", "top_price"),
+    ("median_list_price", "low_price"),
+    ("median_ppsf", "top_price / NULLIF(units, 0)"),
+    ("median_list_ppsf", "min_disc * 100"),
+    ("homes_sold", "CAST(homes_sold AS DOUBLE)"),
+    ("pending_sales", "CAST(open AS DOUBLE)"),
+    ("new_listings", "CAST(orders AS DOUBLE)"),
+    ("inventory", "units"),
+    ("months_of_supply", "units / NULLIF(homes_sold, 0)"),
+    ("median_dom", "CAST(max_days AS DOUBLE)"),
+    ("avg_sale_to_list", "low_price / NULLIF(top_price, 0)"),
+    ("sold_above_list", "taxed / NULLIF(homes_sold, 0)"),
+    ("price_drops", "discounted / NULLIF(homes_sold, 0)"),
+    ("off_market_in_two_weeks", "returned / NULLIF(homes_sold, 0)"),
+]
+
+
+def _tracker_levels_spark():
+    c = F.col
+    return [c("top_price"), c("low_price"), _div(c("top_price"), c("units")), c("min_disc") * 100,
+            c("homes_sold").cast("double"), c("open").cast("double"), c("orders").cast("double"), c("units"),
+            _div(c("units"), c("homes_sold")), c("max_days").cast("double"), _div(c("low_price"), c("top_price")),
+            _div(c("taxed"), c("homes_sold")), _div(c("discounted"), c("homes_sold")),
+            _div(c("returned"), c("homes_sold"))]
+
+
+def tracker_landed(spark, sf) -> DataFrame:
+    """A housing-tracker file: one row per (region, month, property type)."""
+    p = market_panel(spark, sf)
+    names = [n for n, _ in TRACKER_LEVELS]
+    lv = p.select(*PANEL_KEYS, "status", "month_start", "last_order",
+                  *[e.alias(n) for n, e in zip(names, _tracker_levels_spark())])
+    w = Window.partitionBy("n_nationkey", "status").orderBy("month_start")
+    changes = []
+    for m in names:
+        rule = _ratio_change if m in S.TRACKER_RATIO_MEASURES else _point_change
+        changes += [rule(m, w, 1).alias(f"{m}_mom"), rule(m, w, 12).alias(f"{m}_yoy")]
+    st = F.col("status")
+    return lv.select(
+        F.col("month_start").alias("period_begin"), F.last_day("month_start").alias("period_end"),
+        (F.datediff(F.last_day("month_start"), F.col("month_start")) + 1).alias("period_duration"),
+        F.lit("nation").alias("region_type"),
+        F.when(F.col("n_regionkey") != 0, F.col("n_regionkey")).alias("region_type_id"),
+        F.col("n_nationkey").alias("table_id"),
+        F.when(st == "F", "t").otherwise("f").alias("is_seasonally_adjusted"),
+        F.concat(F.lit("  "), F.col("n_name"), F.lit(" ")).alias("region"),
+        F.lit(None).cast("string").alias("city"),
+        F.when(F.col("n_nationkey") == 24, F.lit("U.S.")).otherwise(F.col("r_name")).alias("state"),
+        F.when(F.col("n_regionkey") != 0, F.substring("r_name", 1, 2)).alias("state_code"),
+        F.when(st == "F", "All Residential").when(st == "O", "Condo/Co-op").otherwise("Townhouse").alias("property_type"),
+        F.when(st == "F", "-1").when(st == "O", "3").otherwise("n/a").alias("property_type_id"),
+        *[F.col(m) for m in names], *changes,
+        F.col("r_name").alias("parent_metro_region"),
+        F.when(F.col("n_regionkey") != 0, F.col("n_regionkey").cast("string")).alias("parent_metro_region_metro_code"),
+        F.col("last_order").alias("last_updated"))
+
+
+def tracker_sql() -> str:
+    part = "n_nationkey, status"
+    names = [n for n, _ in TRACKER_LEVELS]
+    changes = []
+    for m in names:
+        rule = _sql_ratio if m in S.TRACKER_RATIO_MEASURES else _sql_point
+        changes += [f"{rule(m, part, 1)} AS {m}_mom", f"{rule(m, part, 12)} AS {m}_yoy"]
+    landed = [
+        "month_start AS period_begin", "last_day(month_start) AS period_end",
+        "datediff('day', month_start, last_day(month_start)) + 1 AS period_duration",
+        "'nation' AS region_type", "CASE WHEN n_regionkey <> 0 THEN n_regionkey END AS region_type_id",
+        "n_nationkey AS table_id", "CASE WHEN status = 'F' THEN 't' ELSE 'f' END AS is_seasonally_adjusted",
+        "'  ' || n_name || ' ' AS region", "CAST(NULL AS VARCHAR) AS city",
+        "CASE WHEN n_nationkey = 24 THEN 'U.S.' ELSE r_name END AS state",
+        "CASE WHEN n_regionkey <> 0 THEN substr(r_name, 1, 2) END AS state_code",
+        "CASE WHEN status = 'F' THEN 'All Residential' WHEN status = 'O' THEN 'Condo/Co-op' ELSE 'Townhouse' END AS property_type",
+        "CASE WHEN status = 'F' THEN '-1' WHEN status = 'O' THEN '3' ELSE 'n/a' END AS property_type_id",
+        *names, *changes,
+        "r_name AS parent_metro_region",
+        "CASE WHEN n_regionkey <> 0 THEN CAST(n_regionkey AS VARCHAR) END AS parent_metro_region_metro_code",
+        "last_order AS last_updated"]
+    measure_cols = names + [f"{m}_mom" for m in names] + [f"{m}_yoy" for m in names]
+    clean = (["CAST(period_begin AS DATE) AS period_begin", "CAST(period_end AS DATE) AS period_end"]
+             + [f"coalesce(CAST({c} AS INTEGER), 0) AS {c}" for c in S.TRACKER_INT_DEFAULTS]
+             + [f"coalesce(trim(CAST({c} AS VARCHAR)), 'NA') AS {c}" for c in S.TRACKER_TEXT_TRIMMED]
+             + ["replace(coalesce(trim(CAST(state AS VARCHAR)), 'NA'), 'U.S.', 'US') AS state",
+                "coalesce(abs(TRY_CAST(property_type_id AS INTEGER)), 0) AS property_type_id"]
+             + [f"coalesce(CAST({c} AS DOUBLE), 0) AS {c}" for c in measure_cols]
+             + [f"coalesce(CAST({c} AS VARCHAR), 'NA') AS {c}" for c in S.TRACKER_TEXT_UNTRIMMED]
+             + ["CAST(last_updated AS TIMESTAMP) AS last_updated"])
+    ident = ["period_begin", "period_end", "period_duration", "region_type", "region_type_id", "table_id",
+             "is_seasonally_adjusted", "region", "city", "state", "state_code", "property_type", "property_type_id"]
+    prior = list(ident) + names
+    for suffix, src in (("_lm", "_mom"), ("_ly", "_yoy")):
+        for m in names:
+            if m in S.TRACKER_RATIO_MEASURES:
+                prior.append(f"{m} / NULLIF(1 + {m}{src}, 0) AS {m}{suffix}")
+            elif m in S.TRACKER_SUM_MEASURES:
+                prior.append(f"{m} + {m}{src} AS {m}{suffix}")
+            else:
+                prior.append(f"{m} - {m}{src} AS {m}{suffix}")
+    prior += S.TRACKER_TEXT_UNTRIMMED + ["last_updated"]
+    publish = list(ident)
+    for suffix in ("", "_lm", "_ly"):
+        def v(n):
+            return f"coalesce({n}{suffix}, 0)"
+        for m in S.TRACKER_RATIO_MEASURES + ["months_of_supply", "median_dom", "avg_sale_to_list"]:
+            if m in S.TRACKER_FOUR_PLACES:
+                publish.append(f"round({v(m)}, 4) AS {m}{suffix}")
+            else:
+                publish.append(f"CAST(round({v(m)}, 0) AS INTEGER) AS {m}{suffix}")
+        for rate, out in S.TRACKER_RATE_COUNTS:
+            publish.append(f"CAST(round({v(rate)} * {v('homes_sold')}, 0) AS INTEGER) AS {out}{suffix}")
+        for out, price, ppsf in S.TRACKER_SIZES:
+            publish.append(f"CAST(CASE WHEN {v(ppsf)} = 0 THEN 0 ELSE round({v(price)} / {v(ppsf)}, 0) END AS INTEGER)"
+                           f" AS {out}{suffix}")
+    publish += S.TRACKER_TEXT_UNTRIMMED + ["last_updated", "'2025-01-15 06:30' AS nk_update_date"]
+    levels = [f"{e} AS {n}" for n, e in TRACKER_LEVELS]
+    return (f"WITH {PANEL_SQL},\nlv AS (SELECT n_nationkey, n_name, n_regionkey, r_name, status, month_start, last_order,\n"
+            f"    {_cols(levels)} FROM panel),\n"
+            f"landed AS (SELECT {_cols(landed)} FROM lv),\n"
+            f"clean AS (SELECT {_cols(clean)} FROM landed),\n"
+            f"prior AS (SELECT {_cols(prior)} FROM clean)\n"
+            f"SELECT {_cols(publish)} FROM prior")
+
+
+@binding("family_housing_tracker", tracker_sql())
+def family_housing_tracker_q(spark, sf):
+    return fam.tracker_transform(tracker_landed(spark, sf), RUN_TS)
