@@ -255,3 +255,197 @@ def tracker_sql() -> str:
 @binding("family_housing_tracker", tracker_sql())
 def family_housing_tracker_q(spark, sf):
     return fam.tracker_transform(tracker_landed(spark, sf), RUN_TS)
+
+
+# ---------------------------------------------------------------------------
+# Monthly inventory (zip level: padded postal code, state from 'place, ST')
+
+INVENTORY_LEVELS = [
+    ("median_listing_price", "top_price"),
+    ("active_listing_count", "units"),
+    ("median_days_on_market", "CAST(max_days AS DOUBLE)"),
+    ("new_listing_count", "CAST(orders AS DOUBLE)"),
+    ("price_increased_count", "CAST(taxed AS DOUBLE)"),
+    ("price_reduced_count", "CAST(discounted AS DOUBLE)"),
+    ("pending_listing_count", "CAST(open AS DOUBLE)"),
+    ("median_listing_price_per_square_foot", "top_price / NULLIF(units, 0)"),
+    ("median_square_feet", "units / NULLIF(orders, 0)"),
+    ("average_listing_price", "low_price"),
+    ("total_listing_count", "CAST(homes_sold AS DOUBLE)"),
+    ("pending_ratio", "open / NULLIF(homes_sold, 0)"),
+]
+
+
+def _inventory_levels_spark():
+    c = F.col
+    return [c("top_price"), c("units"), c("max_days").cast("double"), c("orders").cast("double"),
+            c("taxed").cast("double"), c("discounted").cast("double"), c("open").cast("double"),
+            _div(c("top_price"), c("units")), _div(c("units"), c("orders")), c("low_price"),
+            c("homes_sold").cast("double"), _div(c("open"), c("homes_sold"))]
+
+
+def _zip_columns_spark():
+    return [(F.col("n_nationkey") * 397 + 601).cast("string").alias("postal_code"),
+            F.when(F.col("n_nationkey") == 3, F.col("n_name"))
+             .otherwise(F.concat(F.col("n_name"), F.lit(", "), F.col("r_name"))).alias("zip_name")]
+
+
+ZIP_SQL = ["CAST(n_nationkey * 397 + 601 AS VARCHAR) AS postal_code",
+           "CASE WHEN n_nationkey = 3 THEN n_name ELSE n_name || ', ' || r_name END AS zip_name"]
+PAD_SQL = "CASE WHEN length(postal_code) < 5 THEN lpad(postal_code, 5, '0') ELSE postal_code END"
+
+
+def _with_footer(spark, landed: DataFrame) -> DataFrame:
+    """The published files end with a disclaimer line in the period column."""
+    footer = spark.createDataFrame([(S.FOOTER_TEXT,)], "month_date_yyyymm string")
+    return landed.unionByName(footer, allowMissingColumns=True)
+
+
+def inventory_landed(spark, sf) -> DataFrame:
+    rm = region_month(market_panel(spark, sf))
+    names = [n for n, _ in INVENTORY_LEVELS]
+    lv = rm.select(*PANEL_KEYS, "month_start", "returned", "taxed",
+                   *[e.alias(n) for n, e in zip(names, _inventory_levels_spark())])
+    w = Window.partitionBy("n_nationkey").orderBy("month_start")
+    changes = []
+    for m in names:
+        changes += [_ratio_change(m, w, 1).alias(f"{m}_mm"), _ratio_change(m, w, 12).alias(f"{m}_yy")]
+    landed = lv.select(yyyymm("month_start").cast("string").alias("month_date_yyyymm"), *_zip_columns_spark(),
+                       *[F.col(m) for m in names], *changes,
+                       F.when(F.col("returned") > F.col("taxed"), F.lit(1.0)).alias("quality_flag"))
+    return _with_footer(spark, landed)
+
+
+def inventory_sql() -> str:
+    names = [n for n, _ in INVENTORY_LEVELS]
+    levels = [f"{e} AS {n}" for n, e in INVENTORY_LEVELS]
+    changes = []
+    for m in names:
+        changes += [f"{_sql_ratio(m, 'n_nationkey', 1)} AS {m}_mm", f"{_sql_ratio(m, 'n_nationkey', 12)} AS {m}_yy"]
+    landed = (["CAST(strftime(month_start, '%Y%m') AS INTEGER) AS month_date_yyyymm"] + ZIP_SQL + names + changes
+              + ["CASE WHEN returned > taxed THEN 1.0 END AS quality_flag"])
+    out = ["month_date_yyyymm", f"{PAD_SQL} AS zip_code", "string_split(zip_name, ', ')[-1] AS state"]
+    out += [f"CAST(trunc(coalesce({m}, 0)) AS INTEGER) AS {m}" if m == "median_listing_price"
+            else f"coalesce({m}, 0) AS {m}" for m in names]
+    out.append("CAST(coalesce(quality_flag, 0) AS INTEGER) AS quality_flag")
+    for suffix, src in (("_ly", "_yy"), ("_lm", "_mm")):
+        for m in names:
+            v = f"coalesce({m} / NULLIF(1 + {m}{src}, 0), 0)"
+            out.append(f"{v} AS {m}{suffix}" if f"{m}{suffix}" == "pending_ratio_lm"
+                       else f"round_even({v}, 0) AS {m}{suffix}")
+    out.append("TIMESTAMP '2025-01-15 06:30:00' AS Update_Date")
+    return (f"WITH {PANEL_SQL},\nlv AS (SELECT n_nationkey, n_name, n_regionkey, r_name, month_start, returned, taxed,\n"
+            f"    {_cols(levels)} FROM region_month),\n"
+            f"landed AS (SELECT {_cols(landed)} FROM lv)\n"
+            f"SELECT {_cols(out)} FROM landed")
+
+
+@binding("family_inventory", inventory_sql())
+def family_inventory_q(spark, sf):
+    return fam.inventory_transform(inventory_landed(spark, sf), S.INVENTORY_GEOGRAPHIES["zip"], RUN_TS)
+
+
+# ---------------------------------------------------------------------------
+# Monthly hotness (zip level)
+
+def hotness_landed(spark, sf) -> DataFrame:
+    rm = region_month(market_panel(spark, sf))
+    w = Window.partitionBy("n_nationkey").orderBy("month_start")
+    month = Window.partitionBy("month_start")
+    c = F.col
+    base = rm.select(
+        *PANEL_KEYS, "month_start", "returned", "taxed",
+        (c("n_nationkey") + 1).cast("double").alias("hh_rank"),
+        F.rank().over(Window.partitionBy("month_start").orderBy(c("units").desc())).cast("double").alias("hotness_rank"),
+        (_div(c("units"), c("homes_sold")) * 10).alias("hotness_score"),
+        (_div(c("open"), c("homes_sold")) * 100).alias("supply_score"),
+        (_div(c("taxed"), c("homes_sold")) * 100).alias("demand_score"),
+        c("max_days").cast("double").alias("median_days_on_market"),
+        F.max("max_days").over(month).alias("us_days"),
+        c("orders").cast("double").alias("views"), F.max("orders").over(month).alias("us_views"),
+        c("top_price").alias("median_listing_price"), F.max("top_price").over(month).alias("us_price"))
+    landed = base.select(
+        yyyymm("month_start").cast("string").alias("month_date_yyyymm"), *_zip_columns_spark(), "hh_rank",
+        "hotness_rank", _point_change("hotness_rank", w, 1).alias("hotness_rank_mm"),
+        _point_change("hotness_rank", w, 12).alias("hotness_rank_yy"),
+        "hotness_score", "supply_score", "demand_score", "median_days_on_market",
+        _ratio_change("median_days_on_market", w, 1).alias("median_days_on_market_mm"),
+        _ratio_change("median_days_on_market", w, 12).alias("median_days_on_market_yy"),
+        _point_change("median_days_on_market", w, 1).alias("median_dom_mm_day"),
+        _point_change("median_days_on_market", w, 12).alias("median_dom_yy_day"),
+        (c("median_days_on_market") - c("us_days")).alias("median_dom_vs_us"),
+        _ratio_change("views", w, 1).alias("page_view_count_per_property_mm"),
+        _ratio_change("views", w, 12).alias("page_view_count_per_property_yy"),
+        (_div(c("views"), c("us_views")) - 1).alias("page_view_count_per_property_vs_us"),
+        "median_listing_price",
+        _ratio_change("median_listing_price", w, 1).alias("median_listing_price_mm"),
+        _ratio_change("median_listing_price", w, 12).alias("median_listing_price_yy"),
+        (_div(c("median_listing_price"), c("us_price")) - 1).alias("median_listing_price_vs_us"),
+        F.when(c("returned") > c("taxed"), F.lit(1.0)).alias("quality_flag"))
+    return _with_footer(spark, landed)
+
+
+def hotness_sql() -> str:
+    p = "n_nationkey"
+    base = ["n_nationkey", "n_name", "n_regionkey", "r_name", "month_start", "returned", "taxed",
+            "CAST(n_nationkey + 1 AS DOUBLE) AS hh_rank",
+            "CAST(rank() OVER (PARTITION BY month_start ORDER BY units DESC) AS DOUBLE) AS hotness_rank",
+            "units / NULLIF(homes_sold, 0) * 10 AS hotness_score",
+            "open / NULLIF(homes_sold, 0) * 100 AS supply_score",
+            "taxed / NULLIF(homes_sold, 0) * 100 AS demand_score",
+            "CAST(max_days AS DOUBLE) AS median_days_on_market",
+            "max(max_days) OVER (PARTITION BY month_start) AS us_days",
+            "CAST(orders AS DOUBLE) AS views", "max(orders) OVER (PARTITION BY month_start) AS us_views",
+            "top_price AS median_listing_price", "max(top_price) OVER (PARTITION BY month_start) AS us_price"]
+    landed = ["CAST(strftime(month_start, '%Y%m') AS INTEGER) AS month_date_yyyymm", *ZIP_SQL, "hh_rank",
+              "hotness_rank", f"{_sql_point('hotness_rank', p, 1)} AS hotness_rank_mm",
+              f"{_sql_point('hotness_rank', p, 12)} AS hotness_rank_yy",
+              "hotness_score", "supply_score", "demand_score", "median_days_on_market",
+              f"{_sql_point('median_days_on_market', p, 1)} AS median_dom_mm_day",
+              f"{_sql_point('median_days_on_market', p, 12)} AS median_dom_yy_day",
+              "median_days_on_market - us_days AS median_dom_vs_us",
+              f"{_sql_ratio('views', p, 1)} AS page_view_count_per_property_mm",
+              f"{_sql_ratio('views', p, 12)} AS page_view_count_per_property_yy",
+              "views / NULLIF(us_views, 0) - 1 AS page_view_count_per_property_vs_us",
+              "median_listing_price",
+              f"{_sql_ratio('median_listing_price', p, 1)} AS median_listing_price_mm",
+              f"{_sql_ratio('median_listing_price', p, 12)} AS median_listing_price_yy",
+              "median_listing_price / NULLIF(us_price, 0) - 1 AS median_listing_price_vs_us",
+              "CASE WHEN returned > taxed THEN 1.0 END AS quality_flag"]
+    dec = "DECIMAL(12, 4)"
+
+    def z(e):
+        return f"coalesce({e}, 0)"
+
+    def r2(e):
+        return f"round_even({e}, 2)"
+
+    def r4(e):
+        return f"round_even({e}, 4)"
+    out = ["month_date_yyyymm", f"{PAD_SQL} AS zip_code", "coalesce(zip_name, '') AS zip_name",
+           f"CAST(trunc({z('hh_rank')}) AS INTEGER) AS household_count_rank",
+           f"CAST(trunc({z(r2('hotness_rank'))}) AS INTEGER) AS hotness_rank",
+           f"CAST({z(r4('hotness_score'))} AS {dec}) AS hotness_score",
+           f"CAST({z(r4('supply_score'))} AS {dec}) AS supply_score",
+           f"CAST({z(r4(r2('demand_score')))} AS {dec}) AS demand_score",
+           f"CAST({z('median_days_on_market')} AS {dec}) AS median_days_on_market",
+           *[f"CAST({z(r4(c))} AS {dec}) AS {c}" for c in S.HOTNESS_PAGE_VIEWS],
+           f"CAST(trunc({z('median_listing_price')}) AS INTEGER) AS median_listing_price",
+           f"CAST({z('quality_flag')} AS INTEGER) AS quality_flag",
+           f"CAST(trunc({z(r2('hotness_rank + hotness_rank_mm'))}) AS INTEGER) AS hotness_rank_lm",
+           f"CAST(trunc({z(r2('hotness_rank - hotness_rank_yy'))}) AS INTEGER) AS hotness_rank_ly",
+           f"CAST({z(r4('median_days_on_market - median_dom_yy_day'))} AS {dec}) AS median_days_on_market_ly",
+           f"CAST({z(r4('median_days_on_market - median_dom_mm_day'))} AS {dec}) AS median_days_on_market_lm",
+           f"CAST({z(r4('median_days_on_market - median_dom_vs_us'))} AS {dec}) AS median_days_on_market_us"]
+    for suffix, src in (("_lm", "_mm"), ("_ly", "_yy"), ("_us", "_vs_us")):
+        out.append(f"CAST(trunc({z(r2(f'median_listing_price / NULLIF(1 + median_listing_price{src}, 0)'))}) AS INTEGER)"
+                   f" AS median_listing_price{suffix}")
+    out.append("TIMESTAMP '2025-01-15 06:30:00' AS Update_Date")
+    return (f"WITH {PANEL_SQL},\nbase AS (SELECT {_cols(base)} FROM region_month),\n"
+            f"landed AS (SELECT {_cols(landed)} FROM base)\n"
+            f"SELECT {_cols(out)} FROM landed")
+
+
+@binding("family_hotness", hotness_sql())
+def family_hotness_q(spark, sf):
+    return fam.hotness_transform(hotness_landed(spark, sf), S.HOTNESS_GEOGRAPHIES["zip"], RUN_TS)
