@@ -449,3 +449,183 @@ def hotness_sql() -> str:
 @binding("family_hotness", hotness_sql())
 def family_hotness_q(spark, sf):
     return fam.hotness_transform(hotness_landed(spark, sf), S.HOTNESS_GEOGRAPHIES["zip"], RUN_TS)
+
+
+# ---------------------------------------------------------------------------
+# Investor purchases by quarter: an export whose quarter cell is filled only on
+# the first row of each block, with a blank row after every block.
+
+def investor_landed(spark, sf) -> DataFrame:
+    rm = region_month(market_panel(spark, sf))
+    q = rm.groupBy("n_nationkey", "n_name", F.trunc("month_start", "quarter").alias("quarter_start")).agg(
+        F.sum("taxed").alias("purchases"), F.sum("homes_sold").alias("lines"))
+    w = Window.partitionBy("n_nationkey").orderBy("quarter_start")
+    block = Window.partitionBy("quarter_start")
+    qi = F.year("quarter_start") * 4 + F.quarter("quarter_start") - 1
+    label = F.concat(F.year("quarter_start").cast("string"), F.lit(" Q"), F.quarter("quarter_start").cast("string"))
+    rows = q.select(
+        (qi * 100 + F.col("n_nationkey")).cast("long").alias("row_no"),
+        F.when(F.col("n_nationkey") == F.min("n_nationkey").over(block), label).alias(S.INVESTOR_QUARTER),
+        F.col("n_name").alias(S.INVESTOR_METRO),
+        _div(F.col("purchases"), F.col("lines")).alias(S.INVESTOR_SHARE),
+        F.col("purchases").cast("double").alias(S.INVESTOR_PURCHASES),
+        (_div(F.col("purchases"), F.lag("purchases", 4).over(w)) - 1).alias(S.INVESTOR_YOY))
+    blanks = q.select("quarter_start").distinct().select((qi * 100 + 99).cast("long").alias("row_no"))
+    return rows.unionByName(blanks, allowMissingColumns=True)
+
+
+def investor_sql() -> str:
+    label = "CAST(year(quarter_start) AS VARCHAR) || ' Q' || CAST(quarter(quarter_start) AS VARCHAR)"
+    pat = r"'^(\d{4}) Q([1-4])$'"
+    return f"""WITH {PANEL_SQL},
+q AS (SELECT n_nationkey, n_name, CAST(date_trunc('quarter', month_start) AS DATE) AS quarter_start,
+             sum(taxed) AS purchases, sum(homes_sold) AS lines
+      FROM region_month GROUP BY n_nationkey, n_name, CAST(date_trunc('quarter', month_start) AS DATE)),
+landed AS (
+  SELECT (year(quarter_start) * 4 + quarter(quarter_start) - 1) * 100 + n_nationkey AS row_no,
+         CASE WHEN n_nationkey = min(n_nationkey) OVER (PARTITION BY quarter_start) THEN {label} END AS quarter_text,
+         n_name AS metro, purchases / NULLIF(lines, 0) AS share, CAST(purchases AS DOUBLE) AS bought,
+         purchases / NULLIF(lag(purchases, 4) OVER (PARTITION BY n_nationkey ORDER BY quarter_start), 0) - 1 AS yoy
+  FROM q),
+filled AS (
+  SELECT *, last_value(quarter_text IGNORE NULLS) OVER (ORDER BY row_no
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS qf
+  FROM landed),
+calc AS (
+  SELECT qf, metro, share, bought, yoy,
+         CASE WHEN share = 0 THEN 0 ELSE bought / NULLIF(share, 0) END AS total,
+         CASE WHEN yoy = -1 THEN 0 ELSE bought / NULLIF(1 + yoy, 0) END AS ly
+  FROM filled)
+SELECT coalesce(qf, '') AS "Quarter",
+       CASE WHEN regexp_matches(qf, {pat}) THEN make_date(CAST(regexp_extract(qf, {pat}, 1) AS INTEGER),
+            (CAST(regexp_extract(qf, {pat}, 2) AS INTEGER) - 1) * 3 + 1, 1) END AS start_quarter_date,
+       coalesce(metro, '') AS "Redfin Metro",
+       round_even(coalesce(share, 0), 4) AS "Investor Market Share",
+       coalesce(bought, 0) AS "Investor Purchases",
+       round_even(coalesce(yoy, 0), 4) AS "Investor Purchases YoY",
+       round_even(coalesce(total, 0), 4) AS total_purchases,
+       round_even(coalesce(total - bought, 0), 4) AS non_investor_purchases,
+       round_even(coalesce(ly, 0), 4) AS "Investor_Purchases_LY",
+       TIMESTAMP '2025-01-15 06:30:00' AS "Update_Date"
+FROM calc"""
+
+
+@binding("family_investor_quarter", investor_sql())
+def family_investor_quarter_q(spark, sf):
+    return fam.investor_transform(investor_landed(spark, sf), RUN_TS)
+
+
+# ---------------------------------------------------------------------------
+# Weekly tracker
+
+WEEKLY_MEASURES = [("adjusted_average_new_listings", "orders"), ("adjusted_average_homes_sold", "homes_sold")]
+
+
+def weekly_landed(spark, sf) -> DataFrame:
+    rm = region_month(market_panel(spark, sf))
+    w = Window.partitionBy("n_nationkey").orderBy("month_start")
+    lv = rm.select("n_nationkey", "n_name", "n_regionkey", "r_name", "month_start",
+                   *[F.col(src).cast("double").alias(m) for m, src in WEEKLY_MEASURES])
+    region = F.when(F.col("n_regionkey") == 0, F.col("n_name")) \
+        .otherwise(F.concat(F.col("n_name"), F.lit(", "), F.col("r_name"), F.lit(" metro area")))
+    return lv.select(
+        region.alias("region_name"), F.lit("metro").alias("region_type"), F.col("n_regionkey").alias("region_type_id"),
+        F.col("n_nationkey").alias("region_id"), F.col("month_start").alias("period_begin"),
+        F.last_day("month_start").alias("period_end"),
+        F.when(F.col("n_regionkey") == 4, "1 weeks").otherwise("4 weeks").alias("duration"),
+        *[c for m, _ in WEEKLY_MEASURES for c in (F.col(m), _ratio_change(m, w, 12).alias(f"{m}_yoy"))])
+
+
+def weekly_sql() -> str:
+    m0 = WEEKLY_MEASURES[0][0]
+    meas = []
+    for m, src in WEEKLY_MEASURES:
+        meas += [f"round_even(CAST({src} AS DOUBLE), 4) AS {m}",
+                 f"round_even(CAST({src} AS DOUBLE) / NULLIF(lag(CAST({src} AS DOUBLE), 12) {_w('n_nationkey')}, 0) - 1, 4)"
+                 f" AS {m}_yoy"]
+    landed = ["CASE WHEN n_regionkey = 0 THEN n_name ELSE n_name || ', ' || r_name || ' metro area' END AS region_name",
+              "'metro' AS region_type", "n_regionkey AS region_type_id", "n_nationkey AS region_id",
+              "month_start AS period_begin", "last_day(month_start) AS period_end",
+              "CASE WHEN n_regionkey = 4 THEN 1 ELSE 4 END AS duration_weeks",
+              f"CAST(orders AS DOUBLE) / NULLIF(1 + (CAST(orders AS DOUBLE) / NULLIF(lag(CAST(orders AS DOUBLE), 12) "
+              f"{_w('n_nationkey')}, 0) - 1), 0) AS raw_ly"] + meas
+    return f"""WITH {PANEL_SQL},
+landed AS (SELECT {_cols(landed)} FROM region_month)
+SELECT region_name, region_type, region_type_id, region_id, period_begin, period_end,
+       {', '.join(c for m, _ in WEEKLY_MEASURES for c in (m, m + '_yoy'))},
+       replace(string_split(region_name, ', ')[-1], ' metro area', '') AS state, duration_weeks,
+       round_even(raw_ly, 4) AS {m0}_ly
+FROM landed"""
+
+
+@binding("family_weekly", weekly_sql())
+def family_weekly_q(spark, sf):
+    return fam.weekly_transform(weekly_landed(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Home values and rents: one wide month-per-column file per series label
+
+HOME_SERIES = {"F": "Condo/Co-op Time Series", "O": "2-Bedroom Time Series", "P": "Unlisted Series"}
+RENT_SERIES = {"O": "Smoothed All Homes Plus Multifamily Time Series",
+               "P": "Smoothed (Seasonally Adjusted) All Homes Plus Multifamily Time Series",
+               "F": "Unlisted Rent Series"}
+
+
+def series_wide(panel: DataFrame, status: str) -> DataFrame:
+    """A landed wide file: ids as text, one column per month-end header."""
+    c = F.col
+    ids = [(c("n_nationkey") + 1000).cast("string").alias("RegionID"), c("n_nationkey").cast("string").alias("SizeRank"),
+           (c("n_nationkey") * 397 + 601).cast("string").alias("RegionName"), F.lit("zip").alias("RegionType"),
+           c("r_name").alias("StateName"),
+           F.when(c("n_regionkey") == 1, F.lit("MA")).otherwise(F.substring("r_name", 1, 2)).alias("State"),
+           F.when(c("n_regionkey") != 0, c("n_name")).alias("City"), c("r_name").alias("Metro"),
+           F.concat(c("n_name"), F.lit(" County")).alias("CountyName")]
+    long = panel.where(c("status") == status).select(
+        *ids, F.date_format(F.last_day("month_start"), "yyyy-MM-dd").alias("hdr"), "top_price")
+    id_names = ["RegionID", "SizeRank", "RegionName", "RegionType", "StateName", "State", "City", "Metro", "CountyName"]
+    from hearth.operators import pivot_wide
+    return pivot_wide(long, id_names, "hdr", F.max("top_price"))
+
+
+def series_family(spark, sf, labels: dict, state: str | None) -> DataFrame:
+    panel = market_panel(spark, sf)
+    wide = {label: series_wide(panel, status) for status, label in labels.items()}
+    long = fam.series_long(wide, RUN_DATE, state)
+    return fam.series_fact(long, fam.series_lookup(spark))
+
+
+def series_sql(labels: dict, state: str | None) -> str:
+    ids = ("CAST(n_nationkey + 1000 AS VARCHAR) AS RegionID, CAST(n_nationkey AS VARCHAR) AS SizeRank, "
+           "CAST(n_nationkey * 397 + 601 AS VARCHAR) AS RegionName, 'zip' AS RegionType, r_name AS StateName, "
+           "CASE WHEN n_regionkey = 1 THEN 'MA' ELSE substr(r_name, 1, 2) END AS State, "
+           "CASE WHEN n_regionkey <> 0 THEN n_name END AS City, r_name AS Metro, n_name || ' County' AS CountyName")
+    id_names = "RegionID, SizeRank, RegionName, RegionType, StateName, State, City, Metro, CountyName"
+    ctes, parts = [], []
+    for i, (status, label) in enumerate(labels.items()):
+        # DuckDB resolves a dynamic PIVOT before outer CTEs, so its source carries its own WITH.
+        ctes.append(f"""w{i} AS (PIVOT (WITH {PANEL_SQL}
+                    SELECT {ids}, strftime(last_day(month_start), '%Y-%m-%d') AS hdr, top_price
+                    FROM panel WHERE status = '{status}') ON hdr USING max(top_price) GROUP BY {id_names})""")
+        parts.append(f"""SELECT RegionID, SizeRank, RegionName, State, hdr, v, '{label.replace("'", "''")}' AS data_type
+  FROM w{i} UNPIVOT INCLUDE NULLS (v FOR hdr IN (COLUMNS(* EXCLUDE ({id_names}))))""")
+    lookup = ", ".join(f"({k}, '{t.replace(chr(39), chr(39) * 2)}', '{d}')" for k, t, d in S.SERIES_LOOKUP)
+    where = f"WHERE State = '{state}'" if state else ""
+    return f"""WITH {', '.join(ctes)},
+long AS ({' UNION ALL '.join(parts)}),
+lk AS (SELECT * FROM (VALUES {lookup}) t(LOOKUP_KEY, DATA_TYPE, DATASET_TYPE))
+SELECT coalesce(TRY_CAST(RegionID AS INTEGER), 0) AS RegionID, coalesce(TRY_CAST(SizeRank AS INTEGER), 0) AS SizeRank,
+       CAST(hdr AS DATE) AS Month_End_Date, coalesce(round_even(v, 0), 0) AS Value,
+       DATE '2025-01-15' AS Date_Pulled, lk.LOOKUP_KEY
+FROM long LEFT JOIN lk ON long.data_type = lk.DATA_TYPE
+{where}"""
+
+
+@binding("family_home_values", series_sql(HOME_SERIES, "MA"))
+def family_home_values_q(spark, sf):
+    return series_family(spark, sf, HOME_SERIES, "MA")
+
+
+@binding("family_rent_values", series_sql(RENT_SERIES, None))
+def family_rent_values_q(spark, sf):
+    return series_family(spark, sf, RENT_SERIES, None)
