@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from hearth.bindings import binding, table
 from hearth.functions import yyyymm
-from hearth.operators import fits
 from hearth.plans import families as fam
 from hearth.plans import specs as S
 
@@ -31,8 +30,13 @@ RUN_DATE = dt.date(2025, 1, 15)
 PANEL_KEYS = ["n_nationkey", "n_name", "n_regionkey", "r_name"]
 
 
-def market_panel(spark, sf) -> DataFrame:
-    """(nation, month, order status) -> exact aggregates of the order lines."""
+def market_panel(spark, sf, checkpoint: bool = True) -> DataFrame:
+    """(nation, month, order status) -> exact aggregates of the order lines.
+
+    The panel has one row per region, month and status however large the
+    tables grow; it is checkpointed to the shared folder so the families that
+    read it several times (pivot headers, fill-down bucket sizing) compute the
+    big join once, and a lost executor never re-runs it."""
     li = table(spark, sf, "lineitem")
     per_order = li.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("units"),
@@ -45,11 +49,10 @@ def market_panel(spark, sf) -> DataFrame:
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     geo = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")) \
         .select(*PANEL_KEYS)
-    geo = F.broadcast(geo) if fits(geo, 100_000) else geo
     j = (per_order.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
          .join(c, F.col("o_custkey") == F.col("c_custkey"))
          .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
-    return j.groupBy(*PANEL_KEYS, F.col("o_orderstatus").alias("status"),
+    panel = j.groupBy(*PANEL_KEYS, F.col("o_orderstatus").alias("status"),
                      F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month_start")).agg(
         F.sum("lines").alias("homes_sold"), F.sum("units").alias("units"), F.max("top_price").alias("top_price"),
         F.min("low_price").alias("low_price"), F.count(F.lit(1)).alias("orders"), F.sum("taxed").alias("taxed"),
@@ -57,6 +60,7 @@ def market_panel(spark, sf) -> DataFrame:
         F.sum("returned").alias("returned"), F.min("min_disc").alias("min_disc"),
         F.max(F.datediff(F.col("last_ship").cast("date"), F.col("o_orderdate").cast("date"))).alias("max_days"),
         F.max("o_orderdate").alias("last_order"))
+    return panel.checkpoint(eager=True) if checkpoint else panel
 
 
 def region_month(panel: DataFrame) -> DataFrame:
