@@ -17,7 +17,10 @@ def region_filter(df: DataFrame, column: str, value: Any | None) -> DataFrame:
 
 
 def footer_reject(df: DataFrame, period_col: str, period_type: str = "int") -> DataFrame:
-    """Drop rows whose period does not parse (disclaimer/footer lines in a landed file)."""
+    """Drop rows whose period does not parse (disclaimer/footer lines in a landed file).
+
+    Type the period afterwards with ``try_cast``, not ``cast``: under ANSI mode
+    Catalyst may evaluate a later predicate on the cast before this filter."""
     return df.where(F.col(f"`{period_col}`").cast("string").try_cast(period_type).isNotNull())
 
 

@@ -22,7 +22,7 @@ def lookup_left_join(fact: DataFrame, lookup: DataFrame, left_on: Sequence[str],
     """fact LEFT JOIN lookup on differently named keys; unmatched keys get NULL.
 
     The lookup is broadcast only after its row count is checked; the right
-    keys and ``drop`` columns are removed after the join."""
+    keys and ``drop`` columns are removed after the join, fact columns are kept."""
     if len(left_on) != len(right_on):
         raise ValueError("left_on and right_on differ in length")
     right = F.broadcast(lookup) if fits(lookup, max_broadcast_rows) else lookup
@@ -31,9 +31,8 @@ def lookup_left_join(fact: DataFrame, lookup: DataFrame, left_on: Sequence[str],
         term = fact[lk] == right[rk]
         cond = term if cond is None else cond & term
     joined = fact.join(right, cond, "left")
-    gone = {c.lower() for c in list(right_on) + list(drop)}
-    keep = [fact[c] for c in fact.columns if c.lower() not in gone] + \
-           [right[c] for c in lookup.columns if c.lower() not in gone and c not in fact.columns]
+    gone = {c.lower() for c in list(right_on) + list(drop)} | {c.lower() for c in fact.columns}
+    keep = [fact[c] for c in fact.columns] + [right[c] for c in lookup.columns if c.lower() not in gone]
     return joined.select(*keep)
 
 
