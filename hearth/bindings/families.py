@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.bindings import binding, table
+from hearth.session import stage
 from hearth.functions import yyyymm
 from hearth.plans import families as fam
 from hearth.plans import specs as S
@@ -30,13 +31,14 @@ RUN_DATE = dt.date(2025, 1, 15)
 PANEL_KEYS = ["n_nationkey", "n_name", "n_regionkey", "r_name"]
 
 
-def market_panel(spark, sf, checkpoint: bool = True) -> DataFrame:
+def market_panel(spark, sf, staged: bool = False) -> DataFrame:
     """(nation, month, order status) -> exact aggregates of the order lines.
 
     The panel has one row per region, month and status however large the
-    tables grow; it is checkpointed to the shared folder so the families that
-    read it several times (pivot headers, fill-down bucket sizing) compute the
-    big join once, and a lost executor never re-runs it."""
+    tables grow. Families that read it several times (pivot headers,
+    fill-down bucket sizing) stage it as a table in the shared folder, so the
+    big join runs once and a lost executor never re-runs it; single readers
+    keep it inline in one plan."""
     li = table(spark, sf, "lineitem")
     per_order = li.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("units"),
@@ -60,7 +62,7 @@ def market_panel(spark, sf, checkpoint: bool = True) -> DataFrame:
         F.sum("returned").alias("returned"), F.min("min_disc").alias("min_disc"),
         F.max(F.datediff(F.col("last_ship").cast("date"), F.col("o_orderdate").cast("date"))).alias("max_days"),
         F.max("o_orderdate").alias("last_order"))
-    return panel.checkpoint(eager=True) if checkpoint else panel
+    return stage(panel, "market_panel") if staged else panel
 
 
 def region_month(panel: DataFrame) -> DataFrame:
@@ -460,7 +462,7 @@ def family_hotness_q(spark, sf):
 # the first row of each block, with a blank row after every block.
 
 def investor_landed(spark, sf) -> DataFrame:
-    rm = region_month(market_panel(spark, sf))
+    rm = region_month(market_panel(spark, sf, staged=True))
     q = rm.groupBy("n_nationkey", "n_name", F.trunc("month_start", "quarter").alias("quarter_start")).agg(
         F.sum("taxed").alias("purchases"), F.sum("homes_sold").alias("lines"))
     w = Window.partitionBy("n_nationkey").orderBy("quarter_start")
@@ -593,7 +595,7 @@ def series_wide(panel: DataFrame, status: str) -> DataFrame:
 
 
 def series_family(spark, sf, labels: dict, state: str | None) -> DataFrame:
-    panel = market_panel(spark, sf)
+    panel = market_panel(spark, sf, staged=True)
     wide = {label: series_wide(panel, status) for status, label in labels.items()}
     long = fam.series_long(wide, RUN_DATE, state)
     return fam.series_fact(long, fam.series_lookup(spark))

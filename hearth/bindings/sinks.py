@@ -7,6 +7,7 @@ check compares what a downstream reader would see."""
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearth.bindings import binding, table
 from hearth.functions import yyyymm
@@ -14,10 +15,9 @@ from hearth.quality import audited_write
 from hearth.session import scratch_path
 from hearth.sinks import (
     write_replace, write_append, overwrite_periods, read_table, delete_period, freshness_gate,
-    dimension_snapshot, export_csv,
+    dimension_snapshot, export_csv, partition_values,
 )
 from hearth.sources import read_delimited, read_preamble_tsv
-from hearth.operators import latest_period
 
 YM_SQL = "CAST(strftime(o_orderdate, '%Y%m') AS INTEGER)"
 ORDERS_SCHEMA = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
@@ -95,7 +95,7 @@ def delete_period_q(spark, sf):
     o = _orders_by_month(spark, sf).select("o_orderkey", "o_totalprice", "month_date_yyyymm")
     path = scratch_path(spark, "delete_period")
     overwrite_periods(o, path, "month_date_yyyymm")
-    newest = latest_period(read_table(spark, path), "month_date_yyyymm")
+    newest = max(partition_values(spark, path, "month_date_yyyymm", T.IntegerType()))
     delete_period(spark, path, "month_date_yyyymm", newest)
     return read_table(spark, path)
 

@@ -42,17 +42,17 @@ def surrogate_key(df: DataFrame, label: str, key: str = "lookup_key", start: int
 
     Range-partition the distinct labels and sort inside each range; a row's
     key is its position in its range plus the sizes of all earlier ranges
-    (a table with one row per range). The numbered labels are checkpointed
-    to the shared folder, so a lost executor cannot renumber them.
+    (a table with one row per range). The numbered labels are staged as a
+    table in the shared folder, so a lost executor cannot renumber them.
     """
     spark = df.sparkSession
-    from hearth.session import shared_dir
-    shared_dir(spark)
+    from hearth.session import stage
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     labels = df.select(F.col(f"`{label}`")).where(F.col(f"`{label}`").isNotNull()).distinct()
     ranged = labels.repartitionByRange(n, F.col(f"`{label}`")).sortWithinPartitions(F.col(f"`{label}`"))
     numbered = ranged.select(F.col(f"`{label}`"), F.spark_partition_id().alias("__pid"),
-                             F.monotonically_increasing_id().alias("__mid")).checkpoint(eager=True)
+                             F.monotonically_increasing_id().alias("__mid"))
+    numbered = stage(numbered, "surrogate_key")
     pos = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
     sizes = numbered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     from pyspark.sql import Window

@@ -27,6 +27,9 @@ SESSION_DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Python call-site capture for error messages costs ~10 py4j round trips per
+    # Column built; wide generated projections build thousands of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -85,3 +88,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "hearth-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stage(df, name: str):
+    """Materialise ``df`` once as Parquet under the shared folder and read it back.
+
+    Used for small shared intermediates that several jobs read: it cuts the
+    lineage (a lost executor re-reads the files instead of re-running the
+    joins) and, unlike an RDD checkpoint, computes the input only once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

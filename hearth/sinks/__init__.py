@@ -2,5 +2,5 @@
 
 from hearth.sinks.tables import (
     write_replace, write_append, overwrite_periods, read_table, table_exists, delete_period,
-    GateResult, freshness_gate, dimension_snapshot, export_csv, export_sample,
+    GateResult, freshness_gate, partition_values, dimension_snapshot, export_csv, export_sample,
 )

@@ -8,15 +8,17 @@ protocol: a task lost half-way is re-run and its partial files discarded.
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from dataclasses import dataclass
 from typing import Any, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from hearth.operators.filters import latest_period
-
 
 def _writer(df: DataFrame, mode: str, partition_by: Sequence[str] | None, fmt: str):
     w = df.write.mode(mode).format(fmt)
@@ -69,35 +71,69 @@ class GateResult:
     action: str            # 'full', 'append' or 'none'
     target_max: Any
     extract_max: Any
+    rows_written: int = 0
+
+
+def _parse_partition_value(text: str, dtype: T.DataType):
+    if text == "__HIVE_DEFAULT_PARTITION__":
+        return None
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return int(text)
+    if isinstance(dtype, T.DateType):
+        return _dt.date.fromisoformat(text)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return _dt.datetime.fromisoformat(text)
+    return text
+
+
+def partition_values(spark: SparkSession, path: str, column: str, dtype: T.DataType) -> list:
+    """Values of a partition column read from the folder listing (metadata only,
+    O(partitions), no data file is opened)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    prefix = f"{column}="
+    out = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix):
+            v = _parse_partition_value(unquote(name[len(prefix):]), dtype)
+            if v is not None:
+                out.append(v)
+    return out
 
 
 def freshness_gate(spark: SparkSession, extract: DataFrame, target_path: str, period_col: str,
                    latest_only: bool = False, fmt: str = "parquet") -> GateResult:
-    """Load ``extract`` into the period-partitioned table at ``target_path``.
-
-    * no target (or an empty one): full history load;
-    * extract has periods newer than the target max: load those periods
-      (or only the latest with ``latest_only``);
-    * otherwise: nothing.
-    Both maxima are single scalars; the target max is answered from the
-    partition listing/Parquet footers, not a data scan.
+    """Load ``extract`` into the table at ``target_path`` partitioned by ``period_col``.
+
+    * no target yet: full history load;
+    * otherwise: load the extract's periods newer than the target's latest
+      period (only the newest one with ``latest_only``); when there are none,
+      nothing is written.
+    The target's latest period comes from its partition listing, not a scan,
+    and the extract is read once: the rows and max period loaded are observed
+    during the write itself.
     """
-    target = read_table(spark, target_path, fmt) if table_exists(spark, target_path) else None
-    target_max = latest_period(target, period_col) if target is not None else None
-    extract_max = latest_period(extract, period_col)
-    if extract_max is None:
-        return GateResult("none", target_max, extract_max)
+    dtype = extract.schema[period_col].dataType
+    present = partition_values(spark, target_path, period_col, dtype)
+    target_max = max(present) if present else None
+    col = F.col(f"`{period_col}`")
+    obs = Observation(f"gate_{uuid.uuid4().hex[:8]}")
     if target_max is None:
-        write_replace(extract, target_path, [period_col], fmt)
-        return GateResult("full", target_max, extract_max)
-    if extract_max > target_max:
-        if latest_only:
-            newer = extract.where(F.col(f"`{period_col}`") == F.lit(extract_max))
-        else:
-            newer = extract.where(F.col(f"`{period_col}`") > F.lit(target_max))
-        overwrite_periods(newer, target_path, period_col, fmt)
-        return GateResult("append", target_max, extract_max)
-    return GateResult("none", target_max, extract_max)
+        write_replace(extract.observe(obs, F.count(F.lit(1)).alias("n"), F.max(col).alias("m")),
+                      target_path, [period_col], fmt)
+        m = obs.get
+        return GateResult("full" if m["n"] else "none", None, m["m"], int(m["n"]))
+    newer = extract.where(col > F.lit(target_max))
+    if latest_only:
+        newer = newer.where(col == newer.select(F.max(col)).scalar())
+    overwrite_periods(newer.observe(obs, F.count(F.lit(1)).alias("n"), F.max(col).alias("m")),
+                      target_path, period_col, fmt)
+    m = obs.get
+    return GateResult("append" if m["n"] else "none", target_max, m["m"], int(m["n"]))
 
 
 def dimension_snapshot(df: DataFrame, columns: Sequence[str], path: str, report_date, dataset_type: str,
