@@ -5,10 +5,13 @@ and a ``partitionBy(key)`` sends a hot key (a third of all rows) to one task.
 So the fill runs in two phases over fixed-width buckets of the order column:
 
 1. fill inside each (key, bucket) group with a running ``last(ignorenulls)``;
-2. per (key, bucket) keep the last non-null value (``max_by``), run the same
-   fill across the bucket summaries of each key (one row per bucket, so even a
-   hot key has only range/width rows there), shift by one bucket, and join the
-   carry back on (key, bucket) for rows that are still NULL.
+2. per (key, bucket) keep the last non-null value (``max_by``, partially
+   aggregated before its shuffle), run the same fill across the bucket
+   summaries of each key (one row per bucket, so even a hot key has only
+   range/width rows there), shift by one bucket, and join the carry back on
+   (key, bucket) for rows still NULL.
+
+The big input is shuffled once, on (key, bucket).
 
 No group is larger than ``bucket_width`` rows whatever the key skew, and
 the result equals the single-window definition.
@@ -21,6 +24,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BUCKET_WIDTH = 1 << 20
 
@@ -35,6 +39,19 @@ def auto_bucket_width(df: DataFrame, order_col: str, minimum: int = 64) -> int:
     return max(minimum, math.isqrt(int(hi) - int(lo) + 1))
 
 
+def _default_for(dtype: T.DataType):
+    """A non-null stand-in of the key's own type (paired with an is-null flag)."""
+    if isinstance(dtype, T.NumericType):
+        return F.lit(0).cast(dtype)
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, T.DateType):
+        return F.lit("1970-01-01").cast("date")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01 00:00:00").cast(dtype)
+    return None
+
+
 def fill_down(df: DataFrame, columns: Sequence[str], order_col: str, keys: Sequence[str] = (),
               bucket_width: int | None = None) -> DataFrame:
     """Forward-fill ``columns`` ordered by the numeric ``order_col`` (a row number
@@ -45,23 +62,42 @@ def fill_down(df: DataFrame, columns: Sequence[str], order_col: str, keys: Seque
     keys = list(keys)
     if bucket_width is None:
         bucket_width = auto_bucket_width(df, order_col)
-    bucket = "__fd_bucket"
     order = F.col(f"`{order_col}`")
-    base = df.withColumn(bucket, F.floor(order / F.lit(bucket_width)).cast("long"))
-    part = [F.col(f"`{k}`") for k in keys] + [F.col(bucket)]
+    # Group on non-nullable columns: (key with a typed stand-in for NULL, is-null
+    # flag) per key, plus the bucket. A NULL key stays its own group (as in
+    # Window.partitionBy), and the carry join is a plain equi-join on the
+    # window's own partitioning columns: when the carry is too large to
+    # broadcast, only the carry side is shuffled.
+    grp = []
+    for i, k in enumerate(keys):
+        kc = F.col(f"`{k}`")
+        d = _default_for(df.schema[k].dataType)
+        if d is None:
+            kc, d = kc.cast("string"), F.lit("")
+        grp += [F.coalesce(kc, d).alias(f"__g{i}"), F.isnull(F.col(f"`{k}`")).alias(f"__n{i}")]
+    grp.append(F.coalesce(F.floor(order / F.lit(bucket_width)), F.lit(-1)).cast("long").alias("__gb"))
+    names = [c for c in ([f"__g{i}" for i in range(len(keys))] + [f"__n{i}" for i in range(len(keys))])] + ["__gb"]
+    base = df.select("*", *grp)
+    part = [F.col(n) for n in names]
+    key_part = [F.col(n) for n in names if n != "__gb"]
 
     inside = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = base.select(*[F.col(f"`{c}`") for c in base.columns if c not in columns],
                          *[F.last(F.col(f"`{c}`"), ignorenulls=True).over(inside).alias(c) for c in columns])
 
+    # Last non-null value per (key, bucket), aggregated from the input with
+    # partial (map-side) aggregation: only per-task partials are shuffled.
     summary = base.groupBy(*part).agg(
         *[F.max_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), order)).alias(c) for c in columns])
-    across = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(F.col(bucket)) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*part, *[F.last(F.col(f"`{c}`"), ignorenulls=True).over(across).alias(f"__carry_{c}")
-                                    for c in columns])
-
-    joined = filled.join(carry, on=keys + [bucket], how="left")
+    across = Window.partitionBy(*key_part).orderBy(F.col("__gb")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*[F.col(n).alias(f"__c{n}") for n in names],
+                           *[F.last(F.col(f"`{c}`"), ignorenulls=True).over(across).alias(f"__carry_{c}")
+                             for c in columns])
+    cond = None
+    for n in names:
+        term = F.col(n) == F.col(f"__c{n}")
+        cond = term if cond is None else cond & term
+    joined = filled.join(carry, cond, "left")
     out = [F.coalesce(F.col(f"`{c}`"), F.col(f"__carry_{c}")).alias(c) if c in columns else F.col(f"`{c}`")
            for c in df.columns]
     return joined.select(*out)
