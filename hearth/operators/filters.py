@@ -39,7 +39,8 @@ def period_range(df: DataFrame, column: str, start: Any = None, end: Any = None,
 
 
 def latest_period(df: DataFrame, column: str):
-    """Scalar MAX of the period column (answered from Parquet footers when possible)."""
+    """Scalar MAX of the period column (one small aggregate job; for a
+    partitioned table use ``sinks.partition_values`` instead: no scan)."""
     return df.agg(F.max(F.col(f"`{column}`")).alias("m")).first()["m"]
 
 

@@ -21,7 +21,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # MIN/MAX/COUNT answered from Parquet footers (freshness gate, max_period).
+    # MIN/MAX/COUNT from Parquet footers where the scan supports it (V2 readers).
     "spark.sql.parquet.aggregatePushdown": "true",
     # Re-running a load for a period replaces that period only.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
