@@ -32,8 +32,19 @@ def binding(name: str, sql: str | None = None):
     return deco
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The benchmark table as a lazy DataFrame, resolved once per session (file
+    listing and footer schema), as a catalog table would be. Every action
+    still scans the data."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def load_all() -> dict[str, Binding]:

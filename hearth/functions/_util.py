@@ -10,3 +10,8 @@ ColumnLike = Union[Column, str]
 
 def as_col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+def q(name: str) -> str:
+    """Quote a column name for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"

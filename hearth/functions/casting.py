@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.functions._util import as_col, ColumnLike
+from hearth.functions._util import as_col, q, ColumnLike
 
 
 def round_half_even(c: ColumnLike, digits: int = 0) -> Column:
@@ -48,13 +48,13 @@ def conform(df: DataFrame, target: list[tuple[str, str]], missing: str = "error"
     error by default; with ``missing='null'`` it is added as a typed NULL.
     """
     present = {f.name.lower(): f.name for f in df.schema.fields}
-    out = []
+    exprs = []
     for name, dtype in target:
         src = present.get(name.lower())
         if src is None:
             if missing != "null":
                 raise ValueError(f"column {name!r} is not in the frame; have {sorted(present.values())}")
-            out.append(F.lit(None).cast(dtype).alias(name))
+            exprs.append(f"CAST(NULL AS {dtype}) AS {q(name)}")
         else:
-            out.append(F.col(f"`{src}`").try_cast(dtype).alias(name))
-    return df.select(*out)
+            exprs.append(f"try_cast({q(src)} AS {dtype}) AS {q(name)}")
+    return df.selectExpr(*exprs)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.functions._util import as_col, ColumnLike
+from hearth.functions._util import as_col, q, ColumnLike
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 FRACTIONAL_TYPES = (T.FloatType, T.DoubleType)
@@ -47,11 +47,18 @@ def _is_numeric(dt: T.DataType) -> bool:
 
 
 def nonfinite_to_zero(df: DataFrame) -> DataFrame:
-    """Every floating column: +-inf and NaN -> 0, found from the schema, one projection."""
-    cols = [finite_or_zero(F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name)
-            if isinstance(f.dataType, FRACTIONAL_TYPES) else F.col(f"`{f.name}`")
-            for f in df.schema.fields]
-    return df.select(*cols)
+    """Every floating column: +-inf and NaN -> 0, found from the schema, one projection
+    (built as SQL text: one call however wide the table is)."""
+    exprs = []
+    for f in df.schema.fields:
+        c = q(f.name)
+        if isinstance(f.dataType, FRACTIONAL_TYPES):
+            t = f.dataType.simpleString()
+            exprs.append(f"CASE WHEN isnan({c}) OR abs({c}) = CAST('Infinity' AS {t}) THEN CAST(0 AS {t}) "
+                         f"ELSE {c} END AS {c}")
+        else:
+            exprs.append(c)
+    return df.selectExpr(*exprs)
 
 
 def fill_defaults(df: DataFrame, numeric: list[str] | None = None, text: list[str] | None = None,
@@ -60,12 +67,14 @@ def fill_defaults(df: DataFrame, numeric: list[str] | None = None, text: list[st
     numeric column -> 0 and text column -> '' as well. One projection, no loops of withColumn."""
     numeric = set(numeric or [])
     text = set(text or [])
-    out = []
+    text_lit = "'" + text_value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = q(f.name)
         if _is_numeric(f.dataType) and (f.name in numeric or rest):
-            c = F.coalesce(c, F.lit(numeric_value).cast(f.dataType))
+            exprs.append(f"coalesce({c}, CAST({numeric_value!r} AS {f.dataType.simpleString()})) AS {c}")
         elif isinstance(f.dataType, T.StringType) and (f.name in text or rest):
-            c = F.coalesce(c, F.lit(text_value))
-        out.append(c.alias(f.name))
-    return df.select(*out)
+            exprs.append(f"coalesce({c}, {text_lit}) AS {c}")
+        else:
+            exprs.append(c)
+    return df.selectExpr(*exprs)

@@ -67,6 +67,24 @@ PRIOR_RULES = {
 }
 
 
+# The same rules as SQL expression text, for wide generated projections that are
+# built with one ``selectExpr`` call instead of thousands of Column objects.
+PRIOR_RULES_SQL = {
+    "ratio": "try_divide({x}, 1 + {g})",
+    "diff": "{x} - {g}",
+    "sum": "{x} + {g}",
+    "ratio_guarded": "CASE WHEN {g} = -1 THEN 0D ELSE try_divide({x}, 1 + {g}) END",
+}
+
+
+def prior_level_sql(kind: str, x: str, g: str) -> str:
+    """SQL text of ``prior_level`` for quoted column names ``x`` and ``g``."""
+    try:
+        return PRIOR_RULES_SQL[kind].format(x=x, g=g)
+    except KeyError:
+        raise ValueError(f"unknown change kind {kind!r}; expected one of {sorted(PRIOR_RULES_SQL)}") from None
+
+
 def prior_level(kind: str, x: ColumnLike, g: ColumnLike) -> Column:
     try:
         rule = PRIOR_RULES[kind]

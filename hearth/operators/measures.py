@@ -14,8 +14,8 @@ from typing import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.functions.casting import rounded
-from hearth.functions.metrics import prior_level
+from hearth.functions._util import q
+from hearth.functions.metrics import prior_level_sql
 
 # The change-column suffixes used by the two source conventions.
 MONTH_YEAR_MM = (("_mm", "_lm"), ("_yy", "_ly"))
@@ -51,16 +51,17 @@ def with_prior_levels(df: DataFrame, derived: Sequence[Derived], drop_changes: b
     """Append each derived column; optionally drop the change inputs. One projection."""
     dropped = {d.change.lower() for d in derived} if drop_changes else set()
     dropped |= {c.lower() for c in drop}
-    keep = [F.col(f"`{c}`") for c in df.columns if c.lower() not in dropped]
-    new = [prior_level(d.kind, F.col(f"`{d.level}`"), F.col(f"`{d.change}`")).alias(d.target) for d in derived]
-    return df.select(*keep, *new)
+    keep = [q(c) for c in df.columns if c.lower() not in dropped]
+    new = [f"{prior_level_sql(d.kind, q(d.level), q(d.change))} AS {q(d.target)}" for d in derived]
+    return df.selectExpr(*keep, *new)
 
 
 def round_columns(df: DataFrame, digits: dict[str, int | None], mode: str = "half_even") -> DataFrame:
     """Round the listed columns in place (others pass through). One projection."""
     lower = {k.lower(): v for k, v in digits.items()}
-    out = []
+    fn = {"half_even": "bround", "half_up": "round"}[mode]
+    exprs = []
     for c in df.columns:
         d = lower.get(c.lower())
-        out.append(rounded(F.col(f"`{c}`"), d, mode).alias(c) if d is not None else F.col(f"`{c}`"))
-    return df.select(*out)
+        exprs.append(f"{fn}({q(c)}, {d}) AS {q(c)}" if d is not None else q(c))
+    return df.selectExpr(*exprs)

@@ -24,6 +24,7 @@ from hearth.operators import (
     tagged_union, region_filter, fill_down, drop_all_null, lookup_left_join, MONTH_YEAR_MM, MONTH_YEAR_MOM,
 )
 from hearth.plans import specs as S
+from hearth.functions._util import q
 from hearth.sinks import freshness_gate, write_replace, dimension_snapshot, GateResult
 from hearth.sources import read_delimited_raw, read_preamble_tsv
 
@@ -31,8 +32,8 @@ from hearth.sources import read_delimited_raw, read_preamble_tsv
 def _doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """try_cast the listed columns to double, others unchanged (one projection)."""
     wanted = {c.lower() for c in columns}
-    return df.select(*[F.col(f"`{c}`").try_cast("double").alias(c) if c.lower() in wanted else F.col(f"`{c}`")
-                       for c in df.columns])
+    return df.selectExpr(*[f"try_cast({q(c)} AS double) AS {q(c)}" if c.lower() in wanted else q(c)
+                           for c in df.columns])
 
 
 def _stamp(run_ts: _dt.datetime):
