@@ -123,6 +123,6 @@ FROM orders""")
 def load_audit_q(spark, sf):
     o = _orders_by_month(spark, sf)
     path = scratch_path(spark, "load_audit")
-    audited_write(o, lambda d: overwrite_periods(d, f"{path}/data", "month_date_yyyymm"), "orders_by_month",
-                  f"{path}/audit", RUN_TS, "month_date_yyyymm")
+    audited_write(o, lambda d: overwrite_periods(d, f"{path}/data", "month_date_yyyymm", clustered=True),
+                  "orders_by_month", f"{path}/audit", RUN_TS, "month_date_yyyymm", partition_by=["month_date_yyyymm"])
     return spark.read.parquet(f"{path}/audit")

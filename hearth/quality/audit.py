@@ -18,7 +18,13 @@ AUDIT_SCHEMA = "step string, run_ts timestamp_ntz, rows_written long, max_period
 
 
 def audited_write(df: DataFrame, write: Callable[[DataFrame], None], step: str, audit_path: str,
-                  run_ts: _dt.datetime, period_col: str | None = None) -> DataFrame:
+                  run_ts: _dt.datetime, period_col: str | None = None,
+                  partition_by: list[str] | None = None) -> DataFrame:
+    """``write`` receives the observed frame. For a partitioned sink pass
+    ``partition_by``: the frame is clustered first and observed above that
+    shuffle, and ``write`` must then save it with ``clustered=True``."""
+    from hearth.sinks.tables import cluster_for_write
+    df = cluster_for_write(df, partition_by)
     obs = Observation(f"audit_{uuid.uuid4().hex[:8]}")
     metrics = [F.count(F.lit(1)).alias("rows_written")]
     metrics.append((F.max(F.col(f"`{period_col}`")) if period_col else F.lit(None)).cast("string").alias("max_period"))

@@ -20,27 +20,38 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 
-def _writer(df: DataFrame, mode: str, partition_by: Sequence[str] | None, fmt: str):
-    w = df.write.mode(mode).format(fmt)
+def cluster_for_write(df: DataFrame, partition_by: Sequence[str] | None) -> DataFrame:
+    """Cluster rows by the partition columns before a partitioned write.
+
+    Without it every task writes a file into every period it holds (tasks x
+    periods small files). ``rebalance`` lets AQE split an oversized (hot)
+    period across several tasks instead of sending it to one. Observe metrics
+    on the clustered frame (above the shuffle), not below it."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
+def _writer(df: DataFrame, mode: str, partition_by: Sequence[str] | None, fmt: str, clustered: bool = False):
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    return w
+        df = df if clustered else cluster_for_write(df, partition_by)
+        return df.write.mode(mode).format(fmt).partitionBy(*partition_by)
+    return df.write.mode(mode).format(fmt)
 
 
 def write_replace(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
-                  fmt: str = "parquet") -> None:
+                  fmt: str = "parquet", clustered: bool = False) -> None:
     """Replace the whole table (history load)."""
-    _writer(df, "overwrite", partition_by, fmt).option("partitionOverwriteMode", "static").save(path)
+    _writer(df, "overwrite", partition_by, fmt, clustered).option("partitionOverwriteMode", "static").save(path)
 
 
 def write_append(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
-                 fmt: str = "parquet") -> None:
-    _writer(df, "append", partition_by, fmt).save(path)
+                 fmt: str = "parquet", clustered: bool = False) -> None:
+    _writer(df, "append", partition_by, fmt, clustered).save(path)
 
 
-def overwrite_periods(df: DataFrame, path: str, period_col: str, fmt: str = "parquet") -> None:
+def overwrite_periods(df: DataFrame, path: str, period_col: str, fmt: str = "parquet",
+                      clustered: bool = False) -> None:
     """Append new periods / replace re-delivered ones; other periods untouched."""
-    _writer(df, "overwrite", [period_col], fmt).option("partitionOverwriteMode", "dynamic").save(path)
+    _writer(df, "overwrite", [period_col], fmt, clustered).option("partitionOverwriteMode", "dynamic").save(path)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
@@ -122,16 +133,17 @@ def freshness_gate(spark: SparkSession, extract: DataFrame, target_path: str, pe
     target_max = max(present) if present else None
     col = F.col(f"`{period_col}`")
     obs = Observation(f"gate_{uuid.uuid4().hex[:8]}")
+    metrics = [F.count(F.lit(1)).alias("n"), F.max(col).alias("m")]
     if target_max is None:
-        write_replace(extract.observe(obs, F.count(F.lit(1)).alias("n"), F.max(col).alias("m")),
-                      target_path, [period_col], fmt)
+        write_replace(cluster_for_write(extract, [period_col]).observe(obs, *metrics),
+                      target_path, [period_col], fmt, clustered=True)
         m = obs.get
         return GateResult("full" if m["n"] else "none", None, m["m"], int(m["n"]))
     newer = extract.where(col > F.lit(target_max))
     if latest_only:
         newer = newer.where(col == newer.select(F.max(col)).scalar())
-    overwrite_periods(newer.observe(obs, F.count(F.lit(1)).alias("n"), F.max(col).alias("m")),
-                      target_path, period_col, fmt)
+    overwrite_periods(cluster_for_write(newer, [period_col]).observe(obs, *metrics),
+                      target_path, period_col, fmt, clustered=True)
     m = obs.get
     return GateResult("append" if m["n"] else "none", target_max, m["m"], int(m["n"]))
 

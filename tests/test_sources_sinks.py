@@ -99,8 +99,8 @@ def test_replace_append_snapshot_exports(spark, tmpdir_path):
 def test_audit_and_quality(spark, tmpdir_path):
     df = spark.createDataFrame([(202401, "x", 1), (202402, "2024-13-01", None), (202402, "2024-01-05", 0)],
                                "p int, d string, flag int")
-    audit = audited_write(df, lambda d: overwrite_periods(d, f"{tmpdir_path}/data", "p"), "step1",
-                          f"{tmpdir_path}/audit", dt.datetime(2025, 1, 1, 8, 0), "p")
+    audit = audited_write(df, lambda d: overwrite_periods(d, f"{tmpdir_path}/data", "p", clustered=True), "step1",
+                          f"{tmpdir_path}/audit", dt.datetime(2025, 1, 1, 8, 0), "p", partition_by=["p"])
     row = spark.read.parquet(f"{tmpdir_path}/audit").first()
     assert (row.step, row.rows_written, row.max_period) == ("step1", 3, "202402") and audit.count() == 1
     rej = reject_rows(df, [("d", "date")], ["p"])
