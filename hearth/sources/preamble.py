@@ -4,15 +4,15 @@ The header of each file is the first line that contains every header token
 (e.g. both period column names). Each file is handled independently and in
 parallel: line order inside a file comes from the split start plus the
 monotonically increasing row id within the split (gzip files are never split).
-One small table (one row per file) holds the header position of every file.
+One small table (one row per file) holds the header position of every file;
+it is staged in the shared folder and never collected.
 """
 
 from __future__ import annotations
 
-import re
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.functions.casting import conform
@@ -32,34 +32,40 @@ def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
                     F.monotonically_increasing_id().alias("pos")))
 
 
-def _norm(path: str) -> str:
-    return re.sub(r"^file:/+", "/", path)
+# Largest per-file header table broadcast to the body scan; beyond it, a shuffle join.
+MAX_BROADCAST_FILES = 100_000
 
 
 def read_preamble_tsv(spark: SparkSession, path: str | Sequence[str], header_tokens: Sequence[str],
                       schema: Sequence[tuple[str, str]] | None = None, sep: str = "\t") -> DataFrame:
-    """Parse every file below its own header line; raise when a file has none."""
+    """Parse every file below its own header line; raise when a file has none.
+
+    The per-file header positions stay a (staged) DataFrame: only the distinct
+    header text (at most two rows) and at most five header-less file names
+    ever reach the driver, however many files have landed."""
+    from hearth.operators.joins import fits
+    from hearth.session import stage
+
     lines = _lines(spark, path)
     is_header = F.lit(True)
     for tok in header_tokens:
         is_header = is_header & F.col("line").contains(tok)
-    # One row per file: its first header line (bounded by the file listing).
-    heads = (lines.where(is_header).groupBy("file")
-             .agg(F.min(F.struct("block", "pos", "line")).alias("h"))
-             .select("file", F.col("h.block").alias("hb"), F.col("h.pos").alias("hp"), F.col("h.line").alias("ht"))
-             .collect())
-    listed = {_norm(f) for f in lines.inputFiles()}
-    found = {_norm(r["file"]) for r in heads}
-    missing = sorted(listed - found)
+    heads = stage(lines.where(is_header).groupBy("file")
+                  .agg(F.min(F.struct("block", "pos", "line")).alias("h"))
+                  .select("file", F.col("h.block").alias("hb"), F.col("h.pos").alias("hp"),
+                          F.col("h.line").alias("ht")), "preamble_heads")
+    missing = (lines.select("file").distinct().join(heads, "file", "left_anti")
+               .limit(5).collect()) if heads.count() < len(lines.inputFiles()) else []
     if missing:
-        raise MissingHeader(f"no header line with {list(header_tokens)} in {missing[:5]}")
-    texts = {r["ht"] for r in heads}
+        raise MissingHeader(f"no header line with {list(header_tokens)} in {[r['file'] for r in missing]}")
+    texts = [r["ht"] for r in heads.select("ht").distinct().limit(2).collect()]
     if len(texts) != 1:
-        raise ValueError(f"files disagree on the header line: {sorted(texts)[:2]}")
-    names = [clean_name(n) for n in texts.pop().split(sep)]
+        raise ValueError(f"files disagree on the header line: {texts}")
+    names = [clean_name(n) for n in texts[0].split(sep)]
     ddl = ", ".join(f"`{n}` string" for n in names)
-    head_df = spark.createDataFrame([(r["file"], r["hb"], r["hp"]) for r in heads], "file string, hb long, hp long")
-    body = (lines.join(F.broadcast(head_df), "file")
+    positions = heads.select("file", "hb", "hp")
+    positions = F.broadcast(positions) if fits(positions, MAX_BROADCAST_FILES) else positions
+    body = (lines.join(positions, "file")
             .where((F.col("block") > F.col("hb")) | ((F.col("block") == F.col("hb")) & (F.col("pos") > F.col("hp"))))
             .where(F.length("line") > 0))
     parsed = body.select(F.from_csv(F.col("line"), ddl, {"sep": sep}).alias("r")).select("r.*")
