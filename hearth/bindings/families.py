@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from hearth.bindings import binding, table
 from hearth.session import stage
 from hearth.functions import yyyymm
+from hearth.operators import pivot_wide
 from hearth.plans import families as fam
 from hearth.plans import specs as S
 
@@ -578,7 +579,11 @@ RENT_SERIES = {"O": "Smoothed All Homes Plus Multifamily Time Series",
                "F": "Unlisted Rent Series"}
 
 
-def series_wide(panel: DataFrame, status: str) -> DataFrame:
+def _month_header():
+    return F.date_format(F.last_day("month_start"), "yyyy-MM-dd")
+
+
+def series_wide(panel: DataFrame, status: str, headers: list[str] | None = None) -> DataFrame:
     """A landed wide file: ids as text, one column per month-end header."""
     c = F.col
     ids = [(c("n_nationkey") + 1000).cast("string").alias("RegionID"), c("n_nationkey").cast("string").alias("SizeRank"),
@@ -587,16 +592,19 @@ def series_wide(panel: DataFrame, status: str) -> DataFrame:
            F.when(c("n_regionkey") == 1, F.lit("MA")).otherwise(F.substring("r_name", 1, 2)).alias("State"),
            F.when(c("n_regionkey") != 0, c("n_name")).alias("City"), c("r_name").alias("Metro"),
            F.concat(c("n_name"), F.lit(" County")).alias("CountyName")]
-    long = panel.where(c("status") == status).select(
-        *ids, F.date_format(F.last_day("month_start"), "yyyy-MM-dd").alias("hdr"), "top_price")
+    long = panel.where(c("status") == status).select(*ids, _month_header().alias("hdr"), "top_price")
     id_names = ["RegionID", "SizeRank", "RegionName", "RegionType", "StateName", "State", "City", "Metro", "CountyName"]
-    from hearth.operators import pivot_wide
-    return pivot_wide(long, id_names, "hdr", F.max("top_price"))
+    return pivot_wide(long, id_names, "hdr", F.max("top_price"), headers)
 
 
 def series_family(spark, sf, labels: dict, state: str | None) -> DataFrame:
     panel = market_panel(spark, sf, staged=True)
-    wide = {label: series_wide(panel, status) for status, label in labels.items()}
+    # Every file's month headers in one small aggregate (bounded by the calendar,
+    # not the data) instead of one distinct-value job per pivot.
+    headers = {r["status"]: sorted(r["h"]) for r in
+               panel.groupBy("status").agg(F.collect_set(_month_header()).alias("h")).collect()}
+    wide = {label: series_wide(panel, status, headers[status])
+            for status, label in labels.items() if headers.get(status)}
     long = fam.series_long(wide, RUN_DATE, state)
     return fam.series_fact(long, fam.series_lookup(spark))
 
