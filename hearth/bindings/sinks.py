@@ -18,6 +18,7 @@ from hearth.sinks import (
     dimension_snapshot, export_csv, partition_values,
 )
 from hearth.sources import read_delimited, read_preamble_tsv
+from hearth.functions import conform
 
 YM_SQL = "CAST(strftime(o_orderdate, '%Y%m') AS INTEGER)"
 ORDERS_SCHEMA = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
@@ -126,3 +127,30 @@ def load_audit_q(spark, sf):
     audited_write(o, lambda d: overwrite_periods(d, f"{path}/data", "month_date_yyyymm", clustered=True),
                   "orders_by_month", f"{path}/audit", RUN_TS, "month_date_yyyymm", partition_by=["month_date_yyyymm"])
     return spark.read.parquet(f"{path}/audit")
+
+
+@binding("stream_incremental_load", f"SELECT o_orderkey, o_orderstatus, o_totalprice, {YM_SQL} AS month_date_yyyymm FROM orders")
+def stream_incremental_load_q(spark, sf):
+    """Orders land as CSV in two deliveries; an availableNow file stream loads each
+    delivery once (file bookkeeping in the stream checkpoint) into the
+    period-partitioned target; a third run with nothing new changes nothing."""
+    from hearth.streaming import landed_csv_stream, incremental_load
+
+    o = _orders_by_month(spark, sf).select("o_orderkey", "o_orderstatus", "o_totalprice", "month_date_yyyymm")
+    base = scratch_path(spark, "stream_incremental_load")
+    landing, target, ckpt = f"{base}/landing", f"{base}/target", f"{base}/checkpoint"
+    cols = o.columns
+    typed = [("o_orderkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+             ("month_date_yyyymm", "int")]
+
+    def run_once():
+        q = incremental_load(landed_csv_stream(spark, landing, cols), lambda b: conform(b, typed), target,
+                             "month_date_yyyymm", ckpt)
+        q.awaitTermination()
+
+    export_csv(o.where(F.col("month_date_yyyymm") < 199701), f"{landing}/delivery=1")
+    run_once()
+    export_csv(o.where(F.col("month_date_yyyymm") >= 199701), f"{landing}/delivery=2")
+    run_once()
+    run_once()
+    return read_table(spark, target)

@@ -48,6 +48,34 @@ def write_append(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     _writer(df, "append", partition_by, fmt, clustered).save(path)
 
 
+def drop_table(spark: SparkSession, path: str) -> bool:
+    """Remove a path table's folder (DROP TABLE for a path-based table)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p) and fs.delete(p, True))
+
+
+def write_create(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
+                 fmt: str = "parquet") -> None:
+    """Drop, then create: the write fails if another job re-created the table meanwhile."""
+    drop_table(spark, path)
+    _writer(df, "errorifexists", partition_by, fmt).save(path)
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", batchsize: int = 10_000,
+               num_partitions: int | None = None, properties: dict | None = None) -> None:
+    """Load into a database table: each task inserts in batches of ``batchsize``
+    rows over its own connection; ``num_partitions`` caps concurrent connections."""
+    w = df.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table) \
+        .option("batchsize", batchsize)
+    if num_partitions:
+        w = w.option("numPartitions", num_partitions)
+    for k, v in (properties or {}).items():
+        w = w.option(k, v)
+    w.save()
+
+
 def overwrite_periods(df: DataFrame, path: str, period_col: str, fmt: str = "parquet",
                       clustered: bool = False) -> None:
     """Append new periods / replace re-delivered ones; other periods untouched."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hearth.quality import audited_write, quality_flag_counts, reject_rows, text_length_report, schema_report
 from hearth.sinks import (
-    write_replace, write_append, overwrite_periods, read_table, delete_period, freshness_gate, dimension_snapshot,
+    write_replace, write_append, write_create, overwrite_periods, read_table, delete_period, freshness_gate, dimension_snapshot,
     export_csv, export_sample,
 )
 from hearth.sources import (
@@ -87,6 +87,8 @@ def test_replace_append_snapshot_exports(spark, tmpdir_path):
     write_append(df, f"{tmpdir_path}/a")
     write_append(df, f"{tmpdir_path}/a")
     assert read_table(spark, f"{tmpdir_path}/r").count() == 3 and read_table(spark, f"{tmpdir_path}/a").count() == 6
+    write_create(spark, df, f"{tmpdir_path}/a")            # drop then create: replaces the appended table
+    assert read_table(spark, f"{tmpdir_path}/a").count() == 3
     for _ in range(2):
         dimension_snapshot(df, ["k", "t"], f"{tmpdir_path}/dim", dt.date(2025, 1, 1), "Home_Values")
     assert read_table(spark, f"{tmpdir_path}/dim").count() == 2
