@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from hearth.bindings import binding, table
 from hearth.functions import yyyymm
 from hearth.operators import (
-    lookup_left_join, surrogate_key, distinct_dimension, max_period_frame, row_count, loaded_periods,
+    lookup_left_join, surrogate_key, distinct_dimension, row_count, loaded_periods,
     duplicate_key_report, top_n, region_filter, period_range, latest_period_slice, footer_reject,
     project_layout,
 )

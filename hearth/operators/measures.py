@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from hearth.functions._util import q
 from hearth.functions.metrics import prior_level_sql

@@ -6,7 +6,6 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def quality_flag_counts(df: DataFrame, flag_col: str, alias: str = "row_count") -> DataFrame:
