@@ -8,7 +8,7 @@ from hearth.bindings import binding, table
 from hearth.functions import (
     round_half_even, round_half_up, to_decimal, conform, zero_pad_code, split_last_token, strip_literal,
     duration_to_int, quarter_start, quarter_label, parse_date, parse_timestamp, minute_stamp, yyyymm,
-    yyyymm_to_date, second_stamp,
+    yyyymm_to_date, second_stamp, run_timestamp_literal,
 )
 from hearth.operators import with_tags
 
@@ -160,7 +160,7 @@ SELECT o_orderkey, o_totalprice, 'orders' AS data_type, DATE '2025-01-15' AS dat
 FROM orders""")
 def audit_columns_q(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    stamp = F.lit(RUN_TS).cast("timestamp_ntz")
+    stamp = run_timestamp_literal(RUN_TS)
     tagged = with_tags(o, {"data_type": "orders", "date_pulled": F.lit(RUN_DATE),
                            "update_date": second_stamp(stamp)})
     return tagged.withColumn("update_ts", F.col("update_date").try_cast("timestamp_ntz"))

@@ -59,5 +59,6 @@ def second_stamp(ts: ColumnLike) -> Column:
 
 
 def run_timestamp_literal(run_ts: _dt.datetime) -> Column:
-    """The run time is a parameter, never CURRENT_TIMESTAMP, so reruns reproduce."""
-    return F.lit(run_ts).cast("timestamp_ntz")
+    """The run time is a parameter, never CURRENT_TIMESTAMP, so reruns reproduce.
+    Built from text, so neither the Python nor the session time zone shifts it."""
+    return F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

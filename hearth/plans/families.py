@@ -18,6 +18,7 @@ from hearth.functions import (
     zero_pad_code, split_last_token, strip_literal, duration_to_int, quarter_start, text_default, us_abbrev,
     abs_int_default, total_from_share, complement, prior_from_ratio, prior_from_ratio_guarded, count_from_rate,
     guarded_ratio, round_half_even, round_half_up, minute_stamp, nonfinite_to_zero, fill_defaults, conform,
+    run_timestamp_literal,
 )
 from hearth.operators import (
     Derived, measures, with_prior_levels, round_columns, footer_reject, project_layout, melt, header_to_date,
@@ -37,7 +38,7 @@ def _doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _stamp(run_ts: _dt.datetime):
-    return F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S")).try_cast("timestamp_ntz")
+    return run_timestamp_literal(run_ts.replace(microsecond=0))
 
 
 def _geo_keys(df: DataFrame, geo: S.Geography) -> DataFrame:
@@ -178,7 +179,7 @@ def tracker_publish(prior: DataFrame, run_ts: _dt.datetime) -> DataFrame:
              "is_seasonally_adjusted", "region", "city", "state", "state_code", "property_type", "property_type_id"]
     return prior.select(*ident, *_publish_block(""), *_publish_block("_lm"), *_publish_block("_ly"),
                         *S.TRACKER_TEXT_UNTRIMMED, "last_updated",
-                        minute_stamp(F.lit(run_ts).cast("timestamp_ntz")).alias("nk_update_date"))
+                        minute_stamp(run_timestamp_literal(run_ts)).alias("nk_update_date"))
 
 
 def tracker_layout() -> list[tuple[str, str]]:
