@@ -166,3 +166,56 @@ def test_home_values_series(spark, tmpdir_path):
                    (58710, 248, dt.date(2024, 2, 29), 127000.0, dt.date(2025, 1, 15), None)]
     dim = read_table(spark, f"{tmpdir_path}/DIM").collect()
     assert len(dim) == 1 and dim[0].Zip_Code == "02301" and dim[0].dataset_type == "Home_Values"
+
+
+def _hotness_raw(spark, keys: dict):
+    cols = dict(keys)
+    cols.update(month_date_yyyymm="202401", hh_rank="3", hotness_rank="5", hotness_rank_mm="1", hotness_rank_yy="-2",
+                hotness_score="1.23456", supply_score="2", demand_score="3", median_days_on_market="30",
+                median_days_on_market_mm="0", median_days_on_market_yy="0", median_dom_mm_day="3",
+                median_dom_yy_day="4", median_dom_vs_us="5", page_view_count_per_property_mm="0.1",
+                page_view_count_per_property_yy="0.2", page_view_count_per_property_vs_us="0.3",
+                median_listing_price="1000", median_listing_price_mm="0.25", median_listing_price_yy="0",
+                median_listing_price_vs_us="1", quality_flag=None)
+    names = list(cols)
+    return spark.createDataFrame([tuple(cols[n] for n in names)], ", ".join(f"`{n}` string" for n in names))
+
+
+def test_hotness_county_and_metro(spark):
+    county = fam.hotness_transform(_hotness_raw(spark, {"county_fips": "6037", "county_name": "los angeles, ca",
+                                                        "cbsa_code": "31080", "cbsa_title": None}),
+                                   S.HOTNESS_GEOGRAPHIES["county"], RUN)
+    r = county.first()
+    assert county.columns[:5] == ["month_date_yyyymm", "county_fips", "county_name", "cbsa_code", "cbsa_title"]
+    assert (r.county_fips, r.cbsa_code, r.cbsa_title, r.hotness_rank_lm, r.hotness_rank_ly) == (6037, 31080, "", 6, 7)
+    assert (r.median_listing_price_lm, r.median_listing_price_us) == (800, 500)
+    metro = fam.hotness_transform(_hotness_raw(spark, {"cbsa_code": "14460", "cbsa_title": "Boston, MA"}),
+                                  S.HOTNESS_GEOGRAPHIES["metro"], RUN).first()
+    assert (metro.cbsa_code, metro.cbsa_title, str(metro.hotness_score)) == (14460, "Boston, MA", "1.2346")
+
+
+def test_inventory_state_and_metro(spark):
+    def raw(keys):
+        cols = dict(keys, month_date_yyyymm="202401", quality_flag="1")
+        for m in S.INVENTORY_MEASURES:
+            cols.update({m: "10", f"{m}_mm": "1", f"{m}_yy": "-0.5"})
+        names = list(cols)
+        return spark.createDataFrame([tuple(cols[n] for n in names)], ", ".join(f"`{n}` string" for n in names))
+    st = fam.inventory_transform(raw({"state": "Massachusetts", "state_id": "ma"}), S.INVENTORY_GEOGRAPHIES["state"], RUN)
+    r = st.first()
+    assert st.columns[:3] == ["month_date_yyyymm", "state", "state_id"]
+    assert (r.state_id, r.active_listing_count_lm, r.active_listing_count_ly, r.quality_flag) == ("ma", 5.0, 20.0, 1)
+    me = fam.inventory_transform(raw({"cbsa_code": "14460", "cbsa_title": "Boston, MA", "HouseholdRank": "10"}),
+                                 S.INVENTORY_GEOGRAPHIES["metro"], RUN).first()
+    assert (me.cbsa_code, me.HouseholdRank, me.median_listing_price) == (14460, 10, 10)
+
+
+def test_tracker_latest_only_append(spark, tmpdir_path):
+    _write(f"{tmpdir_path}/t1/a.tsv000.gz", _tracker_lines("2024-10-01"), gz=True)
+    assert fam.run_tracker(spark, f"{tmpdir_path}/t1", f"{tmpdir_path}/T", RUN).action == "full"
+    lines = _tracker_lines("2024-11-01") + _tracker_lines("2024-12-01")[1:]
+    _write(f"{tmpdir_path}/t2/b.tsv000.gz", ["junk line"] + lines, gz=True)
+    res = fam.run_tracker(spark, f"{tmpdir_path}/t2", f"{tmpdir_path}/T", RUN, latest_only=True)
+    assert (res.action, res.rows_written, str(res.extract_max)) == ("append", 1, "2024-12-01")
+    assert sorted(str(r.period_begin) for r in read_table(spark, f"{tmpdir_path}/T").collect()) == \
+        ["2024-10-01", "2024-12-01"]
