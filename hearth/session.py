@@ -33,12 +33,33 @@ SESSION_DEFAULTS = {
 }
 
 
+# Sizing for the large-cluster target (~100 TB input, ~1000 executors). The
+# initial shuffle width is high on purpose: AQE coalesces small partitions to
+# the advisory size at runtime, while a too-low width cannot be split after
+# the fact and spills. Scan splits and advisory sizes aim at ~256 MB per task.
+CLUSTER_PROFILE = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    # Runtime (AQE) broadcast only below this measured size; planning-time
+    # broadcasts use Spark's estimate against the same bound.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "hearth", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "hearth", extra: dict | None = None, profile: str = "local") -> SparkSession:
+    """Our session: ``profile='cluster'`` adds CLUSTER_PROFILE sizing."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
+    if profile == "cluster":
+        conf.update(CLUSTER_PROFILE)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
