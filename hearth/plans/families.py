@@ -26,7 +26,8 @@ from hearth.operators import (
 )
 from hearth.plans import specs as S
 from hearth.functions._util import q
-from hearth.sinks import freshness_gate, write_replace, dimension_snapshot, GateResult
+from hearth.quality import reject_rows
+from hearth.sinks import freshness_gate, write_replace, write_append, dimension_snapshot, GateResult
 from hearth.sources import read_delimited_raw, read_preamble_tsv
 
 
@@ -271,10 +272,24 @@ def weekly_transform(raw: DataFrame, measure: str = "adjusted_average_new_listin
 # ---------------------------------------------------------------------------
 # Runners: landed files -> target tables
 
+def _quarantine(raw: DataFrame, numeric: Sequence[str], keys: Sequence[str], path: str | None,
+                rules: dict | None = None) -> None:
+    """Write values that fail their declared type (or a named rule) to a quarantine table."""
+    if path:
+        present = [c for c in numeric if c in raw.columns]
+        write_append(reject_rows(raw, [(c, "double") for c in present], [k for k in keys if k in raw.columns],
+                                 rules), path)
+
+
 def run_inventory(spark: SparkSession, geography: str, landed_path: str, target_path: str,
-                  run_ts: _dt.datetime) -> GateResult:
+                  run_ts: _dt.datetime, quarantine_path: str | None = None) -> GateResult:
     geo = S.INVENTORY_GEOGRAPHIES[geography]
-    extract = inventory_transform(read_delimited_raw(spark, landed_path), geo, run_ts)
+    raw = footer_reject(read_delimited_raw(spark, landed_path), "month_date_yyyymm")
+    numeric = S.INVENTORY_MEASURES + [f"{m}{s}" for m in S.INVENTORY_MEASURES for s in ("_mm", "_yy")]
+    keys = ["month_date_yyyymm"] + [geo.pad[0] if geo.pad and k == geo.pad[1] else k for k, _ in geo.keys]
+    keys = list(dict.fromkeys(keys + list(geo.text)))
+    _quarantine(raw, numeric, keys, quarantine_path)
+    extract = inventory_transform(raw, geo, run_ts)
     return freshness_gate(spark, extract, target_path, "month_date_yyyymm")
 
 
@@ -302,8 +317,13 @@ def run_series(spark: SparkSession, spec: S.SeriesSpec, run_date: _dt.date, fact
     return fact
 
 
-def run_investor(spark: SparkSession, landed_path: str, target_path: str, run_ts: _dt.datetime) -> DataFrame:
+def run_investor(spark: SparkSession, landed_path: str, target_path: str, run_ts: _dt.datetime,
+                 quarantine_path: str | None = None) -> DataFrame:
     raw = read_delimited_raw(spark, landed_path).withColumn("row_no", F.col("row_no").try_cast("long"))
+    quarter = F.col(S.INVESTOR_QUARTER)
+    _quarantine(raw, [S.INVESTOR_SHARE, S.INVESTOR_PURCHASES, S.INVESTOR_YOY], ["row_no", S.INVESTOR_METRO],
+                quarantine_path, {S.INVESTOR_QUARTER: ("quarter 'YYYY QN'",
+                                                       quarter.isNotNull() & quarter_start(quarter).isNull())})
     out = investor_transform(raw, run_ts)
     write_replace(out.withColumn("start_quarter_date", F.col("start_quarter_date").cast("date")), target_path)
     return out

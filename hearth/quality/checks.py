@@ -35,15 +35,21 @@ def schema_report(df: DataFrame, target: Sequence[tuple[str, str]]) -> list[tupl
     return [(c, t, actual.get(c.lower())) for c, t in target]
 
 
-def reject_rows(raw: DataFrame, target: Sequence[tuple[str, str]], keys: Sequence[str]) -> DataFrame:
+def reject_rows(raw: DataFrame, target: Sequence[tuple[str, str]], keys: Sequence[str],
+                rules: dict[str, tuple[str, F.Column]] | None = None) -> DataFrame:
     """Quarantine: one row per (record, column) whose text is present but does
-    not cast to the declared type. Computed in the same pass as the cast."""
+    not cast to the declared type, plus one per failed named rule
+    (``{column: (rule name, failure predicate)}``, e.g. a malformed quarter).
+    One pass, no shuffle."""
     fails = []
     for c, t in target:
         src = F.col(f"`{c}`")
         bad = src.isNotNull() & src.cast("string").try_cast(t).isNull()
         fails.append(F.when(bad, F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("declared_type"),
                                           src.cast("string").alias("raw_value"))))
+    for c, (rule, bad) in (rules or {}).items():
+        fails.append(F.when(bad, F.struct(F.lit(c).alias("column_name"), F.lit(rule).alias("declared_type"),
+                                          F.col(f"`{c}`").cast("string").alias("raw_value"))))
     arr = F.filter(F.array(*fails), lambda x: x.isNotNull())
     return (raw.select(*[F.col(f"`{k}`") for k in keys], F.explode(arr).alias("f"))
             .select(*[F.col(f"`{k}`") for k in keys], "f.*"))

@@ -43,7 +43,9 @@ def _inventory_file(path, month):
 def test_inventory_zip_history_then_append(spark, tmpdir_path):
     target = f"{tmpdir_path}/REALTOR_MNTHLY_ZIP"
     _inventory_file(f"{tmpdir_path}/hist/h.csv", 202401)
-    assert fam.run_inventory(spark, "zip", f"{tmpdir_path}/hist", target, RUN).action == "full"
+    assert fam.run_inventory(spark, "zip", f"{tmpdir_path}/hist", target, RUN,
+                             quarantine_path=f"{tmpdir_path}/Q").action == "full"
+    assert read_table(spark, f"{tmpdir_path}/Q") is None or read_table(spark, f"{tmpdir_path}/Q").count() == 0
     out = {r.zip_code: r for r in read_table(spark, target).collect()}
     assert set(out) == {"02301", "10001"}
     r = out["02301"]
@@ -127,7 +129,10 @@ def test_investor_fill_down_and_guards(spark, tmpdir_path):
              '1,2024 Q4,"Boston, MA",0.2,20,0.25', '2,,"Austin, TX",0,5,-1', '3,,,,,',
              '4,2024-3,"Miami, FL",0.1,10,', '5,,"Denver, CO",0.5,1,0']
     _write(f"{tmpdir_path}/inv/x.csv", lines)
-    out = {r["Redfin Metro"]: r for r in fam.run_investor(spark, f"{tmpdir_path}/inv", f"{tmpdir_path}/INV", RUN).collect()}
+    out = {r["Redfin Metro"]: r for r in fam.run_investor(spark, f"{tmpdir_path}/inv", f"{tmpdir_path}/INV", RUN,
+                                                          quarantine_path=f"{tmpdir_path}/Q").collect()}
+    q = [tuple(r) for r in read_table(spark, f"{tmpdir_path}/Q").collect()]
+    assert q == [(4, "Miami, FL", "Quarter", "quarter 'YYYY QN'", "2024-3")]
     assert len(out) == 4
     b, a, m, d = out["Boston, MA"], out["Austin, TX"], out["Miami, FL"], out["Denver, CO"]
     assert (b.Quarter, b.start_quarter_date, b.total_purchases, b.non_investor_purchases, b.Investor_Purchases_LY) == \
