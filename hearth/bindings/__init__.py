@@ -41,10 +41,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     still scans the data."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    hit = _TABLES.get(key)
+    # The entry holds its session, so an id is never reused while cached; a
+    # stopped or different session gets a fresh read.
+    if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
+        hit = _TABLES[key] = (spark, spark.read.parquet(path))
+    return hit[1]
 
 
 def load_all() -> dict[str, Binding]:
