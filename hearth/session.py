@@ -81,26 +81,30 @@ def _is_local(spark: SparkSession) -> bool:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and staged tables.
 
-    Read from the session; set our own only where it is unset and only in
-    local mode, so a cluster job never writes to a machine-local folder.
-    """
+    Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
+    folder). Only when neither is set *and* Spark runs in local mode (tests,
+    laptop runs) do we pick our own folder; on a cluster that is an error, so a
+    job never writes to a machine-local folder."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        try:
-            path = spark.sparkContext.getCheckpointDir()
-        except Exception:
-            path = None
-    if not path:
-        if not _is_local(spark):
-            raise RuntimeError("spark.checkpoint.dir is not set; a shared folder is required on a cluster")
-        path = tempfile.mkdtemp(prefix="hearth-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+    ctx_dir = None
     try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(path)
-    except Exception:
+        ctx_dir = spark.sparkContext.getCheckpointDir()
+    except Exception:  # Spark Connect: no SparkContext
         pass
-    return path.rstrip("/")
+    if path:
+        if not ctx_dir:
+            try:
+                spark.sparkContext.setCheckpointDir(path)
+            except Exception:
+                pass
+        return path.rstrip("/")
+    if ctx_dir:
+        return ctx_dir.rstrip("/")
+    if not _is_local(spark):
+        raise RuntimeError("spark.checkpoint.dir is not set; a shared folder is required on a cluster")
+    # spark.checkpoint.dir cannot be changed at runtime; the context's folder can.
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="hearth-ckpt-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
