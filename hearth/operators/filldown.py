@@ -29,11 +29,23 @@ from pyspark.sql import types as T
 DEFAULT_BUCKET_WIDTH = 1 << 20
 
 
+def _order_key(df: DataFrame, order_col: str) -> F.Column:
+    """A monotonic integer view of the order column (dates and timestamps map
+    to epoch days / microseconds), used only to form buckets."""
+    c = F.col(f"`{order_col}`")
+    dtype = df.schema[order_col].dataType
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("long")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp"))
+    return c
+
+
 def auto_bucket_width(df: DataFrame, order_col: str, minimum: int = 64) -> int:
     """About sqrt(range) rows per bucket: both a bucket (one task) and the
-    bucket summary (one row per bucket) then stay near sqrt(N) rows.
-    The min/max come from Parquet footers when the column is stored."""
-    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    bucket summary (one row per bucket) then stay near sqrt(N) rows."""
+    key = _order_key(df, order_col)
+    lo, hi = df.agg(F.min(key), F.max(key)).first()
     if lo is None:
         return DEFAULT_BUCKET_WIDTH
     return max(minimum, math.isqrt(int(hi) - int(lo) + 1))
@@ -54,9 +66,9 @@ def _default_for(dtype: T.DataType):
 
 def fill_down(df: DataFrame, columns: Sequence[str], order_col: str, keys: Sequence[str] = (),
               bucket_width: int | None = None) -> DataFrame:
-    """Forward-fill ``columns`` ordered by the numeric ``order_col`` (a row number
-    in file order, unique within a key), optionally within ``keys``.
-    ``bucket_width`` defaults to sqrt of the order-column range."""
+    """Forward-fill ``columns`` ordered by ``order_col`` (a row number in file
+    order, or a date/timestamp; unique within a key), optionally within
+    ``keys``. ``bucket_width`` (in order-key units) defaults to sqrt of the range."""
     if not columns:
         return df
     keys = list(keys)
@@ -75,7 +87,8 @@ def fill_down(df: DataFrame, columns: Sequence[str], order_col: str, keys: Seque
         if d is None:
             kc, d = kc.cast("string"), F.lit("")
         grp += [F.coalesce(kc, d).alias(f"__g{i}"), F.isnull(F.col(f"`{k}`")).alias(f"__n{i}")]
-    grp.append(F.coalesce(F.floor(order / F.lit(bucket_width)), F.lit(-1)).cast("long").alias("__gb"))
+    grp.append(F.coalesce(F.floor(_order_key(df, order_col) / F.lit(bucket_width)), F.lit(-1)).cast("long")
+               .alias("__gb"))
     names = [c for c in ([f"__g{i}" for i in range(len(keys))] + [f"__n{i}" for i in range(len(keys))])] + ["__gb"]
     base = df.select("*", *grp)
     part = [F.col(n) for n in names]

@@ -61,3 +61,22 @@ def test_fill_down_equals_single_window(spark, rows, width):
     ref = df.withColumn("q", F.last("q", ignorenulls=True).over(w))
     key = lambda r: r[0]
     assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, ref.collect()), key=key)
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="abcxyz", min_size=0, max_size=4), min_size=1, max_size=300), st.integers(1, 9))
+def test_surrogate_keys_dense_and_ordered(spark, labels, parts):
+    from hearth.operators import surrogate_key
+    df = spark.createDataFrame([(x,) for x in labels], "t string")
+    got = surrogate_key(df, "t", "k", partitions=parts).collect()
+    expect = {lab: i for i, lab in enumerate(sorted(set(labels), key=lambda v: v.encode()))}
+    assert {r.t: r.k for r in got} == expect and len(got) == len(expect)
+
+
+def test_fill_down_by_timestamp(spark):
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1)
+    rows = [(base + dt.timedelta(hours=7 * i), "a" if i % 5 == 0 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, q string")
+    out = [r.q for r in fill_down(df, ["q"], "ts").orderBy("ts").collect()]
+    assert out == ["a"] * 60
