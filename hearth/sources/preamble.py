@@ -5,7 +5,10 @@ The header of each file is the first line that contains every header token
 parallel: line order inside a file comes from the split start plus the
 monotonically increasing row id within the split (gzip files are never split).
 One small table (one row per file) holds the header position of every file;
-it is staged in the shared folder and never collected.
+it is staged in the shared folder and never collected. Both scans (header
+positions, body) run on one DataFrame, so they share one file listing and
+split layout: the row ids they compare are the same ids, and a file landing
+mid-run is simply not part of this read.
 """
 
 from __future__ import annotations
