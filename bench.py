@@ -52,23 +52,33 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [k for k in os.environ.get("BENCH_ONLY", "").split(",") if k]
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app_name="hearth-bench",
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g")})
     reg = load_all()
     jobs = {k: (lambda k=k: reg[k].fn(spark, sf_dir)) for k in (only or HEADLINE)}
     if not only:
         jobs.update(transform_only_jobs(spark, sf_dir))
     keys = list(jobs)
     runs: dict[str, list[float]] = {k: [] for k in keys}
+    failed: dict[str, str] = {}
     for i in range(repeat + 1):
         for key in keys:
+            if key in failed:
+                continue
             t = time.perf_counter()
-            jobs[key]().write.format("noop").mode("overwrite").save()
+            try:
+                jobs[key]().write.format("noop").mode("overwrite").save()
+            except Exception as e:  # record and keep measuring the others
+                failed[key] = f"{type(e).__name__}: {str(e)[:200]}"
+                continue
             if i:
                 runs[key].append(time.perf_counter() - t)
-    times = {k: round(statistics.median(v), 3) for k, v in runs.items()}
+    times = {k: round(statistics.median(v), 3) for k, v in runs.items() if v and k not in failed}
     sf = os.path.basename(sf_dir).replace("sf", "")
-    print(json.dumps({"metric": "headline_total_warm_median", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf}))
+    out = {"metric": "headline_total_warm_median", "value": round(sum(times.values()), 3), "unit": "sec",
+           "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 
