@@ -111,3 +111,12 @@ def test_audit_and_quality(spark, tmpdir_path):
     rep = {r.column_name: (r.max_length, r.rows_over) for r in text_length_report(df, {"d": 5}).collect()}
     assert rep == {"d": (10, 2)}
     assert schema_report(df, [("p", "int"), ("zz", "string")]) == [("p", "int", "int"), ("zz", "string", None)]
+
+
+def test_jdbc_writer_reaches_spark_jdbc(spark):
+    """No database may run here: an unknown JDBC scheme proves the call reaches
+    Spark's JDBC writer (it fails looking up a driver, before any connection)."""
+    from hearth.sinks import write_jdbc
+    with pytest.raises(Exception) as err:
+        write_jdbc(spark.range(3), "jdbc:hearth-none:target", "t", batchsize=500, num_partitions=2)
+    assert "driver" in str(err.value).lower()
