@@ -330,5 +330,16 @@ def run_investor(spark: SparkSession, landed_path: str, target_path: str, run_ts
 
 
 def run_weekly(spark: SparkSession, landed_path: str) -> DataFrame:
+    """Every column but the text, id and period columns is a measure (double)."""
     raw = read_delimited_raw(spark, landed_path, sep="\t")
-    return weekly_transform(_doubles(raw, [c for c in raw.columns if c.startswith("adjusted_")]))
+    typed = []
+    for c in raw.columns:
+        if c in S.WEEKLY_TEXT:
+            typed.append(q(c))
+        elif c in S.WEEKLY_INTS:
+            typed.append(f"try_cast({q(c)} AS int) AS {q(c)}")
+        elif c in S.WEEKLY_DATES:
+            typed.append(f"try_cast({q(c)} AS date) AS {q(c)}")
+        else:
+            typed.append(f"try_cast({q(c)} AS double) AS {q(c)}")
+    return weekly_transform(raw.selectExpr(*typed))

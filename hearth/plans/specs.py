@@ -75,6 +75,11 @@ INVESTOR_LAYOUT = ["Quarter", "start_quarter_date", "Redfin Metro", "Investor Ma
                    "Investor Purchases YoY", "total_purchases", "non_investor_purchases", "Investor_Purchases_LY",
                    "Update_Date"]
 
+# Weekly tracker columns that are not measures.
+WEEKLY_TEXT = ["region_name", "region_type", "duration"]
+WEEKLY_INTS = ["region_type_id", "region_id"]
+WEEKLY_DATES = ["period_begin", "period_end"]
+
 # The disclaimer closing the landed inventory/hotness files.
 FOOTER_TEXT = "quality_flag = 1:  year-over-year figures may be impacted"
 

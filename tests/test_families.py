@@ -144,10 +144,16 @@ def test_investor_fill_down_and_guards(spark, tmpdir_path):
 
 
 def test_weekly(spark, tmpdir_path):
-    lines = ["region_name\tduration\tadjusted_average_new_listings\tadjusted_average_new_listings_yoy",
-             "Boston, MA metro area\t4 weeks\t110\t0.1", "Nowhere\t1 weeks\t50\t-1"]
+    lines = ["region_name\tregion_id\tperiod_begin\tduration\tadjusted_average_new_listings\t"
+             "adjusted_average_new_listings_yoy\tmedian_days_on_market\tmedian_days_on_market_yoy",
+             "Boston, MA metro area\t7\t2024-01-01\t4 weeks\t110\t0.1\t30.123456\t0.5",
+             "Nowhere\t8\t2024-01-01\t1 weeks\t50\t-1\t\t"]
     _write(f"{tmpdir_path}/wk/w.tsv000", lines)
-    out = {r.region_name: r for r in fam.run_weekly(spark, f"{tmpdir_path}/wk").collect()}
+    df = fam.run_weekly(spark, f"{tmpdir_path}/wk")
+    types = dict(df.dtypes)
+    assert (types["region_id"], types["period_begin"], types["median_days_on_market"]) == ("int", "date", "double")
+    out = {r.region_name: r for r in df.collect()}
+    assert out["Boston, MA metro area"].median_days_on_market == 30.1235
     assert (out["Boston, MA metro area"].state, out["Boston, MA metro area"].duration_weeks) == ("MA", 4)
     assert out["Boston, MA metro area"].adjusted_average_new_listings_ly == 100.0
     assert out["Nowhere"].state == "Nowhere" and out["Nowhere"].adjusted_average_new_listings_ly is None
