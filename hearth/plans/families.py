@@ -273,12 +273,17 @@ def weekly_transform(raw: DataFrame, measure: str = "adjusted_average_new_listin
 # Runners: landed files -> target tables
 
 def _quarantine(raw: DataFrame, numeric: Sequence[str], keys: Sequence[str], path: str | None,
-                rules: dict | None = None) -> None:
+                rules: dict | None = None, typed_keys: Sequence[tuple[str, str]] = ()) -> None:
     """Write values that fail their declared type (or a named rule) to a quarantine table."""
     if path:
-        present = [c for c in numeric if c in raw.columns]
-        write_append(reject_rows(raw, [(c, "double") for c in present], [k for k in keys if k in raw.columns],
-                                 rules), path)
+        target = [(c, "double") for c in numeric if c in raw.columns] + \
+                 [(c, t) for c, t in typed_keys if c in raw.columns]
+        write_append(reject_rows(raw, target, [k for k in keys if k in raw.columns], rules), path)
+
+
+def _typed_geo_keys(geo: S.Geography) -> list[tuple[str, str]]:
+    """Non-text geography keys with their declared types (a padded code is text)."""
+    return [(k, t) for k, t in geo.keys if t != "string"]
 
 
 def run_inventory(spark: SparkSession, geography: str, landed_path: str, target_path: str,
@@ -288,21 +293,28 @@ def run_inventory(spark: SparkSession, geography: str, landed_path: str, target_
     numeric = S.INVENTORY_MEASURES + [f"{m}{s}" for m in S.INVENTORY_MEASURES for s in ("_mm", "_yy")]
     keys = ["month_date_yyyymm"] + [geo.pad[0] if geo.pad and k == geo.pad[1] else k for k, _ in geo.keys]
     keys = list(dict.fromkeys(keys + list(geo.text)))
-    _quarantine(raw, numeric, keys, quarantine_path)
+    _quarantine(raw, numeric, keys, quarantine_path, typed_keys=[("month_date_yyyymm", "int")] + _typed_geo_keys(geo))
     extract = inventory_transform(raw, geo, run_ts)
     return freshness_gate(spark, extract, target_path, "month_date_yyyymm")
 
 
 def run_hotness(spark: SparkSession, geography: str, landed_path: str, target_path: str,
-                run_ts: _dt.datetime, latest_only: bool = False) -> GateResult:
+                run_ts: _dt.datetime, latest_only: bool = False, quarantine_path: str | None = None) -> GateResult:
     geo = S.HOTNESS_GEOGRAPHIES[geography]
-    extract = hotness_transform(read_delimited_raw(spark, landed_path), geo, run_ts)
+    raw = footer_reject(read_delimited_raw(spark, landed_path), "month_date_yyyymm")
+    numeric = (["hh_rank", "hotness_rank", "median_days_on_market", "median_listing_price"] + S.HOTNESS_SCORES
+               + S.HOTNESS_PAGE_VIEWS + S.HOTNESS_CHANGE_INPUTS)
+    keys = ["month_date_yyyymm"] + [geo.pad[0] if geo.pad and k == geo.pad[1] else k for k, _ in geo.keys]
+    _quarantine(raw, numeric, list(dict.fromkeys(keys)), quarantine_path, typed_keys=_typed_geo_keys(geo))
+    extract = hotness_transform(raw, geo, run_ts)
     return freshness_gate(spark, extract, target_path, "month_date_yyyymm", latest_only=latest_only)
 
 
 def run_tracker(spark: SparkSession, landed_path: str, target_path: str, run_ts: _dt.datetime,
-                latest_only: bool = False) -> GateResult:
+                latest_only: bool = False, quarantine_path: str | None = None) -> GateResult:
     raw = read_preamble_tsv(spark, landed_path, S.TRACKER_HEADER_TOKENS)
+    _quarantine(raw, tracker_measure_columns(), ["period_begin", "region", "property_type"], quarantine_path,
+                typed_keys=[("period_begin", "date"), ("period_end", "date")])
     extract = tracker_transform(raw, run_ts)
     return freshness_gate(spark, extract, target_path, "period_begin", latest_only=latest_only)
 

@@ -61,6 +61,17 @@ def test_inventory_zip_history_then_append(spark, tmpdir_path):
     assert read_table(spark, target).count() == 4
 
 
+def test_inventory_quarantines_bad_keys_and_measures(spark, tmpdir_path):
+    header = ["month_date_yyyymm", "county_fips", "county_name"] + \
+        [c for m in S.INVENTORY_MEASURES for c in (m, f"{m}_mm", f"{m}_yy")] + ["quality_flag"]
+    good = ["202401", "6037", "los angeles"] + ["1"] * (3 * len(S.INVENTORY_MEASURES)) + [""]
+    bad = ["202401", "n/a", "somewhere"] + ["x"] + ["1"] * (3 * len(S.INVENTORY_MEASURES) - 1) + [""]
+    _write(f"{tmpdir_path}/c/a.csv", [",".join(header), ",".join(good), ",".join(bad)])
+    fam.run_inventory(spark, "county", f"{tmpdir_path}/c", f"{tmpdir_path}/T", RUN, quarantine_path=f"{tmpdir_path}/Q")
+    q = sorted((r.column_name, r.raw_value) for r in read_table(spark, f"{tmpdir_path}/Q").collect())
+    assert q == [("county_fips", "n/a"), ("median_listing_price", "x")]
+
+
 def test_inventory_other_geographies(spark):
     raw = spark.createDataFrame([("202401", "6037", "los angeles, ca", 500.0, 0.25, 0.0)],
                                 "month_date_yyyymm string, county_fips string, county_name string, "
@@ -84,7 +95,9 @@ def test_hotness_zip(spark, tmpdir_path):
     row = ["202401", "2301", "brockton, ma", "15", "10", "2", "3", "55.123456", "40", "12.345678", "40", "0.1", "0.2",
            "5", "-10", "4", "1.234567", "", "0.5", "300000", "0.2", "-1", "0.5", "1"]
     _write(f"{tmpdir_path}/hot/a.csv", [",".join(header), ",".join(f'"{v}"' for v in row), f'"{S.FOOTER_TEXT}"'], bom=True)
-    assert fam.run_hotness(spark, "zip", f"{tmpdir_path}/hot", f"{tmpdir_path}/HOT", RUN).action == "full"
+    assert fam.run_hotness(spark, "zip", f"{tmpdir_path}/hot", f"{tmpdir_path}/HOT", RUN,
+                           quarantine_path=f"{tmpdir_path}/HQ").action == "full"
+    assert read_table(spark, f"{tmpdir_path}/HQ") is None or read_table(spark, f"{tmpdir_path}/HQ").count() == 0
     r = read_table(spark, f"{tmpdir_path}/HOT").first()
     assert (r.zip_code, r.household_count_rank, r.hotness_rank, r.hotness_rank_lm, r.hotness_rank_ly) == ("02301", 15, 10, 12, 7)
     assert str(r.demand_score) == "12.3500" and str(r.hotness_score) == "55.1235"
@@ -112,7 +125,9 @@ def _tracker_lines(period, state="U.S."):
 def test_tracker_with_preamble(spark, tmpdir_path):
     _write(f"{tmpdir_path}/trk/us.tsv000.gz", ["Redfin data center", "generated 2025-01-10"] + _tracker_lines("2024-12-01"),
            gz=True)
-    assert fam.run_tracker(spark, f"{tmpdir_path}/trk", f"{tmpdir_path}/TRK", RUN).action == "full"
+    assert fam.run_tracker(spark, f"{tmpdir_path}/trk", f"{tmpdir_path}/TRK", RUN,
+                           quarantine_path=f"{tmpdir_path}/TQ").action == "full"
+    assert read_table(spark, f"{tmpdir_path}/TQ") is None or read_table(spark, f"{tmpdir_path}/TQ").count() == 0
     df = read_table(spark, f"{tmpdir_path}/TRK")
     r = df.first()
     assert len(df.columns) == len(fam.tracker_layout())
