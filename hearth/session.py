@@ -19,6 +19,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Partitioned writes are clustered with a rebalance hint; AQE splits a hot
+    # period into several tasks instead of one.
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # MIN/MAX/COUNT from Parquet footers where the scan supports it (V2 readers).
