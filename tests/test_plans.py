@@ -49,3 +49,19 @@ def test_partitioned_write_one_file_per_period(spark, tmpdir_path):
     overwrite_periods(df.repartition(8), f"{tmpdir_path}/t", "p")
     files = [f for _, _, fs in os.walk(f"{tmpdir_path}/t") for f in fs if f.endswith(".parquet")]
     assert len(files) <= 12 + 4          # ~one file per period (rebalance), not tasks x periods (96)
+
+
+def test_hot_period_is_split_across_tasks(spark, tmpdir_path):
+    """A period holding most rows is written by several tasks, not one."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(256 * 1024))
+    try:
+        df = spark.range(400_000).select(F.when(F.col("id") % 10 == 0, F.col("id") % 5 + 202402)
+                                         .otherwise(F.lit(202401)).alias("p"),
+                                         (F.col("id") * 7919 % 1000003).alias("v"), F.col("id"))
+        overwrite_periods(df.repartition(8), f"{tmpdir_path}/hot", "p")
+    finally:
+        spark.conf.set(key, old)
+    hot = [f for f in os.listdir(f"{tmpdir_path}/hot/p=202401") if f.endswith(".parquet")]
+    assert len(hot) > 1
