@@ -120,3 +120,11 @@ def test_jdbc_writer_reaches_spark_jdbc(spark):
     with pytest.raises(Exception) as err:
         write_jdbc(spark.range(3), "jdbc:hearth-none:target", "t", batchsize=500, num_partitions=2)
     assert "driver" in str(err.value).lower()
+
+
+def test_wide_series_requires_id_columns(spark, tmpdir_path):
+    from hearth.sources import read_wide_series
+    _write(f"{tmpdir_path}/w2.csv", "RegionID,2024-01-31\n1,5\n")
+    with pytest.raises(ValueError):
+        read_wide_series(spark, f"{tmpdir_path}/w2.csv", ["RegionID", "RegionName"])
+    assert read_wide_series(spark, f"{tmpdir_path}/w2.csv", ["RegionID"]).columns == ["RegionID", "2024-01-31"]
