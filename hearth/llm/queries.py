@@ -79,3 +79,9 @@ SELECT d.doc_id, d.size, p.source_size, p.target::DOUBLE AS target,
 FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
 JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.h = c.h
 """
+
+
+@query
+def op1_ngram_jaccard(spark, sf_dir):
+    from hearth.llm.ngram_jaccard import near_duplicates
+    return near_duplicates(read(spark, sf_dir, "documents"))
