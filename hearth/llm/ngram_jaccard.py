@@ -148,78 +148,84 @@ def _prefixes(percent, fragments):
             owner = np.repeat(np.arange(len(sig)), take)
             place = np.arange(len(owner)) - np.repeat(np.cumsum(take) - take, take)
             vals = flat[at[owner] + place]
-            out = [[], [], [], [], []]
-            for g, (own, v) in T.split_packed(T.part_of(vals, fragments), fragments, owner, vals):
-                for column, x in zip(out, (g, T.pack(sig[own]), T.pack(n[own]), T.pack(root[own]), T.pack(v))):
-                    column.append(x)
+            rest = shared[owner] - place  # this shingle and all that follow it
+            alone = ((n - shared) * 1000 // n)[owner]
+            out = [[] for _ in range(7)]
+            for g, (own, v, left, few) in T.split_packed(T.part_of(vals, fragments), fragments, owner, vals, rest, alone):
+                for column, x in zip(out, (g, sig[own], n[own], root[own], left, few, v)):
+                    column.append(x if column is out[0] else T.pack(x))
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32())] + [pa.array(c, pa.binary()) for c in out[1:]],
-                                             ["frag", "sigs", "ns", "roots", "vals"])
+                                             ["frag", *POSTING, "vals"])
     return run
 
 
+POSTING = ["sigs", "ns", "roots", "rests", "alone"]
+
+
 def _postings(table):
-    """(sig, n, root, list number) of one fragment, by shingle, only lists with several roots."""
-    sig, n, root = (T.unpack(table.column(c), np.int64) for c in ("sigs", "ns", "roots"))
+    """[sig, n, root, rest] and the list bounds of one fragment: the sets that hold a
+    shingle, those with the fewest shingles of their own first; lists of several roots."""
+    sig, n, root, rest, alone = (T.unpack(table.column(c), np.int64) for c in POSTING)
     vals = T.unpack(table.column("vals"), np.uint64)
-    order = np.lexsort((sig, root, vals))
-    sig, n, root, vals = sig[order], n[order], root[order], vals[order]
-    number = np.cumsum(np.concatenate([[False], vals[1:] != vals[:-1]])) if len(vals) else np.zeros(0, int)
-    new = np.concatenate([[False], (vals[1:] == vals[:-1]) & (root[1:] != root[:-1])]) if len(vals) else np.zeros(0, bool)
-    several = np.bincount(number, weights=new, minlength=1) > 0
-    mask = several[number] if len(vals) else new
-    return sig[mask], n[mask], root[mask], number[mask]
+    order = np.lexsort((sig, alone, vals))
+    sig, n, root, rest, vals = (x[order] for x in (sig, n, root, rest, vals))
+    heads = np.flatnonzero(np.concatenate([[True], vals[1:] != vals[:-1]]))
+    several = np.minimum.reduceat(root, heads) != np.maximum.reduceat(root, heads)
+    ends = np.append(heads[1:], len(vals))
+    return (sig, n, root, rest), list(zip(heads[several], ends[several]))
+
 
+def _possible(n, m, rest_n, rest_m, percent):
+    """Whether two sets whose first common shingle this is can reach the similarity:
+    the overlap is at most what follows in either set."""
+    return np.minimum(rest_n, rest_m) * (100 + percent) >= (n + m) * percent
 
-def _close(n, m, percent):
-    return np.minimum(n, m) * 100 >= np.maximum(n, m) * percent
 
+def _pair_table(pairs):
+    pairs = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-def _hub_pairs(percent):
-    """For every set the hub it meets most often: a list's first set in root order."""
+
+def _hub_pairs(percent, hubs=3):
+    """Each set with the few hubs it meets most often; a list's first sets are its hubs."""
     def run(table):
-        sig, n, root, number = _postings(table)
-        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "met": pa.array([], pa.int64())})
-        if not len(sig):
-            return none
-        head = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
-        hub = head[np.cumsum(np.concatenate([[False], number[1:] != number[:-1]]))]
-        mask = (root != root[hub]) & _close(n, n[hub], percent)
-        if not mask.any():
-            return none
-        pairs, met = np.unique(np.stack([sig[mask], sig[hub][mask]], 1), axis=0, return_counts=True)
-        order = np.lexsort((pairs[:, 1], -met, pairs[:, 0]))
-        best = order[np.concatenate([[True], pairs[order][1:, 0] != pairs[order][:-1, 0]])]
-        return pa.table({"a": pairs[best, 0], "b": pairs[best, 1], "met": met[best].astype(np.int64)})
+        (sig, n, root, rest), lists = _postings(table)
+        met = []
+        for lo, hi in lists:
+            for h in range(lo, min(lo + hubs, hi - 1)):
+                ok = _possible(n[h + 1:hi], n[h], rest[h + 1:hi], rest[h], percent) & (root[h + 1:hi] != root[h])
+                if ok.any():
+                    met.append(np.stack([sig[h + 1:hi][ok], np.full(int(ok.sum()), sig[h])], 1))
+        if not met:
+            return _pair_table([])
+        pairs, count = np.unique(np.concatenate(met), axis=0, return_counts=True)
+        order = np.lexsort((pairs[:, 1], -count, pairs[:, 0]))
+        pairs = pairs[order]
+        heads = np.flatnonzero(np.concatenate([[True], pairs[1:, 0] != pairs[:-1, 0]]))
+        nth = np.arange(len(pairs)) - np.repeat(heads, np.diff(np.append(heads, len(pairs))))
+        return _pair_table([pairs[nth < hubs]])
     return run
 
 
 def _all_pairs(percent, block=1_000_000):
-    """Every pair of a list that different roots hold, in blocks; a list's pairs within
-    one root are settled and never made."""
+    """Every possible pair of a list whose sets lie in different components, in blocks;
+    pairs inside one component are settled and never made."""
     def run(table):
-        sig, n, root, number = _postings(table)
+        (sig, n, root, rest), lists = _postings(table)
         held, size, out = [], 0, []
-
-        def flush():
-            if held:
-                out.append(np.unique(np.concatenate(held), axis=0))
-                held.clear()
-        cuts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])) if len(sig) else np.zeros(0, int)
-        for lo, hi in zip(cuts, np.append(cuts[1:], len(sig))):
-            order = lo + np.argsort(n[lo:hi], kind="stable")
-            s, m, r = sig[order], n[order], root[order]
-            for i in range(len(s) - 1):
-                end = np.searchsorted(m, m[i] * 100 // percent, "right")
-                other = np.flatnonzero(r[i + 1:end] != r[i]) + i + 1
-                if len(other):
-                    held.append(np.stack([np.maximum(s[other], s[i]), np.minimum(s[other], s[i])], 1))
-                    size += len(other)
+        for lo, hi in lists:
+            names, which, counts = np.unique(root[lo:hi], return_inverse=True, return_counts=True)
+            s, m, left = sig[lo:hi], n[lo:hi], rest[lo:hi]
+            large = int(np.argmax(counts))
+            for i in np.flatnonzero(which != large):  # a pair has at least one set outside the largest component
+                ok = _possible(m, m[i], left, left[i], percent) & (which != which[i])
+                if ok.any():
+                    held.append(np.stack([np.maximum(s[ok], s[i]), np.minimum(s[ok], s[i])], 1))
+                    size += int(ok.sum())
                 if size >= block:
-                    flush()
-                    size = 0
-        flush()
-        pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1], "met": np.ones(len(pairs), np.int64)})
+                    out.append(np.unique(np.concatenate(held), axis=0))
+                    held, size = [], 0
+        return _pair_table(out + held)
     return run
 
 
@@ -255,23 +261,17 @@ def link_classes(docs: DataFrame, k: int, percent: int, key: str, text: str) ->
               .applyInArrow(_shared(fragments), packed + ", dfs binary"))
     sets = stage(shared.groupBy("frag").applyInArrow(_survivors(percent), "sig long, n long, vals array<long>"),
                  "shingle_sets")
-    found, roots = [], None
-    for make in (_hub_pairs, _hub_pairs, _all_pairs):
+    roots = None
+    for make in (_hub_pairs, _all_pairs):
         ranked = sets.withColumn("root", F.col("sig")) if roots is None else sets.join(
             roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-        lists = ranked.mapInArrow(_prefixes(percent, fragments), "frag int, sigs binary, ns binary, roots binary, vals binary")
-        pairs = lists.groupBy("frag").applyInArrow(make(percent), "a long, b long, met long")
-        if make is _hub_pairs:
-            pairs = pairs.groupBy("a", "b").agg(F.sum("met").alias("met")).groupBy("a").agg(
-                F.max_by("b", F.struct("met", "b")).alias("b"))
-        else:
-            pairs = pairs.select("a", "b").distinct()
-        links = stage(_linked(stage(pairs, "shingle_pairs"), sets, percent), "shingle_links")
-        if links.isEmpty():
-            continue
-        found.append(links)
-        every = links if roots is None else links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = components(every, "a", "b")
+        lists = ranked.mapInArrow(_prefixes(percent, fragments), "frag int, " + ", ".join(f"{c} binary" for c in [*POSTING, "vals"]))
+        pairs = lists.groupBy("frag").applyInArrow(make(percent), "a long, b long").distinct()
+        links = stage(_linked(pairs, sets, percent), "shingle_links")
+        if not links.isEmpty():
+            every = links if roots is None else links.unionByName(
+                roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+            roots = components(every, "a", "b")
     if roots is None:
         roots = members.sparkSession.createDataFrame([], "node long, root long")
     return members, roots.select(F.col("node").alias("sig"), "root")
@@ -288,10 +288,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, key: str = "
     Plan: (1) a set's shingles go to their fragments, packed; a fragment finds those
     that two sets or more hold. (2) Sets too few of whose shingles occur elsewhere
     cannot link and stop here. (3) The others meet in the lists of their rarest
-    shingles. Two rounds pair each with one hub only and join what links, so a large
-    group of near copies costs one pair for each member; the last round makes every
-    pair in one list that still lies in different components. Each pair's overlap is
-    counted over all fragments, so the links are exact."""
+    shingles. A first round pairs each with a few hubs only (sets with the fewest
+    shingles of their own) and joins what links, so a large group of near copies
+    costs a few pairs for each member; a second round makes every pair of a list that
+    still lies in different components and that the shingles left after their first
+    common one allow. Each pair's overlap is counted over all fragments, so the links
+    are exact."""
     members, roots = link_classes(docs, k, percent, key, text)
     labelled = members.join(roots, "sig", "left").select(
         "doc_id", "n", F.coalesce("root", "sig").alias("label"))
