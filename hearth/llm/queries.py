@@ -85,3 +85,22 @@ JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.h = c.h
 def op1_ngram_jaccard(spark, sf_dir):
     from hearth.llm.ngram_jaccard import near_duplicates
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query
+def op9_toxicity_gru(spark, sf_dir):
+    from hearth.llm.toxicity import score_toxicity
+    return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op5_suffix_tree_lm(spark, sf_dir):
+    from hearth.llm.suffix_tree_lm import score_documents
+    return score_documents(read(spark, sf_dir, "documents"))
+
+
+@query
+def op7_fm_index_dedup(spark, sf_dir):
+    from hearth.llm.fm_dedup import remove_repeated
+    out = remove_repeated(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
