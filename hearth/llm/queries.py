@@ -104,3 +104,9 @@ def op7_fm_index_dedup(spark, sf_dir):
     from hearth.llm.fm_dedup import remove_repeated
     out = remove_repeated(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+@query
+def op2_pstable_dedup(spark, sf_dir):
+    from hearth.llm.embedding_dedup import near_duplicates
+    return near_duplicates(read(spark, sf_dir, "embeddings"))
