@@ -11,6 +11,28 @@ from pyspark.sql import DataFrame, SparkSession
 from hearth.session import stage
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not reject; it learns from those here that are labelled."""
+    from hearth.llm.toxicity import drop_toxic
+    return drop_toxic(docs, _table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near copies."""
+    from hearth.llm.ngram_jaccard import one_of_each_group
+    return one_of_each_group(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    from hearth.llm.decontamination import drop_leaked
+    return drop_leaked(docs, _table(spark, sf_dir, "benchmark"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the sources' target weights."""
     from hearth.llm.mixing import mixed
@@ -23,7 +45,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return shard_documents(docs, 24, carry=("text", "lang", "source"))
 
 
-STAGES = [("mixing", mix), ("sharding", shard)]
+STAGES = [("toxicity", toxicity), ("ngram_jaccard", near_duplicates), ("decontamination", decontaminate),
+          ("mixing", mix), ("sharding", shard)]
 
 # SQL cannot express the toxicity stage; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None

@@ -304,8 +304,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, key: str = "
 
 
 def one_of_each_group(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that link to one with a smaller id. Rows that
-    repeat the smallest id's row stay as one row."""
+    """``docs`` without the documents that link to one with a smaller id; of rows that
+    repeat a key one stays. Documents with a null key, which nothing can name, all stay."""
     groups = near_duplicates(docs, key=key, **options)
-    keep = groups.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("__kept")).distinct()
-    return docs.join(keep, F.col(key).eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates([key])
+    gone = groups.where(F.col(key) != F.col("component_id")).select(key).distinct()
+    kept = docs.join(gone, key, "left_anti").select(*docs.columns)
+    again = stage(docs.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key), "repeated_keys")
+    repeated = kept.join(again, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
+    return kept.join(again, key, "left_anti").select(*docs.columns).unionByName(repeated)

@@ -110,3 +110,15 @@ def op7_fm_index_dedup(spark, sf_dir):
 def op2_pstable_dedup(spark, sf_dir):
     from hearth.llm.embedding_dedup import near_duplicates
     return near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_seeded_alignment(spark, sf_dir):
+    from hearth.llm.decontamination import find_leaks
+    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_license_rules(spark, sf_dir):
+    from hearth.llm.license_scan import scan_licenses
+    return scan_licenses(read(spark, sf_dir, "documents"))
