@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.llm import textops as T
+from hearth.llm.ngram_jaccard import without_keys
+from hearth.session import stage
 
 SEED = 3                      # words of a seed
 MATCH, MISMATCH, GAP = 2, -1, 1
@@ -206,5 +208,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """``docs`` without those that hold a benchmark item; documents with a null key stay."""
-    leaked = find_leaks(docs, benchmark, key=key, **options).select(F.col(key)).distinct()
-    return docs.join(leaked, key, "left_anti").select(*docs.columns)
+    leaked = stage(find_leaks(docs, benchmark, key=key, **options).select(F.col(key)).distinct(), "leaked_keys")
+    return without_keys(docs, leaked, key)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from hearth.llm import textops as T
 from hearth.llm.components import components
+from hearth.operators.joins import MAX_BROADCAST_ROWS, fits
 from hearth.session import stage
 
 PER_FRAGMENT = 2_000_000  # shingles one fragment task holds
@@ -307,8 +308,17 @@ def one_of_each_group(docs: DataFrame, key: str = "doc_id", **options) -> DataFr
     """``docs`` without the documents that link to one with a smaller id; of rows that
     repeat a key one stays. Documents with a null key, which nothing can name, all stay."""
     groups = near_duplicates(docs, key=key, **options)
-    gone = groups.where(F.col(key) != F.col("component_id")).select(key).distinct()
-    kept = docs.join(gone, key, "left_anti").select(*docs.columns)
+    gone = stage(groups.where(F.col(key) != F.col("component_id")).select(key).distinct(), "copies")
+    kept = without_keys(docs, gone, key)
     again = stage(docs.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key), "repeated_keys")
+    if again.isEmpty():
+        return kept
     repeated = kept.join(again, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
-    return kept.join(again, key, "left_anti").select(*docs.columns).unionByName(repeated)
+    return without_keys(kept, again, key).unionByName(repeated)
+
+
+def without_keys(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``docs`` whose key is not among ``keys``: those are broadcast where a count shows that
+    they are few, so the texts are not moved; else both sides are shuffled."""
+    few = F.broadcast(keys) if fits(keys, MAX_BROADCAST_ROWS) else keys
+    return docs.join(few, key, "left_anti").select(*docs.columns)
