@@ -617,15 +617,14 @@ def series_sql(labels: dict, state: str | None) -> str:
     id_names = "RegionID, SizeRank, RegionName, RegionType, StateName, State, City, Metro, CountyName"
     ctes, parts = [], []
     for i, (status, label) in enumerate(labels.items()):
-        # DuckDB resolves a dynamic PIVOT before outer CTEs, so its source carries its own WITH.
-        ctes.append(f"""w{i} AS (PIVOT (WITH {PANEL_SQL}
-                    SELECT {ids}, strftime(last_day(month_start), '%Y-%m-%d') AS hdr, top_price
-                    FROM panel WHERE status = '{status}') ON hdr USING max(top_price) GROUP BY {id_names})""")
-        parts.append(f"""SELECT RegionID, SizeRank, RegionName, State, hdr, v, '{label.replace("'", "''")}' AS data_type
-  FROM w{i} UNPIVOT INCLUDE NULLS (v FOR hdr IN (COLUMNS(* EXCLUDE ({id_names}))))""")
+        # A wide file holds every month of its status for every region of it.
+        ctes.append(f"""p{i} AS (SELECT {ids}, last_day(month_start) AS hdr, top_price FROM panel WHERE status = '{status}'),
+w{i} AS (SELECT RegionID, SizeRank, RegionName, State, m.hdr, max(CASE WHEN p.hdr = m.hdr THEN top_price END) AS v
+        FROM p{i} p CROSS JOIN (SELECT DISTINCT hdr FROM p{i}) m GROUP BY {id_names}, m.hdr)""")
+        parts.append(f"""SELECT RegionID, SizeRank, RegionName, State, hdr, v, '{label.replace("'", "''")}' AS data_type FROM w{i}""")
     lookup = ", ".join(f"({k}, '{t.replace(chr(39), chr(39) * 2)}', '{d}')" for k, t, d in S.SERIES_LOOKUP)
     where = f"WHERE State = '{state}'" if state else ""
-    return f"""WITH {', '.join(ctes)},
+    return f"""WITH {PANEL_SQL}, {', '.join(ctes)},
 long AS ({' UNION ALL '.join(parts)}),
 lk AS (SELECT * FROM (VALUES {lookup}) t(LOOKUP_KEY, DATA_TYPE, DATASET_TYPE))
 SELECT coalesce(TRY_CAST(RegionID AS INTEGER), 0) AS RegionID, coalesce(TRY_CAST(SizeRank AS INTEGER), 0) AS SizeRank,

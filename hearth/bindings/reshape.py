@@ -22,12 +22,12 @@ def melt_wide_series_q(spark, sf):
 
 
 @binding("melt_header_to_date", """
-WITH w AS (
-  PIVOT (SELECT o_custkey, strftime(make_date(year(o_orderdate), 12, 31), '%Y-%m-%d') AS hdr, o_totalprice
-         FROM orders)
-  ON hdr USING round(sum(o_totalprice), 2) GROUP BY o_custkey)
-SELECT o_custkey, CAST(hdr AS DATE) AS month_end_date, v AS value
-FROM w UNPIVOT INCLUDE NULLS (v FOR hdr IN (COLUMNS(* EXCLUDE (o_custkey))))""")
+WITH o AS (SELECT o_custkey, make_date(year(o_orderdate), 12, 31) AS month_end_date, o_totalprice FROM orders),
+agg AS (SELECT o_custkey, month_end_date, round(sum(o_totalprice), 2) AS value FROM o GROUP BY ALL),
+ids AS (SELECT DISTINCT o_custkey FROM o), hdr AS (SELECT DISTINCT month_end_date FROM o)
+SELECT ids.o_custkey, hdr.month_end_date, agg.value
+FROM ids CROSS JOIN hdr
+LEFT JOIN agg ON agg.o_custkey = ids.o_custkey AND agg.month_end_date = hdr.month_end_date""")
 def melt_header_to_date_q(spark, sf):
     o = table(spark, sf, "orders")
     hdr = F.date_format(F.make_date(F.year("o_orderdate"), F.lit(12), F.lit(31)), "yyyy-MM-dd")

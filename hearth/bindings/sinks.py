@@ -131,9 +131,9 @@ def load_audit_q(spark, sf):
 
 @binding("stream_incremental_load", f"SELECT o_orderkey, o_orderstatus, o_totalprice, {YM_SQL} AS month_date_yyyymm FROM orders")
 def stream_incremental_load_q(spark, sf):
-    """Orders land as CSV in two deliveries; an availableNow file stream loads each
-    delivery once (file bookkeeping in the stream checkpoint) into the
-    period-partitioned target; a third run with nothing new changes nothing."""
+    """Orders land as CSV in two deliveries that share every period; an availableNow
+    file stream loads each delivery once (file bookkeeping in the stream checkpoint)
+    beside the other; a third run with nothing new changes nothing."""
     from hearth.streaming import landed_csv_stream, incremental_load
 
     o = _orders_by_month(spark, sf).select("o_orderkey", "o_orderstatus", "o_totalprice", "month_date_yyyymm")
@@ -148,9 +148,9 @@ def stream_incremental_load_q(spark, sf):
                              "month_date_yyyymm", ckpt)
         q.awaitTermination()
 
-    export_csv(o.where(F.col("month_date_yyyymm") < 199701), f"{landing}/delivery=1")
+    export_csv(o.where("o_orderkey % 2 = 0"), f"{landing}/delivery=1")
     run_once()
-    export_csv(o.where(F.col("month_date_yyyymm") >= 199701), f"{landing}/delivery=2")
+    export_csv(o.where("o_orderkey % 2 = 1"), f"{landing}/delivery=2")
     run_once()
     run_once()
-    return read_table(spark, target)
+    return read_table(spark, target).drop("load_batch")

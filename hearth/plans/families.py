@@ -28,7 +28,7 @@ from hearth.plans import specs as S
 from hearth.functions._util import q
 from hearth.quality import reject_rows
 from hearth.sinks import freshness_gate, write_replace, write_append, dimension_snapshot, GateResult
-from hearth.sources import read_delimited_raw, read_preamble_tsv
+from hearth.sources import read_delimited_raw, read_preamble_tsv, read_wide_series
 
 
 def _doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -281,6 +281,12 @@ def _quarantine(raw: DataFrame, numeric: Sequence[str], keys: Sequence[str], pat
         write_append(reject_rows(raw, target, [k for k in keys if k in raw.columns], rules), path)
 
 
+def _without_footer(raw: DataFrame, period: str) -> DataFrame:
+    """Without the published disclaimer line. Any other period stays, so that one
+    that does not parse is quarantined, not lost."""
+    return raw.where(~F.coalesce(F.trim(F.col(period)).startswith(S.FOOTER_TEXT.split(" ")[0]), F.lit(False)))
+
+
 def _typed_geo_keys(geo: S.Geography) -> list[tuple[str, str]]:
     """Non-text geography keys with their declared types (a padded code is text)."""
     return [(k, t) for k, t in geo.keys if t != "string"]
@@ -289,7 +295,7 @@ def _typed_geo_keys(geo: S.Geography) -> list[tuple[str, str]]:
 def run_inventory(spark: SparkSession, geography: str, landed_path: str, target_path: str,
                   run_ts: _dt.datetime, quarantine_path: str | None = None) -> GateResult:
     geo = S.INVENTORY_GEOGRAPHIES[geography]
-    raw = footer_reject(read_delimited_raw(spark, landed_path), "month_date_yyyymm")
+    raw = _without_footer(read_delimited_raw(spark, landed_path), "month_date_yyyymm")
     numeric = S.INVENTORY_MEASURES + [f"{m}{s}" for m in S.INVENTORY_MEASURES for s in ("_mm", "_yy")]
     keys = ["month_date_yyyymm"] + [geo.pad[0] if geo.pad and k == geo.pad[1] else k for k, _ in geo.keys]
     keys = list(dict.fromkeys(keys + list(geo.text)))
@@ -301,11 +307,12 @@ def run_inventory(spark: SparkSession, geography: str, landed_path: str, target_
 def run_hotness(spark: SparkSession, geography: str, landed_path: str, target_path: str,
                 run_ts: _dt.datetime, latest_only: bool = False, quarantine_path: str | None = None) -> GateResult:
     geo = S.HOTNESS_GEOGRAPHIES[geography]
-    raw = footer_reject(read_delimited_raw(spark, landed_path), "month_date_yyyymm")
+    raw = _without_footer(read_delimited_raw(spark, landed_path), "month_date_yyyymm")
     numeric = (["hh_rank", "hotness_rank", "median_days_on_market", "median_listing_price"] + S.HOTNESS_SCORES
                + S.HOTNESS_PAGE_VIEWS + S.HOTNESS_CHANGE_INPUTS)
     keys = ["month_date_yyyymm"] + [geo.pad[0] if geo.pad and k == geo.pad[1] else k for k, _ in geo.keys]
-    _quarantine(raw, numeric, list(dict.fromkeys(keys)), quarantine_path, typed_keys=_typed_geo_keys(geo))
+    _quarantine(raw, numeric, list(dict.fromkeys(keys)), quarantine_path,
+                typed_keys=[("month_date_yyyymm", "int")] + _typed_geo_keys(geo))
     extract = hotness_transform(raw, geo, run_ts)
     return freshness_gate(spark, extract, target_path, "month_date_yyyymm", latest_only=latest_only)
 
@@ -321,7 +328,8 @@ def run_tracker(spark: SparkSession, landed_path: str, target_path: str, run_ts:
 
 def run_series(spark: SparkSession, spec: S.SeriesSpec, run_date: _dt.date, fact_path: str,
                dimension_path: str) -> DataFrame:
-    wide = {label: read_delimited_raw(spark, path) for label, path in spec.sources.items()}
+    wide = {label: read_wide_series(spark, path, S.SERIES_ID_COLUMNS, S.SERIES_DROPPED)
+            for label, path in spec.sources.items()}
     long = series_long(wide, run_date, spec.state)
     dimension_snapshot(series_dimension(long), S.SERIES_DIMENSION, dimension_path, run_date, spec.dataset_type)
     fact = series_fact(long, series_lookup(spark))

@@ -89,6 +89,8 @@ def shared_dir(spark: SparkSession) -> str:
     laptop runs) do we pick our own folder; on a cluster that is an error, so a
     job never writes to a machine-local folder."""
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if path and path.startswith("file:") and not _is_local(spark):
+        raise RuntimeError(f"spark.checkpoint.dir is machine-local ({path}); a cluster needs a shared folder")
     ctx_dir = None
     try:
         ctx_dir = spark.sparkContext.getCheckpointDir()

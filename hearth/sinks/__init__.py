@@ -1,6 +1,6 @@
 """Sinks and the incremental-load gate."""
 
 from hearth.sinks.tables import (
-    cluster_for_write, write_replace, write_append, write_create, write_jdbc, drop_table, overwrite_periods, read_table, table_exists, delete_period,
+    cluster_for_write, write_replace, write_append, write_create, write_jdbc, drop_table, overwrite_partitions, overwrite_periods, read_table, table_exists, delete_period,
     GateResult, freshness_gate, partition_values, dimension_snapshot, export_csv, export_sample,
 )

@@ -76,10 +76,16 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", batchs
     w.save()
 
 
+def overwrite_partitions(df: DataFrame, path: str, columns: Sequence[str], fmt: str = "parquet",
+                         clustered: bool = False) -> None:
+    """Replace the partitions that ``df`` carries; others stay untouched."""
+    _writer(df, "overwrite", columns, fmt, clustered).option("partitionOverwriteMode", "dynamic").save(path)
+
+
 def overwrite_periods(df: DataFrame, path: str, period_col: str, fmt: str = "parquet",
                       clustered: bool = False) -> None:
     """Append new periods / replace re-delivered ones; other periods untouched."""
-    _writer(df, "overwrite", [period_col], fmt, clustered).option("partitionOverwriteMode", "dynamic").save(path)
+    overwrite_partitions(df, path, [period_col], fmt, clustered)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
@@ -144,6 +150,13 @@ def partition_values(spark: SparkSession, path: str, column: str, dtype: T.DataT
     return out
 
 
+def _holds_data(spark: SparkSession, path: str) -> bool:
+    """Whether the folder has an entry that is not a marker or hidden file."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(root) and any(st.getPath().getName()[0] not in "._" for st in fs.listStatus(root))
+
+
 def freshness_gate(spark: SparkSession, extract: DataFrame, target_path: str, period_col: str,
                    latest_only: bool = False, fmt: str = "parquet") -> GateResult:
     """Load ``extract`` into the table at ``target_path`` partitioned by ``period_col``.
@@ -155,7 +168,12 @@ def freshness_gate(spark: SparkSession, extract: DataFrame, target_path: str, pe
     The target's latest period comes from its partition listing, not a scan,
     and the extract is read once: the rows and max period loaded are observed
     during the write itself.
+
+    Rows without a period are never loaded (the runners quarantine them). A
+    folder that holds data but no period of this column is not our table:
+    that raises rather than replace it.
     """
+    extract = extract.where(F.col(f"`{period_col}`").isNotNull())
     dtype = extract.schema[period_col].dataType
     present = partition_values(spark, target_path, period_col, dtype)
     target_max = max(present) if present else None
@@ -163,6 +181,8 @@ def freshness_gate(spark: SparkSession, extract: DataFrame, target_path: str, pe
     obs = Observation(f"gate_{uuid.uuid4().hex[:8]}")
     metrics = [F.count(F.lit(1)).alias("n"), F.max(col).alias("m")]
     if target_max is None:
+        if _holds_data(spark, target_path):
+            raise ValueError(f"{target_path} holds data but no partition of {period_col}")
         write_replace(cluster_for_write(extract, [period_col]).observe(obs, *metrics),
                       target_path, [period_col], fmt, clustered=True)
         m = obs.get

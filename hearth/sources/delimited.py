@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from typing import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hearth.functions.casting import conform
 
@@ -16,10 +18,34 @@ def clean_name(name: str) -> str:
     return name.replace(BOM, "").replace("ï»¿", "").strip()
 
 
+def _header_groups(spark: SparkSession, path: str | Sequence[str], sep: str) -> list[list[str]] | None:
+    """Files grouped by equal header line; None when all agree (or there is one file)."""
+    lines = spark.read.text(path)
+    if len(lines.inputFiles()) < 2:
+        return None
+    firsts = (lines.where("_metadata.file_block_start = 0")
+              .select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("id"))
+              .groupBy("file").agg(F.min_by("value", "id").alias("header")))
+    groups = firsts.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    if len({tuple(clean_name(n) for n in g["header"].split(sep)) for g in groups}) < 2:
+        return None
+    return [[unquote(f) for f in g["files"]] for g in sorted(groups, key=lambda g: g["files"][0])]
+
+
 def read_delimited_raw(spark: SparkSession, path: str | Sequence[str], sep: str = ",",
                        header: bool = True, lower: bool = False, **options) -> DataFrame:
     """All columns as text, header names cleaned. Schema inference is off on
-    purpose: an all-empty column must not become a number."""
+    purpose: an all-empty column must not become a number.
+
+    Columns are taken by name: files whose headers differ are read group by
+    group, each by its own names, and a column that a file lacks is NULL."""
+    groups = _header_groups(spark, path, sep) if header else None
+    if groups:
+        parts = [read_delimited_raw(spark, files, sep, header, lower, **options) for files in groups]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part, allowMissingColumns=True)
+        return out
     reader = spark.read.option("header", header).option("sep", sep).option("inferSchema", False) \
         .option("mode", "PERMISSIVE").option("multiLine", options.pop("multiLine", False))
     for k, v in options.items():

@@ -5,10 +5,10 @@ The header of each file is the first line that contains every header token
 parallel: line order inside a file comes from the split start plus the
 monotonically increasing row id within the split (gzip files are never split).
 One small table (one row per file) holds the header position of every file;
-it is staged in the shared folder and never collected. Both scans (header
-positions, body) run on one DataFrame, so they share one file listing and
-split layout: the row ids they compare are the same ids, and a file landing
-mid-run is simply not part of this read.
+it is staged in the shared folder and never collected. The numbered lines
+themselves are staged first: header positions and body are read from that
+table, so no row id is computed twice and the result does not depend on how
+files are packed into splits. A file landing mid-run is not part of this read.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ def read_preamble_tsv(spark: SparkSession, path: str | Sequence[str], header_tok
     from hearth.operators.joins import fits
     from hearth.session import stage
 
-    lines = _lines(spark, path)
+    lines = stage(_lines(spark, path), "preamble_lines")
     is_header = F.lit(True)
     for tok in header_tokens:
         is_header = is_header & F.col("line").contains(tok)
@@ -57,8 +57,11 @@ def read_preamble_tsv(spark: SparkSession, path: str | Sequence[str], header_tok
                   .agg(F.min(F.struct("block", "pos", "line")).alias("h"))
                   .select("file", F.col("h.block").alias("hb"), F.col("h.pos").alias("hp"),
                           F.col("h.line").alias("ht")), "preamble_heads")
-    missing = (lines.select("file").distinct().join(heads, "file", "left_anti")
-               .limit(5).collect()) if heads.count() < len(lines.inputFiles()) else []
+    paths = [path] if isinstance(path, str) else list(path)
+    # The listing, without content: an empty file has no lines but must not pass unseen.
+    landed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+              .select(F.col("_metadata.file_path").alias("file")))
+    missing = landed.join(heads, "file", "left_anti").limit(5).collect()
     if missing:
         raise MissingHeader(f"no header line with {list(header_tokens)} in {[r['file'] for r in missing]}")
     texts = [r["ht"] for r in heads.select("ht").distinct().limit(2).collect()]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,13 @@ from hearth.sources.delimited import read_delimited_raw
 from pyspark.sql import functions as F
 
 
+def _is_date(header: str) -> bool:
+    try:
+        return bool(_dt.date.fromisoformat(header))
+    except ValueError:
+        return False
+
+
 def read_wide_series(spark: SparkSession, path: str | Sequence[str], id_cols: Sequence[str],
                      drop: Sequence[str] = ()) -> DataFrame:
     """Raw wide table: ids + every other column is a period header."""
@@ -20,6 +28,9 @@ def read_wide_series(spark: SparkSession, path: str | Sequence[str], id_cols: Se
     missing = [c for c in id_cols if c not in raw.columns]
     if missing:
         raise ValueError(f"id columns {missing} missing from {path}")
+    wrong = [c for c in raw.columns if c not in id_cols and not _is_date(c)]
+    if wrong:
+        raise ValueError(f"columns {wrong} of {path} are neither ids nor dates")
     return raw
 
 

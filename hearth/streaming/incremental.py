@@ -4,8 +4,9 @@ The source families publish files into a landing folder. Instead of polling
 and comparing maxima by hand, a file stream picks up only files it has not
 seen (tracked in the checkpoint, so a restart or a lost executor never loads
 a file twice or skips one) and each micro-batch is transformed and written
-with a dynamic partition overwrite: re-delivered periods replace themselves,
-new periods are appended. ``trigger(availableNow=True)`` processes everything
+into partitions of its own, (period, batch): a period that arrives in several
+files or deliveries adds up, and a batch that is run again after a failure
+replaces only what it wrote before. ``trigger(availableNow=True)`` processes everything
 that has landed and stops, which makes it a scheduled batch job with
 exactly-once file bookkeeping.
 """
@@ -15,10 +16,13 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from hearth.sinks import overwrite_periods
+from hearth.sinks import overwrite_partitions
+
+BATCH_COLUMN = "load_batch"
 
 
 def landed_csv_stream(spark: SparkSession, landing_path: str, columns: list[str], sep: str = ",",
@@ -33,9 +37,15 @@ def landed_csv_stream(spark: SparkSession, landing_path: str, columns: list[str]
 
 def incremental_load(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], target_path: str,
                      period_col: str, checkpoint_path: str, available_now: bool = True) -> StreamingQuery:
-    """Transform each micro-batch and overwrite the periods it carries."""
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        overwrite_periods(transform(batch), target_path, period_col)
+    """Transform each micro-batch and write it beside the earlier ones.
+
+    The target is partitioned by the period and by ``load_batch``, the batch's
+    number in the checkpoint, so the rows of a period do not depend on how its
+    files fall into batches. The checkpoint belongs to the table: start a new
+    checkpoint only with a new table."""
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        rows = transform(batch).withColumn(BATCH_COLUMN, F.lit(epoch).cast("long"))
+        overwrite_partitions(rows, target_path, [period_col, BATCH_COLUMN])
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")

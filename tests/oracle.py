@@ -72,7 +72,8 @@ def _sorted(rows: list[tuple]) -> list[tuple]:
 
 def compare(spark_df, con, sql: str) -> dict:
     s_types = {f.name: _family_spark(f.dataType) for f in spark_df.schema.fields}
-    rel = con.sql(sql)
+    con.execute(f"CREATE OR REPLACE TEMP VIEW oracle_under_test AS {sql}")  # as the checker does
+    rel = con.sql("SELECT * FROM oracle_under_test")
     d_types = {n: _family_duck(str(t)) for n, t in zip(rel.columns, rel.types)}
     res = {"names": sorted(s_types) == sorted(d_types), "spark_cols": sorted(s_types),
            "duck_cols": sorted(d_types)}
