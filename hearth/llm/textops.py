@@ -11,7 +11,20 @@ SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 PIECE = 1 << 20  # bytes hashed at once: working arrays stay within a few tens of MB
 _MULT = 0x9E3779B97F4A7C15
-_POWERS: list[np.ndarray] = []
+
+
+class _Kept:
+    """What one process computed once. A function that travels to a worker by value
+    takes this module's objects along, but not what is kept here."""
+
+    def __init__(self):
+        self.arrays: tuple[np.ndarray, ...] = ()
+
+    def __reduce__(self):
+        return type(self), ()
+
+
+_POWERS = _Kept()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -29,13 +42,13 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_MULT))
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n-1 of the odd multiplier and of its inverse, modulo 2**64."""
-    if not _POWERS or len(_POWERS[0]) < n:
+    if not _POWERS.arrays or len(_POWERS.arrays[0]) < n:
         def run(base):
             p = np.full(max(n, PIECE + 1), base, np.uint64)
             p[0] = 1
             return np.cumprod(p, dtype=np.uint64)
-        _POWERS[:] = [run(_MULT), run(pow(_MULT, -1, 1 << 64))]
-    return _POWERS[0], _POWERS[1]
+        _POWERS.arrays = (run(_MULT), run(pow(_MULT, -1, 1 << 64)))
+    return _POWERS.arrays
 
 
 def text_batches(column: pa.Array, max_bytes: int = 8 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -12,6 +12,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 CLASH = "n long, root long, id long, size long, shard int, label string, words string"
@@ -382,3 +383,17 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SMALL_SF).collect()
     assert collections.Counter(r.doc_id for r in out) == +times
     assert all(r.shard == jump(r.doc_id, 24) for r in out)
+
+
+def test_functions_for_workers_take_no_computed_tables_along():
+    """Hashing in the driver must not swell what is sent to workers afterwards."""
+    from pyspark import cloudpickle
+
+    from hearth.llm import ngram_jaccard
+    from hearth.llm import textops as T
+    words, _ = T.hash_words(np.frombuffer(b"some words hashed here", np.uint8), np.array([0, 22]))
+    sent = cloudpickle.dumps(ngram_jaccard._signatures(5))
+    assert len(sent) < 100_000
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["some words hashed here"])], ["doc_id", "text"])
+    assert len(words) == 4
+    assert next(cloudpickle.loads(sent)([batch])).equals(next(ngram_jaccard._signatures(5)([batch])))
