@@ -1,9 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Benchmark items are read in blocks of bounded size; a block's n-grams travel with the
-scan. One pass over the corpus counts in how many documents each n-gram occurs; an
-item's rarer half seeds it. A second pass aligns the words around every seed hit with
-the item, word by word, which also scores edited and paraphrased copies.
+scan. Every n-gram of an item seeds it. One pass over the corpus aligns the words around
+every seed hit with the item, word by word, which also scores edited and paraphrased
+copies; places that hold too few of the item's words to reach the threshold are passed over.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ MATCH, MISMATCH, GAP = 2, -1, 1
 THRESHOLD = 0.5               # alignment score, as a share of the item's own score, that marks a leak
 BLOCK_BYTES = 4 << 20         # benchmark text of one block
 FILTER_BITS = 22
+HITS = 1 << 20                # seed hits looked at together, and words of texts aligned together
 
 
 class Grams:
@@ -51,19 +52,6 @@ def _slices(batch, column):
         yield lo, words, first, seeds, T.within_text(first, SEED)[:len(seeds)]
 
 
-def _frequencies(grams):
-    def run(batches):
-        counts = np.zeros(len(grams.values), np.int64)
-        for batch in batches:
-            for _, _, first, seeds, ok in _slices(batch, 0):
-                at, gram = grams.hits(seeds, ok)
-                doc = np.searchsorted(first, at, "right") - 1
-                counts += np.bincount(np.unique(doc * len(counts) + gram) % max(len(counts), 1), minlength=len(counts))
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["gram", "n"])
-    return run
-
-
 def align(item: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(best local score, column after its end) of one item against each row of ``texts``.
 
@@ -100,6 +88,46 @@ def _regions(doc, item, start, length):
     return doc[heads], item[heads], np.minimum.reduceat(start, heads), np.maximum.reduceat(start, heads)
 
 
+def _held(item, texts):
+    """How many words of one item each row of ``texts`` holds: no alignment matches more."""
+    names, times = np.unique(item, return_counts=True)
+    at = np.minimum(np.searchsorted(names, texts), len(names) - 1)
+    row, place = np.nonzero(names[at] == texts)
+    count = np.bincount(row * len(names) + at[row, place], minlength=len(texts) * len(names)).reshape(len(texts), -1)
+    return np.minimum(count, times).sum(1)
+
+
+def _passages(doc, item, low, high, words, first, sizes, words_of, threshold):
+    """(regions, scores, starts, ends) of the regions whose best alignment reaches the threshold."""
+    # An alignment that reaches the threshold has no more gaps than this on either side of a seed.
+    pad = np.ceil(MATCH * (1 - threshold) * sizes[item] / GAP).astype(np.int64)
+    left = np.maximum(low - pad, first[doc])
+    right = np.minimum(high + sizes[item] + pad, first[doc + 1])
+    rows = [[], [], [], []]
+    order = np.argsort(item, kind="stable")
+    for mine in np.split(order, np.flatnonzero(np.diff(item[order])) + 1):
+        target = words_of(item[mine[0]])
+        step = max(1, HITS // int((right[mine] - left[mine]).max()))
+        for part in range(0, len(mine), step):
+            some = mine[part:part + step]
+            width = int((right[some] - left[some]).max())
+            spot = left[some, None] + np.arange(width)
+            text = np.where(spot < right[some, None], words[np.minimum(spot, len(words) - 1)], 0)
+            able = _held(target, text) >= threshold * len(target)
+            if not able.any():
+                continue
+            some, text = some[able], text[able]
+            score, end = align(target, text)
+            share = score / (MATCH * len(target))
+            good = np.flatnonzero(share >= threshold)
+            if len(good):
+                # The start is the end of the best alignment of both read backwards.
+                back, tail = align(target[::-1], text[good][:, ::-1])
+                for column, x in zip(rows, (some[good], share[good], left[some[good]] + width - tail, left[some[good]] + end[good])):
+                    column.append(x)
+    return [np.concatenate(x) for x in rows] if rows[0] else None
+
+
 def _leaks(ids, sizes, words_of, grams, post_gram, post_item, post_at, threshold):
     """(doc_id, item_id, score, start, end) of the documents' aligned passages."""
     def run(batches):
@@ -110,48 +138,28 @@ def _leaks(ids, sizes, words_of, grams, post_gram, post_item, post_at, threshold
                 at, gram = grams.hits(seeds, ok)
                 if not len(at):
                     continue
-                doc = np.searchsorted(first, at, "right") - 1
+                owner = np.searchsorted(first, at, "right") - 1
                 a, b = np.searchsorted(post_gram, gram), np.searchsorted(post_gram, gram, "right")
-                times = b - a
-                post = np.repeat(a - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
-                hit_doc, hit_item = np.repeat(doc, times), post_item[post]
-                start = np.repeat(at, times) - post_at[post]
-                if not len(hit_doc):
-                    continue
-                doc, item, low, high = _regions(hit_doc, hit_item, start, sizes[hit_item])
-                pad = sizes[item] // 4 + 2
-                left = np.maximum(low - pad, first[doc])
-                right = np.minimum(high + sizes[item] + pad, first[doc + 1])
-                rows = [[], [], [], []]
-                for which in np.unique(item):
-                    mine = np.flatnonzero(item == which)
-                    target = words_of(which)
-                    for part in range(0, len(mine), 512):
-                        some = mine[part:part + 512]
-                        width = int((right[some] - left[some]).max())
-                        spot = left[some, None] + np.arange(width)
-                        inside = spot < right[some, None]
-                        text = np.where(inside, words[np.minimum(spot, len(words) - 1)], 0)
-                        score, end = align(target, text)
-                        share = score / (MATCH * len(target))
-                        good = np.flatnonzero(share >= threshold)
-                        if len(good):
-                            # The start is the end of the best alignment of both read backwards.
-                            back, tail = align(target[::-1], text[good][:, ::-1])
-                            rows[0].append(some[good])
-                            rows[1].append(share[good])
-                            rows[2].append(left[some[good]] + width - tail)
-                            rows[3].append(left[some[good]] + end[good])
-                if not rows[0]:
-                    continue
-                region, share, begin, end = (np.concatenate(x) for x in rows)
-                order = np.lexsort((begin, -share, item[region], doc[region]))
-                d, i = doc[region][order], item[region][order]
-                top = order[np.concatenate([[True], (d[1:] != d[:-1]) | (i[1:] != i[:-1])])]
-                d = doc[region[top]]
-                out[0].append(keys.take(pa.array(d + lo)))
-                for column, x in zip(out[1:], (ids[item[region[top]]], share[top], begin[top] - first[d], end[top] - first[d])):
-                    column.append(pa.array(x))
+                # A document's hits stay together.
+                heads = np.flatnonzero(np.diff(owner, prepend=-1))
+                piece = (np.cumsum(b - a) - (b - a))[heads] // HITS
+                cuts = np.append(heads[np.flatnonzero(np.diff(piece, prepend=-1))], len(at))
+                for head, tail in zip(cuts[:-1], cuts[1:]):
+                    begins, times = a[head:tail], (b - a)[head:tail]
+                    post = np.repeat(begins - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
+                    start = np.repeat(at[head:tail], times) - post_at[post]
+                    doc, item, low, high = _regions(np.repeat(owner[head:tail], times), post_item[post], start, sizes[post_item[post]])
+                    found = _passages(doc, item, low, high, words, first, sizes, words_of, threshold)
+                    if found is None:
+                        continue
+                    region, share, begin, end = found
+                    order = np.lexsort((begin, -share, item[region], doc[region]))
+                    d, i = doc[region][order], item[region][order]
+                    top = order[np.concatenate([[True], (d[1:] != d[:-1]) | (i[1:] != i[:-1])])]
+                    d = doc[region[top]]
+                    out[0].append(keys.take(pa.array(d + lo)))
+                    for column, x in zip(out[1:], (ids[item[region[top]]], share[top], begin[top] - first[d], end[top] - first[d])):
+                        column.append(pa.array(x))
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in out], ["doc", "item", "score", "first_word", "last_word"])
     return run
@@ -183,24 +191,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
         at = np.flatnonzero(T.within_text(first, SEED)[:len(seeds)]) if len(seeds) else np.zeros(0, np.int64)
         owner = np.searchsorted(first, at, "right") - 1
         grams = Grams(seeds[at])
-        number = np.searchsorted(grams.values, seeds[at])
-        held = rows.select("text").mapInArrow(_frequencies(grams), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
-        df = np.zeros(len(grams.values), np.int64)
-        df[held.column("gram").to_numpy()] = held.column("n").to_numpy()
-        # The rarer half of those of an item's n-grams that any document holds, eight at least.
-        there = np.flatnonzero(df[number] > 0)
-        order = there[np.lexsort((number[there], df[number[there]], owner[there]))]
-        place = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
-        count = np.bincount(owner[there], minlength=len(first))
-        chosen = order[place < np.maximum(8, (count[owner[order]] + 1) // 2)]
-        rare = Grams(seeds[at][chosen])
-        gram = np.searchsorted(rare.values, seeds[at][chosen])
+        gram = np.searchsorted(grams.values, seeds[at])
         by = np.argsort(gram, kind="stable")
         ids, sizes = got.column("item").to_numpy(), np.diff(first)
 
         def words_of(i, words=words, first=first):
             return words[first[i]:first[i + 1]]
-        part = rows.mapInArrow(_leaks(ids, sizes, words_of, rare, gram[by], owner[chosen][by], (at - first[owner])[chosen][by],
+        part = rows.mapInArrow(_leaks(ids, sizes, words_of, grams, gram[by], owner[by], (at - first[owner])[by],
                                       threshold), schema)
         found = part if found is None else found.unionByName(part)
     return found.select(F.col("doc").alias(key), F.col("item").alias("item_id"), "score", "first_word", "last_word")

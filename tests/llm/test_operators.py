@@ -184,6 +184,26 @@ def test_decontamination(spark):
     assert sorted(r.doc_id for r in drop_leaked(frame, bench).collect()) == [2, 3, 4, 5]
 
 
+def test_edited_copy_beside_an_exact_one(spark):
+    """An exact copy makes the n-grams that an edited copy keeps the commoner ones."""
+    from hearth.llm.decontamination import find_leaks
+    rng = random.Random(8)
+    made, expected = [], set()
+    for item, (size, every) in enumerate([(30, 6), (40, 5), (30, None)]):
+        w = prose(rng, size).split()
+        made.append((item, " ".join(w)))
+        edited = [x if every is None or k % every != 3 else f"zz{k}" for k, x in enumerate(w)]
+        edited = edited[:size * 2 // 3] if every is None else edited
+        for doc, copy in ((2 * item, w), (2 * item + 1, edited)):
+            expected.add((doc, item))
+            made.append((doc, prose(rng, 90) + " " + " ".join(copy) + " " + prose(rng, 90)))
+    bench = spark.createDataFrame([x for x in made if len(x[1].split()) <= 40], "item_id long, text string")
+    frame = spark.createDataFrame(rows([x for x in made if len(x[1].split()) > 40]), DOC_SCHEMA)
+    out = find_leaks(frame, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in out} == expected and len(out) == len(expected)
+    assert all((r.score == 1.0) == (r.doc_id % 2 == 0) and 0.5 <= r.score for r in out)
+
+
 def test_language_model(docs, texts):
     from hearth.llm.suffix_tree_lm import score_documents
     out = score_documents(docs).collect()
