@@ -314,6 +314,30 @@ def test_toxicity(spark):
     assert {r.score for r in none} == {0.0}
 
 
+def test_toxicity_of_long_texts(spark, monkeypatch):
+    """Windows beside the evenly spaced ones count, in training and for the threshold."""
+    from hearth.llm import toxicity as M
+    monkeypatch.setattr(M, "SAMPLE_WINDOWS", 6)
+    rng = random.Random(4)
+    made, labels = [], []
+    for i in range(240):
+        w = prose(rng, 1300).split()
+        if i % 2:
+            at = rng.randrange(1290)
+            w[at:at + 4] = ["zork", "zorked", "zorking", "zorks"]
+        made.append((i, " ".join(w)))
+        labels.append((i, i % 2))
+    frame = spark.createDataFrame(rows(made), DOC_SCHEMA)
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = M.train(frame, lab)
+    score = np.array([model.score(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0] for _, t in made])
+    taught = np.array([zlib.crc32(str(i).encode()) % 5 != 0 for i, _ in made])
+    toxic = np.array([t == 1 for _, t in labels])
+    assert ((score > 0) != toxic)[~taught].mean() <= 0.1
+    # No other threshold errs less on the texts learned from.
+    assert ((score > 0) != toxic)[taught].sum() == ((score > M.Toxicity._cut(score[taught], toxic[taught])) != toxic)[taught].sum()
+
+
 def test_recurrent_gradients():
     from hearth.llm import toxicity as M
     net, r = M.Net(1), np.random.default_rng(0)
