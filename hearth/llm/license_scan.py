@@ -180,7 +180,7 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
         F.slice("words", F.col("at") + 2, F.lit(AROUND))), " "), F.lit(" "))
     spots = spots.select("id", "sum", "at", left.alias("left"), "keyword", around.alias("around"))
     tried = spots.join(F.broadcast(rule_table(spark)), "keyword")
-    whole = F.concat(F.lit("^(.*? )("), F.col("pattern"), F.lit(") "))
+    whole = F.concat(F.lit("(?s)^(.*? )("), F.col("pattern"), F.lit(") "))
     tried = tried.where(F.regexp_like("around", F.concat(F.lit(" (?:"), F.col("pattern"), F.lit(") ")))).select(
         "*", F.call_function("regexp_extract", F.col("around"), whole, F.lit(1)).alias("before"), F.call_function("regexp_extract", F.col("around"), whole, F.lit(2)).alias("match"))
     blanks = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))

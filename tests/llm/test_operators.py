@@ -258,6 +258,14 @@ def test_license_scan(spark):
     assert "apache-2.0" in got[3].labels.split(",") and got[6].labels == "cc-by-nc" and got[1].labels == ""
 
 
+def test_license_scan_beside_unicode_line_ends(spark):
+    """U+0085, U+2028 and U+2029 are parts of words, not ends of lines."""
+    from hearth.llm.license_scan import scan_licenses
+    text = "one two\u2028half three\u0085 four mit license five\u2029 mit license"
+    r = scan_licenses(spark.createDataFrame(rows([(1, text)]), DOC_SCHEMA)).first()
+    assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (9, 2, 4, 7, "mit")
+
+
 @pytest.mark.parametrize("hot", [20000, 2])
 def test_substring_dedup(docs, texts, monkeypatch, hot):
     from hearth.llm import fm_dedup as M
