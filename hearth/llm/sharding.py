@@ -7,9 +7,10 @@ shards moves only the rows that land in the new shard.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hearth.llm.numbering import place_in_group
 from hearth.session import stage
 
 # Fixed values of the published algorithm: the generator's multiplier, and the
@@ -60,25 +61,18 @@ def shard_documents(docs: DataFrame, shards: int = 24, key: str = "doc_id", text
     key order. Repeated rows stay separate rows of one shard. An empty table
     gives an empty result; other columns of ``docs`` are ignored.
 
-    Slots come from one range partitioning by (shard, key): a row's slot is its
-    place in its range plus the shard's rows in earlier ranges, so no task sees a
-    whole shard. A row number breaks ties, hence a key with very many rows is
-    split too; the ranges are staged, so a lost executor cannot renumber them."""
+    Slots are numbered on narrow rows (``numbering``): the ``carry`` columns are written
+    once beside a row number, stay out of every sort, and meet their slot by that number."""
     raw = F.coalesce(F.encode(F.col(text), "UTF-8"), F.lit(b""))
     base = docs.select(F.col(key), *[F.col(c) for c in carry], (F.octet_length(raw) + 8).cast("long").alias("size"),
                        F.crc32(raw).alias("text_crc32"), jump_pair(F.col(key), shards).alias("__jump"))
     base = base.select(key, *carry, "size", "text_crc32", F.col("__jump.shard").alias("shard"),
                        F.col("__jump.grown").alias("grown_shard"), F.monotonically_increasing_id().alias("__tie"))
-    order = ["shard", key, "text_crc32", "__tie"]
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = base.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    ranged = stage(ranged.withColumn("__range", F.spark_partition_id()), "shard_ranges")
-    place = Window.partitionBy("__range", "shard").orderBy(key, "text_crc32", "__tie")
-    placed = ranged.withColumn("__place", F.row_number().over(place) - 1)
-    # At most one row per range and shard it holds: ranges + shards rows in all.
-    before = Window.partitionBy("shard").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranged.groupBy("shard", "__range").agg(F.count(F.lit(1)).alias("__n")).select(
-        "shard", "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    return placed.join(F.broadcast(starts), ["shard", "__range"]).select(
-        key, *carry, "size", "text_crc32", F.lit("key").alias("law"), "shard",
-        (F.col("__start") + F.col("__place")).cast("long").alias("slot"), "grown_shard")
+    columns = [key, *carry, "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"]
+    if not carry:
+        return place_in_group(base, ["shard"], [key, "text_crc32", "__tie"], "slot").select(*columns)
+    whole = stage(base, "shard_rows")
+    narrow = whole.select("__tie", "shard", key, "text_crc32")
+    slots = place_in_group(narrow, ["shard"], [key, "text_crc32", "__tie"], "slot").select("__tie", "slot")
+    # The slots are the small side: hashed, so that the texts are dealt once and never sorted.
+    return whole.join(slots.hint("shuffle_hash"), "__tie").select(*columns)
