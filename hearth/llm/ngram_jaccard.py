@@ -304,21 +304,36 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, key: str = "
         F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def one_of_each_group(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that link to one with a smaller id; of rows that
-    repeat a key one stays. Documents with a null key, which nothing can name, all stay."""
-    groups = near_duplicates(docs, key=key, **options)
-    gone = stage(groups.where(F.col(key) != F.col("component_id")).select(key).distinct(), "copies")
-    kept = without_keys(docs, gone, key)
-    again = stage(docs.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key), "repeated_keys")
+def row_name(docs: DataFrame, key: str = "doc_id", text: str = "text"):
+    """What tells rows apart: the key and a hash of the text (null and empty texts differ)."""
+    return F.struct(F.isnull(F.col(f"`{key}`")).alias("unnamed"), F.col(f"`{key}`").alias("key"),
+                    F.xxhash64(F.col(f"`{text}`")).alias("sum"))
+
+
+def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows that link to another with a smaller (key, hash of the text).
+
+    Rows are judged by key and text: rows of one key but different texts are different
+    documents, and of rows equal in both one stays. Texts without words, null and empty
+    ones included, link with nothing. Rows with a null key, which nothing can name, all
+    stay and stand for no group. An empty table gives an empty result."""
+    name = row_name(docs, key, text)
+    groups = near_duplicates(docs.select(name.alias("name"), F.col(f"`{text}`").alias("text")), key="name", **options)
+    gone = stage(groups.where((F.col("name") != F.col("component_id")) & ~F.col("name.unnamed")).select("name").distinct(),
+                 "copies")
+    kept = without_rows(docs, gone, key, text)
+    again = stage(docs.where(F.col(f"`{key}`").isNotNull()).groupBy(name.alias("name")).count().where("count > 1")
+                  .select("name"), "repeated_rows")
     if again.isEmpty():
         return kept
-    repeated = kept.join(again, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
-    return without_keys(kept, again, key).unionByName(repeated)
+    whole = kept.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), name.alias("name"))
+    repeated = whole.join(again, "name", "left_semi").groupBy("name").agg(F.any_value("doc").alias("doc"))
+    return without_rows(kept, again, key, text).unionByName(repeated.select("doc.*"))
 
 
-def without_keys(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """``docs`` whose key is not among ``keys``: those are broadcast where a count shows that
-    they are few, so the texts are not moved; else both sides are shuffled."""
-    few = F.broadcast(keys) if fits(keys, MAX_BROADCAST_ROWS) else keys
-    return docs.join(few, key, "left_anti").select(*docs.columns)
+def without_rows(docs: DataFrame, names: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` whose name (``row_name``) is not among ``names``: those are broadcast where a
+    count shows that they are few, so the texts are not moved; else both sides are shuffled."""
+    few = F.broadcast(names) if fits(names, MAX_BROADCAST_ROWS) else names
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_name(docs, key, text).alias("name"))
+    return whole.join(few, "name", "left_anti").select("doc.*")
