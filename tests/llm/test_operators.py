@@ -204,6 +204,74 @@ def test_edited_copy_beside_an_exact_one(spark):
     assert all((r.score == 1.0) == (r.doc_id % 2 == 0) and 0.5 <= r.score for r in out)
 
 
+def plain_alignment(item, text):
+    """Best local score of two word lists, by the whole table."""
+    above, best = [0] * (len(text) + 1), 0
+    for x in item:
+        now = [0]
+        for j, y in enumerate(text, 1):
+            now.append(max(0, above[j - 1] + (2 if x == y else -1), above[j] - 1, now[j - 1] - 1))
+        best, above = max(best, *now), now
+    return best
+
+
+def test_decontamination_equals_plain_alignment(spark):
+    """Every pair of a small table: exact, edited and interleaved copies, parts, and common words alone."""
+    from hearth.llm.decontamination import find_leaks
+    rng = random.Random(12)
+    common = "the of and to in".split()
+    word = lambda: rng.choice(common) if rng.random() < 0.4 else prose(rng, 1)
+    items = [[word() for _ in range(n)] for n in (3, 4, 5, 7, 12, 20, 30, 30, 31, 50)] + [["the"] * 8, ["the", "of"] * 6]
+    texts = [" ".join(word() for _ in range(rng.randint(0, 150))) for _ in range(15)]
+    for w in items:
+        copies = [list(w), w[:len(w) // 2], w[len(w) // 2 - 1:], w[::-1],
+                  [x for i, x in enumerate(w) for x in ([x, prose(rng, 1)] if i % 2 else [x])],     # a word after every second
+                  [x for v in w for x in (v, prose(rng, 1))],                                         # after every word
+                  [prose(rng, 1) if i % 3 == 2 else x for i, x in enumerate(w)],                      # every third replaced
+                  [x for i, x in enumerate(w) if i % 3], [rng.choice(w) for _ in w]]
+        texts += [" ".join([*(word() for _ in range(rng.randint(0, 30))), *c, *(word() for _ in range(rng.randint(0, 30)))]).upper() for c in copies]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, item_id string").repartition(3)
+    bench = spark.createDataFrame([(100 + i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in find_leaks(docs, bench).collect()}
+    expected = {}
+    for d, t in enumerate(texts):
+        for i, w in enumerate(items):
+            score = plain_alignment([x.lower() for x in w], t.lower().split())
+            if score >= max(len(w), 2 * min(len(w), 5)):
+                expected[d, 100 + i] = score / (2 * len(w))
+    assert got == pytest.approx(expected) and len(expected) > 60
+
+
+def test_rows_are_judged_by_key_and_text(spark):
+    from hearth.llm.decontamination import drop_leaked
+    from hearth.llm.ngram_jaccard import one_of_each_group
+    rng = random.Random(2)
+    item, clean, copy = prose(rng, 30), prose(rng, 40), prose(rng, 50)
+    table = [(1, None), (1, "x y z"), (2, clean), (2, f"a b {item} c"), (3, copy), (4, copy), (4, "another text of its own"), (5, ""), (5, None),
+             (6, clean), (6, clean), (None, copy), (None, item), (None, "loose")]
+    docs = spark.createDataFrame([(i, t, "s", 1, 2, "k") for i, t in table], "doc_id long, text string, name string, sum long, key long, doc string").repartition(3)
+    rows_of = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    kept = one_of_each_group(docs)
+    assert kept.columns == docs.columns
+    gone = [(4, copy), (6, clean), (6, clean)]
+    left = list(table)
+    for g in gone:
+        left.remove(g)
+    assert rows_of(kept) == sorted(left, key=str)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert rows_of(drop_leaked(docs, bench)) == sorted(((i, t) for i, t in table if not t or item not in t), key=str)
+    assert one_of_each_group(docs.limit(0)).count() == 0 and drop_leaked(docs.limit(0), bench).count() == 0
+    assert drop_leaked(docs, bench.limit(0)).count() == len(table)
+
+
+def test_sharding_carries_columns(docs, texts):
+    from hearth.llm.sharding import shard_documents
+    plain = {(str(r.doc_id), r.text_crc32, r.shard, r.slot, r.grown_shard) for r in shard_documents(docs, 24).collect()}
+    carried = shard_documents(docs, 24, carry=("text", "lang", "source")).collect()
+    assert {(str(r.doc_id), r.text_crc32, r.shard, r.slot, r.grown_shard) for r in carried} == plain and len(carried) == len(texts)
+    assert all(zlib.crc32((r.text or "").encode()) == r.text_crc32 and r.lang == "en" for r in carried)
+
+
 def test_language_model(docs, texts):
     from hearth.llm.suffix_tree_lm import score_documents
     out = score_documents(docs).collect()
@@ -296,6 +364,28 @@ def test_line_dedup(spark):
         (20, "", 0, 0, ""), (21, "", 0, 0, "")] + [(22, "b.example.org", 1, 0, "Home")] * 2)
 
 
+def test_line_dedup_of_small_hosts_and_long_pages(spark, monkeypatch):
+    import time
+
+    from hearth.llm import line_dedup as M
+    pages = [(i, "http://small.example/%d" % i, f"<p>text {i}</p><p>shared by two</p><div>footer</div>" if i < 2 else f"<p>text {i}</p><div>footer</div>", "x", "y")
+             for i in range(9)]
+    pages += [(20, "http://one.example/", "<p>footer</p>", "x", "y"), (21, "http://two.example/a", "<p>same</p>", "x", "y"),
+              (22, "http://two.example/b", "<p>same</p>", "x", "y"), (23, "http://bad.example/", "a < b <p>open <!-- never closed <p>gone", "x", "y"),
+              (24, "http://bad.example/2", "x <b>bold</b> <script src=q>if (a < b) {}</script> end <style>unclosed", "x", "y")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string, lines string, common string")
+    expected = {i: f"text {i}" + ("\nshared by two" if i < 2 else "") for i in range(9)}
+    expected |= {20: "footer", 21: "same", 22: "same", 23: "a < b\nopen", 24: "x bold\nend"}
+    assert {r.page_id: r.text for r in M.drop_site_boilerplate(frame).collect()} == expected
+    monkeypatch.setattr(M, "BROADCAST_BYTES", -1)
+    assert {r.page_id: r.text for r in M.drop_site_boilerplate(frame).collect()} == expected
+    million = 1 << 20
+    long = [(i, "u", part * (million // len(part)), "x", "y") for i, part in enumerate(["<", "<!--", "<script", "<div ", "<!-- -->", "</", "x\n", "<script>"])]
+    began = time.time()
+    out = M.drop_site_boilerplate(spark.createDataFrame(long, frame.schema)).collect()
+    assert len(out) == len(long) and time.time() - began < 20
+
+
 def test_toxicity(spark):
     from hearth.llm import toxicity as M
     rng = random.Random(2)
@@ -400,6 +490,20 @@ def test_mixing(docs, texts):
     assert copies.columns == docs.columns and copies.count() == sum(r["__times"] for r in out)
 
 
+def test_mixing_splits_copies_and_keeps_any_column(spark):
+    from hearth.llm.mixing import mix_sources, mixed
+    text = "one two three four"
+    table = [(None, text, "a", 1, 2, 3, 4, 5)] * 500 + [(7, text, "a", 1, 2, 3, 4, 5)] * 500 + [(i, text, "b", 1, 2, 3, 4, 5) for i in range(2000)]
+    docs = spark.createDataFrame(table, "doc_id long, text string, source string, cutoff long, whole long, size long, doc long, place long").repartition(4)
+    out = mix_sources(docs).collect()
+    for source in "ab":
+        mine = [r for r in out if r.source == source]
+        taken = sum(r["__size"] * r["__times"] for r in mine)
+        assert abs(taken - mine[0]["__target"]) <= 4 and all(0 <= r["__times"] <= 3 for r in mine)
+    count = lambda: collections.Counter((r.doc_id, r.source) for r in mixed(docs).collect())
+    assert count() == count() and mixed(docs).columns == docs.columns
+
+
 def test_empty_tables(spark):
     from hearth.llm import (decontamination, embedding_dedup, fm_dedup, license_scan, line_dedup, mixing, ngram_jaccard,
                             sharding, suffix_tree_lm, toxicity)
