@@ -52,6 +52,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def load_all() -> dict[str, Binding]:
     # Import for the registration side effect.
     from hearth.bindings import (  # noqa: F401
-        metrics, hygiene, typing_text, reshape, relational, sinks, quality, families,
+        metrics, hygiene, typing_text, reshape, relational, sinks, quality, families, accounting, warehouse,
     )
     return REGISTRY

@@ -162,9 +162,9 @@ def _tracker_levels_spark():
             _div(c("returned"), c("homes_sold"))]
 
 
-def tracker_landed(spark, sf) -> DataFrame:
+def tracker_landed(spark, sf, staged: bool = False) -> DataFrame:
     """A housing-tracker file: one row per (region, month, property type)."""
-    p = market_panel(spark, sf)
+    p = market_panel(spark, sf, staged)
     names = [n for n, _ in TRACKER_LEVELS]
     lv = p.select(*PANEL_KEYS, "status", "month_start", "last_order",
                   *[e.alias(n) for n, e in zip(names, _tracker_levels_spark())])
@@ -302,14 +302,42 @@ ZIP_SQL = ["CAST(n_nationkey * 397 + 601 AS VARCHAR) AS postal_code",
 PAD_SQL = "CASE WHEN length(postal_code) < 5 THEN lpad(postal_code, 5, '0') ELSE postal_code END"
 
 
+# Key columns of the other levels: landed (Spark, SQL) and, in SQL, as they are loaded.
+def _geo_columns_spark(geo: str):
+    c = F.col
+    place = F.concat(c("n_name"), F.lit(", "), c("r_name"))
+    return {
+        "zip": _zip_columns_spark,
+        "state": lambda: [c("n_name").alias("state"), F.when(c("n_regionkey") != 0, F.substring("r_name", 1, 2)).alias("state_id")],
+        "metro": lambda: [(c("n_nationkey") * 10 + 10000).cast("string").alias("cbsa_code"), place.alias("cbsa_title"),
+                          (c("n_nationkey") + 1).cast("string").alias("HouseholdRank")],
+        "county": lambda: [(c("n_nationkey") * 2 + 1001).cast("string").alias("county_fips"),
+                           F.when(c("n_nationkey") != 3, F.lower("n_name")).alias("county_name"),
+                           (c("n_nationkey") * 10 + 10000).cast("string").alias("cbsa_code"),
+                           F.when(c("n_regionkey") != 0, place).alias("cbsa_title")],
+    }[geo]()
+
+
+GEO_SQL = {
+    "state": ["n_name AS state", "CASE WHEN n_regionkey <> 0 THEN substr(r_name, 1, 2) END AS state_id"],
+    "metro": ["n_nationkey * 10 + 10000 AS cbsa_code", "n_name || ', ' || r_name AS cbsa_title", "n_nationkey + 1 AS HouseholdRank"],
+    "county": ["n_nationkey * 2 + 1001 AS county_fips", "CASE WHEN n_nationkey <> 3 THEN lower(n_name) END AS county_name",
+               "n_nationkey * 10 + 10000 AS cbsa_code", "CASE WHEN n_regionkey <> 0 THEN n_name || ', ' || r_name END AS cbsa_title"],
+}
+
+
+def _geo_out_sql(geo: S.Geography) -> list[str]:
+    return [f"coalesce({k}, '') AS {k}" if t == "string" else f"CAST({k} AS INTEGER) AS {k}" for k, t in geo.keys]
+
+
 def _with_footer(spark, landed: DataFrame) -> DataFrame:
     """The published files end with a disclaimer line in the period column."""
     footer = spark.createDataFrame([(S.FOOTER_TEXT,)], "month_date_yyyymm string")
     return landed.unionByName(footer, allowMissingColumns=True)
 
 
-def inventory_landed(spark, sf) -> DataFrame:
-    rm = region_month(market_panel(spark, sf))
+def inventory_landed(spark, sf, geo: str = "zip", staged: bool = False) -> DataFrame:
+    rm = region_month(market_panel(spark, sf, staged))
     names = [n for n, _ in INVENTORY_LEVELS]
     lv = rm.select(*PANEL_KEYS, "month_start", "returned", "taxed",
                    *[e.alias(n) for n, e in zip(names, _inventory_levels_spark())])
@@ -317,21 +345,23 @@ def inventory_landed(spark, sf) -> DataFrame:
     changes = []
     for m in names:
         changes += [_ratio_change(m, w, 1).alias(f"{m}_mm"), _ratio_change(m, w, 12).alias(f"{m}_yy")]
-    landed = lv.select(yyyymm("month_start").cast("string").alias("month_date_yyyymm"), *_zip_columns_spark(),
+    landed = lv.select(yyyymm("month_start").cast("string").alias("month_date_yyyymm"), *_geo_columns_spark(geo),
                        *[F.col(m) for m in names], *changes,
                        F.when(F.col("returned") > F.col("taxed"), F.lit(1.0)).alias("quality_flag"))
     return _with_footer(spark, landed)
 
 
-def inventory_sql() -> str:
+def inventory_sql(geo: str = "zip") -> str:
     names = [n for n, _ in INVENTORY_LEVELS]
     levels = [f"{e} AS {n}" for n, e in INVENTORY_LEVELS]
     changes = []
     for m in names:
         changes += [f"{_sql_ratio(m, 'n_nationkey', 1)} AS {m}_mm", f"{_sql_ratio(m, 'n_nationkey', 12)} AS {m}_yy"]
-    landed = (["CAST(strftime(month_start, '%Y%m') AS INTEGER) AS month_date_yyyymm"] + ZIP_SQL + names + changes
+    landed = (["CAST(strftime(month_start, '%Y%m') AS INTEGER) AS month_date_yyyymm"] + GEO_SQL.get(geo, ZIP_SQL) + names + changes
               + ["CASE WHEN returned > taxed THEN 1.0 END AS quality_flag"])
-    out = ["month_date_yyyymm", f"{PAD_SQL} AS zip_code", "string_split(zip_name, ', ')[-1] AS state"]
+    keys = [f"{PAD_SQL} AS zip_code", "string_split(zip_name, ', ')[-1] AS state"] if geo == "zip" else \
+        _geo_out_sql(S.INVENTORY_GEOGRAPHIES[geo])
+    out = ["month_date_yyyymm", *keys]
     out += [f"CAST(trunc(coalesce({m}, 0)) AS INTEGER) AS {m}" if m == "median_listing_price"
             else f"coalesce({m}, 0) AS {m}" for m in names]
     out.append("CAST(coalesce(quality_flag, 0) AS INTEGER) AS quality_flag")
@@ -352,11 +382,21 @@ def family_inventory_q(spark, sf):
     return fam.inventory_transform(inventory_landed(spark, sf), S.INVENTORY_GEOGRAPHIES["zip"], RUN_TS)
 
 
+def _inventory_at(geo: str):
+    @binding(f"family_inventory_{geo}", inventory_sql(geo))
+    def at_this_level(spark, sf):
+        return fam.inventory_transform(inventory_landed(spark, sf, geo), S.INVENTORY_GEOGRAPHIES[geo], RUN_TS)
+
+
+for _geo in ("state", "metro", "county"):
+    _inventory_at(_geo)
+
+
 # ---------------------------------------------------------------------------
-# Monthly hotness (zip level)
+# Monthly hotness
 
-def hotness_landed(spark, sf) -> DataFrame:
-    rm = region_month(market_panel(spark, sf))
+def hotness_landed(spark, sf, geo: str = "zip", staged: bool = False) -> DataFrame:
+    rm = region_month(market_panel(spark, sf, staged))
     w = Window.partitionBy("n_nationkey").orderBy("month_start")
     month = Window.partitionBy("month_start")
     c = F.col
@@ -372,7 +412,7 @@ def hotness_landed(spark, sf) -> DataFrame:
         c("orders").cast("double").alias("views"), F.max("orders").over(month).alias("us_views"),
         c("top_price").alias("median_listing_price"), F.max("top_price").over(month).alias("us_price"))
     landed = base.select(
-        yyyymm("month_start").cast("string").alias("month_date_yyyymm"), *_zip_columns_spark(), "hh_rank",
+        yyyymm("month_start").cast("string").alias("month_date_yyyymm"), *_geo_columns_spark(geo), "hh_rank",
         "hotness_rank", _point_change("hotness_rank", w, 1).alias("hotness_rank_mm"),
         _point_change("hotness_rank", w, 12).alias("hotness_rank_yy"),
         "hotness_score", "supply_score", "demand_score", "median_days_on_market",
@@ -392,7 +432,7 @@ def hotness_landed(spark, sf) -> DataFrame:
     return _with_footer(spark, landed)
 
 
-def hotness_sql() -> str:
+def hotness_sql(geo: str = "zip") -> str:
     p = "n_nationkey"
     base = ["n_nationkey", "n_name", "n_regionkey", "r_name", "month_start", "returned", "taxed",
             "CAST(n_nationkey + 1 AS DOUBLE) AS hh_rank",
@@ -404,7 +444,7 @@ def hotness_sql() -> str:
             "max(max_days) OVER (PARTITION BY month_start) AS us_days",
             "CAST(orders AS DOUBLE) AS views", "max(orders) OVER (PARTITION BY month_start) AS us_views",
             "top_price AS median_listing_price", "max(top_price) OVER (PARTITION BY month_start) AS us_price"]
-    landed = ["CAST(strftime(month_start, '%Y%m') AS INTEGER) AS month_date_yyyymm", *ZIP_SQL, "hh_rank",
+    landed = ["CAST(strftime(month_start, '%Y%m') AS INTEGER) AS month_date_yyyymm", *GEO_SQL.get(geo, ZIP_SQL), "hh_rank",
               "hotness_rank", f"{_sql_point('hotness_rank', p, 1)} AS hotness_rank_mm",
               f"{_sql_point('hotness_rank', p, 12)} AS hotness_rank_yy",
               "hotness_score", "supply_score", "demand_score", "median_days_on_market",
@@ -429,7 +469,9 @@ def hotness_sql() -> str:
 
     def r4(e):
         return f"round_even({e}, 4)"
-    out = ["month_date_yyyymm", f"{PAD_SQL} AS zip_code", "coalesce(zip_name, '') AS zip_name",
+    keys = [f"{PAD_SQL} AS zip_code", "coalesce(zip_name, '') AS zip_name"] if geo == "zip" else \
+        _geo_out_sql(S.HOTNESS_GEOGRAPHIES[geo])
+    out = ["month_date_yyyymm", *keys,
            f"CAST(trunc({z('hh_rank')}) AS INTEGER) AS household_count_rank",
            f"CAST(trunc({z(r2('hotness_rank'))}) AS INTEGER) AS hotness_rank",
            f"CAST({z(r4('hotness_score'))} AS {dec}) AS hotness_score",
@@ -458,6 +500,16 @@ def family_hotness_q(spark, sf):
     return fam.hotness_transform(hotness_landed(spark, sf), S.HOTNESS_GEOGRAPHIES["zip"], RUN_TS)
 
 
+def _hotness_at(geo: str):
+    @binding(f"family_hotness_{geo}", hotness_sql(geo))
+    def at_this_level(spark, sf):
+        return fam.hotness_transform(hotness_landed(spark, sf, geo), S.HOTNESS_GEOGRAPHIES[geo], RUN_TS)
+
+
+for _geo in ("metro", "county"):
+    _hotness_at(_geo)
+
+
 # ---------------------------------------------------------------------------
 # Investor purchases by quarter: an export whose quarter cell is filled only on
 # the first row of each block, with a blank row after every block.

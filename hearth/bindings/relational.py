@@ -6,7 +6,7 @@ from hearth.bindings import binding, table
 from hearth.functions import yyyymm
 from hearth.operators import (
     lookup_left_join, surrogate_key, distinct_dimension, row_count, loaded_periods,
-    duplicate_key_report, top_n, region_filter, period_range, latest_period_slice, footer_reject,
+    duplicate_key_report, top_n, region_filter, period_range, latest_month_slice, footer_reject,
     project_layout,
 )
 from hearth.sources import sql_view_query, json_key_values
@@ -89,9 +89,9 @@ def period_range_filter_q(spark, sf):
 SELECT o_orderkey, o_totalprice, {YM_SQL} AS month_date_yyyymm FROM orders
 WHERE {YM_SQL} = (SELECT max({YM_SQL}) FROM orders)""")
 def latest_period_slice_q(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice",
-                                          yyyymm("o_orderdate").alias("month_date_yyyymm"))
-    return latest_period_slice(o, "month_date_yyyymm")
+    # The year-month is computed after the slice: the stored column takes the range.
+    o = latest_month_slice(table(spark, sf, "orders"), "o_orderdate")
+    return o.select("o_orderkey", "o_totalprice", yyyymm("o_orderdate").alias("month_date_yyyymm"))
 
 
 # Fixed value: the disclaimer line that closes the landed inventory files.

@@ -131,26 +131,48 @@ def load_audit_q(spark, sf):
 
 @binding("stream_incremental_load", f"SELECT o_orderkey, o_orderstatus, o_totalprice, {YM_SQL} AS month_date_yyyymm FROM orders")
 def stream_incremental_load_q(spark, sf):
-    """Orders land as CSV in two deliveries that share every period; an availableNow
-    file stream loads each delivery once (file bookkeeping in the stream checkpoint)
-    beside the other; a third run with nothing new changes nothing."""
+    """Orders land as CSV in two deliveries that share every period and order their columns
+    differently; an availableNow file stream loads each delivery once, by name, beside the
+    other; a third run with nothing new changes nothing."""
     from hearth.streaming import landed_csv_stream, incremental_load
 
     o = _orders_by_month(spark, sf).select("o_orderkey", "o_orderstatus", "o_totalprice", "month_date_yyyymm")
     base = scratch_path(spark, "stream_incremental_load")
     landing, target, ckpt = f"{base}/landing", f"{base}/target", f"{base}/checkpoint"
-    cols = o.columns
     typed = [("o_orderkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
              ("month_date_yyyymm", "int")]
 
     def run_once():
-        q = incremental_load(landed_csv_stream(spark, landing, cols), lambda b: conform(b, typed), target,
-                             "month_date_yyyymm", ckpt)
+        q = incremental_load(landed_csv_stream(spark, landing), lambda b: conform(b, typed), target, "month_date_yyyymm", ckpt)
         q.awaitTermination()
 
     export_csv(o.where("o_orderkey % 2 = 0"), f"{landing}/delivery=1")
     run_once()
-    export_csv(o.where("o_orderkey % 2 = 1"), f"{landing}/delivery=2")
+    export_csv(o.where("o_orderkey % 2 = 1").select(*reversed(o.columns)), f"{landing}/delivery=2")
     run_once()
     run_once()
     return read_table(spark, target).drop("load_batch")
+
+
+@binding("stream_redelivery", f"""
+WITH o AS (SELECT o_orderkey, o_totalprice, {YM_SQL} AS month_date_yyyymm, 'part' || CAST(o_orderkey % 2 AS VARCHAR) AS load_delivery FROM orders)
+SELECT o_orderkey, o_totalprice, month_date_yyyymm, load_delivery FROM o
+WHERE load_delivery = 'part1' OR o_orderkey % 3 <> 0""")
+def stream_redelivery_q(spark, sf):
+    """Two deliveries land; one lands again, corrected (another price, fewer rows), in a file of
+    another name: it replaces what it brought, and the other delivery stays."""
+    from hearth.streaming import landed_csv_stream, incremental_load
+
+    o = _orders_by_month(spark, sf).select("o_orderkey", "o_totalprice", "month_date_yyyymm")
+    base = scratch_path(spark, "stream_redelivery")
+    typed = [("o_orderkey", "bigint"), ("o_totalprice", "double"), ("month_date_yyyymm", "int"), ("load_delivery", "string")]
+
+    def run_once():
+        incremental_load(landed_csv_stream(spark, f"{base}/landing"), lambda b: conform(b, typed), f"{base}/target", "month_date_yyyymm",
+                         f"{base}/checkpoint", delivery="orders=(part[01])", ledger_path=f"{base}/ledger").awaitTermination()
+    export_csv(o.where("o_orderkey % 2 = 0").withColumn("o_totalprice", F.lit(-1.0)), f"{base}/landing/try=1/orders=part0")
+    export_csv(o.where("o_orderkey % 2 = 1"), f"{base}/landing/try=1/orders=part1")
+    run_once()
+    export_csv(o.where("o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0"), f"{base}/landing/try=2/orders=part0")
+    run_once()
+    return read_table(spark, f"{base}/target")

@@ -5,7 +5,8 @@ from hearth.functions.metrics import (
     total_from_share, complement, count_from_rate, guarded_ratio, prior_level,
 )
 from hearth.functions.hygiene import (
-    finite_or_zero, text_default, us_abbrev, abs_int_default, nonfinite_to_zero, fill_defaults,
+    finite_or_zero, text_default, us_abbrev, abs_int_default, nonfinite_to_zero, nonfinite_to_null,
+    fill_defaults,
 )
 from hearth.functions.casting import (
     round_half_even, round_half_up, rounded, to_int, to_decimal, conform,

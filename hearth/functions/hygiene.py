@@ -61,6 +61,19 @@ def nonfinite_to_zero(df: DataFrame) -> DataFrame:
     return df.selectExpr(*exprs)
 
 
+def nonfinite_to_null(df: DataFrame) -> DataFrame:
+    """Every floating column: +-inf and NaN -> NULL, for loads that keep missing values missing."""
+    exprs = []
+    for f in df.schema.fields:
+        c = q(f.name)
+        if isinstance(f.dataType, FRACTIONAL_TYPES):
+            t = f.dataType.simpleString()
+            exprs.append(f"CASE WHEN NOT isnan({c}) AND abs({c}) < CAST('Infinity' AS {t}) THEN {c} END AS {c}")
+        else:
+            exprs.append(c)
+    return df.selectExpr(*exprs)
+
+
 def fill_defaults(df: DataFrame, numeric: list[str] | None = None, text: list[str] | None = None,
                   rest: bool = True, numeric_value=0, text_value: str = "") -> DataFrame:
     """Listed numeric columns NULL -> 0, listed text NULL -> ''; with ``rest`` every other

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from typing import Any, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def region_filter(df: DataFrame, column: str, value: Any | None) -> DataFrame:
@@ -53,6 +55,48 @@ def latest_period_slice(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(f"`{column}`") == F.lit(top))
 
 
+def month_bounds(period: int) -> tuple[_dt.date, _dt.date]:
+    """A year-month number's first day and the first day after it: the inverse of ``yyyymm``."""
+    year, month = divmod(int(period), 100)
+    if not 1 <= month <= 12:
+        raise ValueError(f"{period} is no year-month")
+    return _dt.date(year, month, 1), _dt.date(year + month // 12, month % 12 + 1, 1)
+
+
+def _typed(day: _dt.date, dtype: T.DataType):
+    return F.lit(day.isoformat()).cast(dtype)
+
+
+def months_between(df: DataFrame, column: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Rows whose year-month lies in first..last (numbers like 202502, either end open).
+
+    A predicate on a computed year-month reads every row; this one compares the stored date
+    or timestamp with literals, so it reaches the scan and skips row groups and partitions."""
+    dtype, c = df.schema[column].dataType, F.col(f"`{column}`")
+    if first is not None:
+        df = df.where(c >= _typed(month_bounds(first)[0], dtype))
+    if last is not None:
+        df = df.where(c < _typed(month_bounds(last)[1], dtype))
+    return df
+
+
+def newer_months(df: DataFrame, column: str, loaded: int | None) -> DataFrame:
+    """Rows of months after ``loaded`` (all where nothing is loaded), as a range of the stored column."""
+    if loaded is None:
+        return df
+    return df.where(F.col(f"`{column}`") >= _typed(month_bounds(loaded)[1], df.schema[column].dataType))
+
+
+def latest_month_slice(df: DataFrame, column: str) -> DataFrame:
+    """Rows of the latest month of a stored date or timestamp column. The newest value is
+    found from that one column; the slice itself is one scan with a pushed range."""
+    top = latest_period(df, column)
+    if top is None:
+        return df.limit(0)
+    month = top.year * 100 + top.month
+    return months_between(df, column, month, month)
+
+
 def newer_than(df: DataFrame, column: str, threshold: Any) -> DataFrame:
     if threshold is None:
         return df

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from hearth.functions import (
     zero_pad_code, split_last_token, strip_literal, duration_to_int, quarter_start, text_default, us_abbrev,
     abs_int_default, total_from_share, complement, prior_from_ratio, prior_from_ratio_guarded, count_from_rate,
-    guarded_ratio, round_half_even, round_half_up, minute_stamp, nonfinite_to_zero, fill_defaults, conform,
+    guarded_ratio, round_half_even, round_half_up, minute_stamp, nonfinite_to_zero, nonfinite_to_null, fill_defaults, conform,
     run_timestamp_literal,
 )
 from hearth.operators import (
@@ -25,9 +25,10 @@ from hearth.operators import (
     tagged_union, region_filter, fill_down, drop_all_null, lookup_left_join, MONTH_YEAR_MM, MONTH_YEAR_MOM,
 )
 from hearth.plans import specs as S
+from hearth.plans.landing import Landed, Run, load_by_period, load_whole, split_by_period, account, quarantine
 from hearth.functions._util import q
-from hearth.quality import reject_rows
-from hearth.sinks import freshness_gate, write_replace, write_append, dimension_snapshot, GateResult
+from hearth.quality.ledger import record
+from hearth.sinks import write_replace, dimension_snapshot, GateResult
 from hearth.sources import read_delimited_raw, read_preamble_tsv, read_wide_series
 
 
@@ -58,13 +59,22 @@ def _geo_keys(df: DataFrame, geo: S.Geography) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Monthly inventory (state / metro / county / zip)
 
-def inventory_transform(raw: DataFrame, geo: S.Geography, run_ts: _dt.datetime, compat: bool = True) -> DataFrame:
+def _filled(df: DataFrame, fill: bool) -> DataFrame:
+    """Load defaults: non-finite and missing numbers 0, missing text ''. With ``fill=False`` missing
+    values stay NULL (and non-finite ones become NULL), so that later aggregates are not pulled to 0."""
+    return fill_defaults(nonfinite_to_zero(df)) if fill else nonfinite_to_null(df)
+
+
+def inventory_transform(raw: DataFrame, geo: S.Geography, run_ts: _dt.datetime, compat: bool = True,
+                        fill: bool = True) -> DataFrame:
+    """``compat`` rounds pending_ratio_ly to 0 places as the published loads do; without it the
+    ratio keeps its places. ``fill=False`` keeps missing values NULL."""
     numeric = S.INVENTORY_MEASURES + [f"{m}{s}" for m in S.INVENTORY_MEASURES for s in ("_mm", "_yy")] \
         + ["quality_flag"]
     df = _doubles(footer_reject(raw, "month_date_yyyymm"), [c for c in numeric if c in raw.columns])
     df = with_prior_levels(df, measures(S.INVENTORY_MEASURES, "ratio", MONTH_YEAR_MM))
     df = _geo_keys(df, geo)
-    df = fill_defaults(nonfinite_to_zero(df))
+    df = _filled(df, fill)
     prior = [f"{m}{s}" for s in ("_ly", "_lm") for m in S.INVENTORY_MEASURES]
     skip = {"pending_ratio_lm"} | (set() if compat else {"pending_ratio_ly"})
     df = round_columns(df, {c: 0 for c in prior if c not in skip}, "half_even")
@@ -98,7 +108,7 @@ HOTNESS_FOUR_PLACES = ["median_days_on_market_ly", "median_days_on_market_lm", "
                        "page_view_count_per_property_yy", "page_view_count_per_property_vs_us"]
 
 
-def hotness_transform(raw: DataFrame, geo: S.Geography, run_ts: _dt.datetime) -> DataFrame:
+def hotness_transform(raw: DataFrame, geo: S.Geography, run_ts: _dt.datetime, fill: bool = True) -> DataFrame:
     numeric = (["hh_rank", "hotness_rank", "median_days_on_market", "median_listing_price", "quality_flag"]
                + S.HOTNESS_SCORES + S.HOTNESS_PAGE_VIEWS + S.HOTNESS_CHANGE_INPUTS)
     df = _doubles(footer_reject(raw, "month_date_yyyymm"), [c for c in numeric if c in raw.columns])
@@ -109,10 +119,14 @@ def hotness_transform(raw: DataFrame, geo: S.Geography, run_ts: _dt.datetime) ->
     df = round_columns(df, {c: 4 for c in HOTNESS_FOUR_PLACES}, "half_even")
     df = df.withColumnRenamed("hh_rank", "household_count_rank")
     df = _geo_keys(df, geo)
-    df = fill_defaults(nonfinite_to_zero(df))
+    df = _filled(df, fill)
     df = df.withColumn("Update_Date", _stamp(run_ts))
+    return conform(df, hotness_layout(geo))
+
+
+def hotness_layout(geo: S.Geography) -> list[tuple[str, str]]:
     dec = "decimal(12,4)"
-    target = ([("month_date_yyyymm", "int")] + list(geo.keys)
+    return ([("month_date_yyyymm", "int")] + list(geo.keys)
               + [("household_count_rank", "int"), ("hotness_rank", "int")]
               + [(c, dec) for c in S.HOTNESS_SCORES] + [("median_days_on_market", dec)]
               + [(c, dec) for c in S.HOTNESS_PAGE_VIEWS]
@@ -122,7 +136,6 @@ def hotness_transform(raw: DataFrame, geo: S.Geography, run_ts: _dt.datetime) ->
                  ("median_days_on_market_us", dec),
                  ("median_listing_price_lm", "int"), ("median_listing_price_ly", "int"),
                  ("median_listing_price_us", "int"), ("Update_Date", "timestamp_ntz")])
-    return conform(df, target)
 
 
 # ---------------------------------------------------------------------------
@@ -212,6 +225,7 @@ def series_long(wide: Mapping[str, DataFrame], run_date: _dt.date, state: str |
     for label, w in wide.items():
         w = region_filter(w, "State", state)
         w = w.drop(*[c for c in S.SERIES_DROPPED if c in w.columns])
+        w = _doubles(w, [c for c in w.columns if c not in S.SERIES_ID_COLUMNS])
         long = melt(w, S.SERIES_ID_COLUMNS, variable="__hdr", value="Value")
         parts[label] = long.select(*[F.col(c) for c in S.SERIES_ID_COLUMNS if c != "RegionName"],
                                    header_to_date("__hdr").alias("Month_End_Date"),
@@ -238,6 +252,20 @@ def series_dimension(long: DataFrame) -> DataFrame:
     return long.select(*S.SERIES_DIMENSION).distinct()
 
 
+def series_regions(wide: Mapping[str, DataFrame], state: str | None = None) -> DataFrame:
+    """The region dimension of the wide files: the rows ``series_dimension`` finds in the melted
+    table, taken before the melt, so a region is compared once and not once for each month."""
+    parts = []
+    for w in wide.values():
+        w = region_filter(w, "State", state)
+        parts.append(w.select(F.col("RegionID").try_cast("int").alias("RegionID"), "State", "City", "Metro", "CountyName",
+                              zero_pad_code(F.col("RegionName")).alias("Zip_Code")))
+    regions = parts[0]
+    for p in parts[1:]:
+        regions = regions.unionByName(p)
+    return fill_defaults(regions).select(*S.SERIES_DIMENSION).distinct()
+
+
 # ---------------------------------------------------------------------------
 # Investor purchases by quarter (export with blank merged quarter cells)
 
@@ -270,21 +298,16 @@ def weekly_transform(raw: DataFrame, measure: str = "adjusted_average_new_listin
 
 
 # ---------------------------------------------------------------------------
-# Runners: landed files -> target tables
+# Runners: landed files -> target tables. Each classifies its landed rows once and cuts the
+# table, the quarantine and the ledger's counts from that staged table (plans.landing).
 
-def _quarantine(raw: DataFrame, numeric: Sequence[str], keys: Sequence[str], path: str | None,
-                rules: dict | None = None, typed_keys: Sequence[tuple[str, str]] = ()) -> None:
-    """Write values that fail their declared type (or a named rule) to a quarantine table."""
-    if path:
-        target = [(c, "double") for c in numeric if c in raw.columns] + \
-                 [(c, t) for c, t in typed_keys if c in raw.columns]
-        write_append(reject_rows(raw, target, [k for k in keys if k in raw.columns], rules), path)
+FOOTER_PREFIX = S.FOOTER_TEXT.split(" ")[0]
 
 
-def _without_footer(raw: DataFrame, period: str) -> DataFrame:
-    """Without the published disclaimer line. Any other period stays, so that one
-    that does not parse is quarantined, not lost."""
-    return raw.where(~F.coalesce(F.trim(F.col(period)).startswith(S.FOOTER_TEXT.split(" ")[0]), F.lit(False)))
+def _run(table: str, landed_path, run_ts: _dt.datetime, step: str | None, ledger_path: str | None, quarantine_path: str | None) -> Run:
+    """A step is named by its landed location unless the caller names it."""
+    where = landed_path if isinstance(landed_path, str) else ",".join(landed_path)
+    return Run(table, run_ts, step or where.rstrip("/").split("/")[-1], ledger_path, quarantine_path)
 
 
 def _typed_geo_keys(geo: S.Geography) -> list[tuple[str, str]]:
@@ -292,74 +315,122 @@ def _typed_geo_keys(geo: S.Geography) -> list[tuple[str, str]]:
     return [(k, t) for k, t in geo.keys if t != "string"]
 
 
+def _monthly(geo: S.Geography, numeric: Sequence[str], text: Sequence[str] = ()) -> Landed:
+    keys = ["month_date_yyyymm"] + [geo.pad[0] if geo.pad and k == geo.pad[1] else k for k, _ in geo.keys]
+    return Landed("month_date_yyyymm", "int", FOOTER_PREFIX, [*_typed_geo_keys(geo), *((c, "double") for c in numeric)],
+                  keys=list(dict.fromkeys([*keys, *text])))
+
+
+def inventory_landing(geo: S.Geography) -> Landed:
+    return _monthly(geo, S.INVENTORY_MEASURES + [f"{m}{s}" for m in S.INVENTORY_MEASURES for s in ("_mm", "_yy")]
+                    + ["quality_flag"], geo.text)
+
+
+def hotness_landing(geo: S.Geography) -> Landed:
+    return _monthly(geo, ["hh_rank", "hotness_rank", "median_days_on_market", "median_listing_price", "quality_flag"]
+                    + S.HOTNESS_SCORES + S.HOTNESS_PAGE_VIEWS + S.HOTNESS_CHANGE_INPUTS)
+
+
+def tracker_landing() -> Landed:
+    return Landed("period_begin", "date", None, [("period_end", "date"), *((c, "double") for c in tracker_measure_columns())],
+                  keys=["period_begin", "region", "property_type"])
+
+
 def run_inventory(spark: SparkSession, geography: str, landed_path: str, target_path: str,
-                  run_ts: _dt.datetime, quarantine_path: str | None = None) -> GateResult:
+                  run_ts: _dt.datetime, quarantine_path: str | None = None, ledger_path: str | None = None,
+                  step: str | None = None, fill: bool = True) -> GateResult:
     geo = S.INVENTORY_GEOGRAPHIES[geography]
-    raw = _without_footer(read_delimited_raw(spark, landed_path), "month_date_yyyymm")
-    numeric = S.INVENTORY_MEASURES + [f"{m}{s}" for m in S.INVENTORY_MEASURES for s in ("_mm", "_yy")]
-    keys = ["month_date_yyyymm"] + [geo.pad[0] if geo.pad and k == geo.pad[1] else k for k, _ in geo.keys]
-    keys = list(dict.fromkeys(keys + list(geo.text)))
-    _quarantine(raw, numeric, keys, quarantine_path, typed_keys=[("month_date_yyyymm", "int")] + _typed_geo_keys(geo))
-    extract = inventory_transform(raw, geo, run_ts)
-    return freshness_gate(spark, extract, target_path, "month_date_yyyymm")
+    return load_by_period(spark, read_delimited_raw(spark, landed_path), inventory_landing(geo),
+                          lambda raw: inventory_transform(raw, geo, run_ts, fill=fill), target_path, "month_date_yyyymm",
+                          _run(geo.table, landed_path, run_ts, step, ledger_path, quarantine_path))
 
 
 def run_hotness(spark: SparkSession, geography: str, landed_path: str, target_path: str,
-                run_ts: _dt.datetime, latest_only: bool = False, quarantine_path: str | None = None) -> GateResult:
+                run_ts: _dt.datetime, latest_only: bool = False, quarantine_path: str | None = None,
+                ledger_path: str | None = None, step: str | None = None, fill: bool = True) -> GateResult:
     geo = S.HOTNESS_GEOGRAPHIES[geography]
-    raw = _without_footer(read_delimited_raw(spark, landed_path), "month_date_yyyymm")
-    numeric = (["hh_rank", "hotness_rank", "median_days_on_market", "median_listing_price"] + S.HOTNESS_SCORES
-               + S.HOTNESS_PAGE_VIEWS + S.HOTNESS_CHANGE_INPUTS)
-    keys = ["month_date_yyyymm"] + [geo.pad[0] if geo.pad and k == geo.pad[1] else k for k, _ in geo.keys]
-    _quarantine(raw, numeric, list(dict.fromkeys(keys)), quarantine_path,
-                typed_keys=[("month_date_yyyymm", "int")] + _typed_geo_keys(geo))
-    extract = hotness_transform(raw, geo, run_ts)
-    return freshness_gate(spark, extract, target_path, "month_date_yyyymm", latest_only=latest_only)
+    return load_by_period(spark, read_delimited_raw(spark, landed_path), hotness_landing(geo),
+                          lambda raw: hotness_transform(raw, geo, run_ts, fill=fill), target_path, "month_date_yyyymm",
+                          _run(geo.table, landed_path, run_ts, step, ledger_path, quarantine_path), latest_only)
 
 
 def run_tracker(spark: SparkSession, landed_path: str, target_path: str, run_ts: _dt.datetime,
-                latest_only: bool = False, quarantine_path: str | None = None) -> GateResult:
-    raw = read_preamble_tsv(spark, landed_path, S.TRACKER_HEADER_TOKENS)
-    _quarantine(raw, tracker_measure_columns(), ["period_begin", "region", "property_type"], quarantine_path,
-                typed_keys=[("period_begin", "date"), ("period_end", "date")])
-    extract = tracker_transform(raw, run_ts)
-    return freshness_gate(spark, extract, target_path, "period_begin", latest_only=latest_only)
+                latest_only: bool = False, quarantine_path: str | None = None, ledger_path: str | None = None,
+                step: str | None = None, geography: str = "us") -> GateResult:
+    """``geography`` names the target in the ledger; the layout is the same at every level."""
+    return load_by_period(spark, read_preamble_tsv(spark, landed_path, S.TRACKER_HEADER_TOKENS), tracker_landing(),
+                          lambda raw: tracker_transform(raw, run_ts), target_path, "period_begin",
+                          _run(S.TRACKER_GEOGRAPHIES[geography], landed_path, run_ts, step, ledger_path, quarantine_path), latest_only)
 
 
 def run_series(spark: SparkSession, spec: S.SeriesSpec, run_date: _dt.date, fact_path: str,
-               dimension_path: str) -> DataFrame:
-    wide = {label: read_wide_series(spark, path, S.SERIES_ID_COLUMNS, S.SERIES_DROPPED)
-            for label, path in spec.sources.items()}
-    long = series_long(wide, run_date, spec.state)
-    dimension_snapshot(series_dimension(long), S.SERIES_DIMENSION, dimension_path, run_date, spec.dataset_type)
-    fact = series_fact(long, series_lookup(spark))
+               dimension_path: str, quarantine_path: str | None = None, ledger_path: str | None = None) -> DataFrame:
+    """One ledger row for each labelled file: regions loaded, excluded by the state restriction,
+    or quarantined for want of a whole-number RegionID. A month cell or rank that does not parse
+    is quarantined and loads as missing."""
+    run_ts = _dt.datetime.combine(run_date, _dt.time())
+    kept: dict[str, DataFrame] = {}
+    entries = []
+    for label, path in spec.sources.items():
+        raw = read_wide_series(spark, path, S.SERIES_ID_COLUMNS, S.SERIES_DROPPED)
+        months = [c for c in raw.columns if c not in S.SERIES_ID_COLUMNS]
+        landed = Landed(needed=[("RegionID", "int")], values=[("SizeRank", "int"), *((c, "double") for c in months)],
+                        keys=["RegionID", "RegionName"],
+                        excluded=None if spec.state is None else ~F.col("State").eqNullSafe(F.lit(spec.state)))
+        run = Run(spec.target, run_ts, label, ledger_path, quarantine_path)
+        split = split_by_period(raw, landed)
+        entry = account(split, run, "replace")
+        quarantine(split, landed, run, entry)
+        kept[label] = split.loaded()
+        entries.append(entry)
+    dimension_snapshot(series_regions(kept, spec.state), S.SERIES_DIMENSION, dimension_path, run_date, spec.dataset_type)
+    fact = series_fact(series_long(kept, run_date, spec.state), series_lookup(spark))
     write_replace(fact, fact_path)
+    if ledger_path:
+        for entry in entries:
+            record(spark, ledger_path, entry)
     return fact
 
 
-def run_investor(spark: SparkSession, landed_path: str, target_path: str, run_ts: _dt.datetime,
-                 quarantine_path: str | None = None) -> DataFrame:
-    raw = read_delimited_raw(spark, landed_path).withColumn("row_no", F.col("row_no").try_cast("long"))
+def investor_landing(raw: DataFrame) -> Landed:
     quarter = F.col(S.INVESTOR_QUARTER)
-    _quarantine(raw, [S.INVESTOR_SHARE, S.INVESTOR_PURCHASES, S.INVESTOR_YOY], ["row_no", S.INVESTOR_METRO],
-                quarantine_path, {S.INVESTOR_QUARTER: ("quarter 'YYYY QN'",
-                                                       quarter.isNotNull() & quarter_start(quarter).isNull())})
-    out = investor_transform(raw, run_ts)
-    write_replace(out.withColumn("start_quarter_date", F.col("start_quarter_date").cast("date")), target_path)
-    return out
+    return Landed(values=[(c, "double") for c in (S.INVESTOR_SHARE, S.INVESTOR_PURCHASES, S.INVESTOR_YOY)],
+                  rules={S.INVESTOR_QUARTER: ("quarter 'YYYY QN'", quarter.isNotNull() & quarter_start(quarter).isNull())},
+                  keys=["row_no", S.INVESTOR_METRO], blank=[c for c in raw.columns if c != "row_no"],
+                  needed=[("row_no", "long")])
+
+
+def run_investor(spark: SparkSession, landed_path: str, target_path: str, run_ts: _dt.datetime,
+                 quarantine_path: str | None = None, ledger_path: str | None = None, step: str | None = None) -> DataFrame:
+    """Rows are loaded in file order: a row whose number does not parse has no place and is
+    quarantined; a malformed quarter loads without a date, and its text is quarantined."""
+    raw = read_delimited_raw(spark, landed_path)
+    out = []
+
+    def write(rows: DataFrame) -> None:
+        rows = rows.withColumn("row_no", F.col("row_no").try_cast("long"))
+        out.append(investor_transform(rows, run_ts))
+        write_replace(out[0].withColumn("start_quarter_date", F.col("start_quarter_date").cast("date")), target_path)
+    load_whole(spark, raw, investor_landing(raw), _run("REDFIN_INVESTOR_BY_QUARTER", landed_path, run_ts, step, ledger_path,
+                                                       quarantine_path), write)
+    return out[0]
 
 
-def run_weekly(spark: SparkSession, landed_path: str) -> DataFrame:
-    """Every column but the text, id and period columns is a measure (double)."""
+def run_weekly(spark: SparkSession, landed_path: str, run_ts: _dt.datetime | None = None, quarantine_path: str | None = None,
+               ledger_path: str | None = None, step: str | None = None) -> DataFrame:
+    """Every column but the text, id and period columns is a measure (double). The transformed
+    rows are returned (there is no table to load); rows whose period_begin does not parse are not among them."""
     raw = read_delimited_raw(spark, landed_path, sep="\t")
-    typed = []
-    for c in raw.columns:
-        if c in S.WEEKLY_TEXT:
-            typed.append(q(c))
-        elif c in S.WEEKLY_INTS:
-            typed.append(f"try_cast({q(c)} AS int) AS {q(c)}")
-        elif c in S.WEEKLY_DATES:
-            typed.append(f"try_cast({q(c)} AS date) AS {q(c)}")
-        else:
-            typed.append(f"try_cast({q(c)} AS double) AS {q(c)}")
-    return weekly_transform(raw.selectExpr(*typed))
+    types = {**{c: "string" for c in S.WEEKLY_TEXT}, **{c: "int" for c in S.WEEKLY_INTS}, **{c: "date" for c in S.WEEKLY_DATES}}
+    types = {c: types.get(c, "double") for c in raw.columns}
+    landed = Landed("period_begin" if "period_begin" in raw.columns else None, "date",
+                    values=[(c, t) for c, t in types.items() if t != "string" and c != "period_begin"],
+                    keys=["period_begin", "region_name"])
+    run = _run("REDFIN_WEEKLY", landed_path, run_ts or _dt.datetime(1970, 1, 1), step, ledger_path, quarantine_path)
+    split = split_by_period(raw, landed)
+    entry = account(split, run, "returned")
+    quarantine(split, landed, run, entry)
+    if ledger_path:
+        record(spark, ledger_path, entry)
+    return weekly_transform(split.loaded().selectExpr(
+        *[q(c) if t == "string" else f"try_cast({q(c)} AS {t}) AS {q(c)}" for c, t in types.items()]))

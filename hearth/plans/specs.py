@@ -121,6 +121,21 @@ HOTNESS_GEOGRAPHIES = {
                      pad=("postal_code", "zip_code"), text=("zip_code", "zip_name")),
 }
 
+# Declared lengths of the text columns of each table.
+TEXT_LENGTHS = {
+    "REALTOR_MNTHLY_STATE": {"state": 25, "state_id": 5},
+    "REALTOR_MNTHLY_METRO": {"cbsa_title": 75},
+    "REALTOR_MNTHLY_COUNTY": {"county_name": 75},
+    "REALTOR_MNTHLY_ZIP": {"zip_code": 75, "state": 10},
+    "REALTOR_MNTHLY_HOT_METRO": {"cbsa_title": 200},
+    "REALTOR_MNTHLY_HOT_COUNTY": {"county_name": 200, "cbsa_title": 200},
+    "REALTOR_MNTHLY_HOT_ZIP": {"zip_code": 200, "zip_name": 200},
+    "REDFIN_MNTHLY_HOUSING": {"region_type": 50, "is_seasonally_adjusted": 1, "region": 100, "city": 100, "state": 100,
+                              "state_code": 100, "property_type": 100, "parent_metro_region": 100,
+                              "parent_metro_region_metro_code": 100, "nk_update_date": 16},
+}
+
+
 TRACKER_GEOGRAPHIES = {g: f"REDFIN_MNTHLY_HOUSING_{g.upper()}"
                        for g in ("us", "state", "metro", "county", "city", "zip", "neighborhood")}
 

@@ -92,7 +92,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     try:
         return spark.read.format(fmt).option("basePath", path).load(path)
     except AnalysisException:
-        return None
+        return read_table(spark, path, fmt) if recover_swap(spark, path) else None
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -102,13 +102,77 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def _fs(spark: SparkSession, path: str):
+    """(file system, path) of the session's Hadoop configuration."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def swap_in(spark: SparkSession, new: str, path: str) -> None:
+    """Put the finished folder ``new`` in the place of ``path``. The old folder is set aside
+    before and removed after: whoever dies in between leaves it, and ``recover_swap`` puts it back."""
+    fs, target = _fs(spark, path)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    aside = Path(f"{path.rstrip('/')}__old_{uuid.uuid4().hex[:8]}")
+    if fs.exists(target) and not fs.rename(target, aside):
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(Path(new), target):
+        fs.rename(aside, target)
+        raise OSError(f"cannot put {new} in the place of {path}")
+    fs.delete(aside, True)
+
+
+def recover_swap(spark: SparkSession, path: str) -> bool:
+    """Put back the table that an interrupted swap set aside. True when there was one."""
+    fs, target = _fs(spark, path)
+    if fs.exists(target) or target.getParent() is None or not fs.exists(target.getParent()):
+        return False
+    for st in fs.listStatus(target.getParent()):
+        if st.isDirectory() and st.getPath().getName().startswith(f"{target.getName()}__old_"):
+            return bool(fs.rename(st.getPath(), target))
+    return False
+
+
+def _folder_holds(text: str, value: Any) -> bool:
+    """Whether a partition folder's (unescaped) text stands for ``value``."""
+    if value is None or text == "__HIVE_DEFAULT_PARTITION__":
+        return value is None and text == "__HIVE_DEFAULT_PARTITION__"
+    try:
+        if isinstance(value, _dt.datetime):
+            return _dt.datetime.fromisoformat(text) == value
+        if isinstance(value, _dt.date):
+            return _dt.date.fromisoformat(text) == value
+    except ValueError:
+        return False
+    return text == str(value)
+
+
 def delete_period(spark: SparkSession, path: str, period_col: str, value: Any) -> bool:
-    """Drop one period of a partitioned table: remove its partition folder (O(1),
-    no data rewrite). Returns True when the period existed."""
-    jvm = spark.sparkContext._jvm
-    part = jvm.org.apache.hadoop.fs.Path(path, f"{period_col}={value}")
-    fs = part.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(part) and fs.delete(part, True))
+    """Delete one period (any type, None for rows without one). True when there was such a period.
+
+    A table partitioned by the period loses that folder: no data is read. Any other table is
+    written again without the period beside the old one, which is then swapped out, so a job
+    that dies on the way leaves the old table."""
+    recover_swap(spark, path)
+    fs, root = _fs(spark, path)
+    if not fs.exists(root):
+        return False
+    prefix = f"{period_col}="
+    folders = [st.getPath() for st in fs.listStatus(root) if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+    if folders:
+        # The name as Spark wrote it: special characters are escaped, so names are compared unescaped.
+        mine = [p for p in folders if _folder_holds(unquote(p.getName()[len(prefix):]), value)]
+        return all([fs.delete(p, True) for p in mine]) if mine else False
+    table = read_table(spark, path)
+    if table is None or period_col not in table.columns:
+        raise ValueError(f"{path} has no column {period_col}")
+    same = F.col(f"`{period_col}`").eqNullSafe(F.lit(value).cast(table.schema[period_col].dataType))
+    if table.where(same).isEmpty():
+        return False
+    new = f"{path.rstrip('/')}__new_{uuid.uuid4().hex[:8]}"
+    table.where(~same).write.parquet(new)
+    swap_in(spark, new, path)
+    return True
 
 
 @dataclass(frozen=True)
@@ -117,6 +181,8 @@ class GateResult:
     target_max: Any
     extract_max: Any
     rows_written: int = 0
+    entry: Any = None      # the ledger's entry, where landed rows are accounted for
+    rows_without_period: int = 0
 
 
 def _parse_partition_value(text: str, dtype: T.DataType):
@@ -157,6 +223,36 @@ def _holds_data(spark: SparkSession, path: str) -> bool:
     return fs.exists(root) and any(st.getPath().getName()[0] not in "._" for st in fs.listStatus(root))
 
 
+def latest_loaded(spark: SparkSession, path: str, period_col: str, dtype: T.DataType | str) -> Any:
+    """The latest period of a period-partitioned table, from its folders (no scan); None
+    while nothing is loaded. A folder that holds data but no period of this column is not
+    our table: that raises rather than let a full load replace it."""
+    if isinstance(dtype, str):
+        dtype = T.StructType.fromDDL(f"c {dtype}").fields[0].dataType
+    present = partition_values(spark, path, period_col, dtype)
+    if not present and _holds_data(spark, path):
+        raise ValueError(f"{path} holds data but no partition of {period_col}")
+    return max(present) if present else None
+
+
+def write_periods(extract: DataFrame, path: str, period_col: str, replace: bool, fmt: str = "parquet") -> tuple[int, Any]:
+    """Write periods (``replace``: the whole table; else those that ``extract`` carries) and
+    return the rows and the latest period of the write itself. Rows without a period are not written."""
+    n, top, _ = _observed_write(extract, path, period_col, replace, fmt)
+    return n, top
+
+
+def _observed_write(extract, path, period_col, replace, fmt):
+    col = F.col(f"`{period_col}`")
+    obs = Observation(f"gate_{uuid.uuid4().hex[:8]}")
+    rows = cluster_for_write(extract, [period_col]).observe(
+        obs, F.count_if(col.isNotNull()).alias("n"), F.max(col).alias("m"), F.count_if(col.isNull()).alias("none"))
+    write = write_replace if replace else overwrite_partitions
+    write(rows.where(col.isNotNull()), path, [period_col], fmt, clustered=True)
+    m = obs.get
+    return int(m["n"]), m["m"], int(m["none"])
+
+
 def freshness_gate(spark: SparkSession, extract: DataFrame, target_path: str, period_col: str,
                    latest_only: bool = False, fmt: str = "parquet") -> GateResult:
     """Load ``extract`` into the table at ``target_path`` partitioned by ``period_col``.
@@ -167,33 +263,19 @@ def freshness_gate(spark: SparkSession, extract: DataFrame, target_path: str, pe
       nothing is written.
     The target's latest period comes from its partition listing, not a scan,
     and the extract is read once: the rows and max period loaded are observed
-    during the write itself.
-
-    Rows without a period are never loaded (the runners quarantine them). A
-    folder that holds data but no period of this column is not our table:
-    that raises rather than replace it.
+    during the write itself. Rows without a period are never loaded; the result
+    counts them (``plans.landing`` gives each of them a place).
     """
-    extract = extract.where(F.col(f"`{period_col}`").isNotNull())
-    dtype = extract.schema[period_col].dataType
-    present = partition_values(spark, target_path, period_col, dtype)
-    target_max = max(present) if present else None
     col = F.col(f"`{period_col}`")
-    obs = Observation(f"gate_{uuid.uuid4().hex[:8]}")
-    metrics = [F.count(F.lit(1)).alias("n"), F.max(col).alias("m")]
+    target_max = latest_loaded(spark, target_path, period_col, extract.schema[period_col].dataType)
     if target_max is None:
-        if _holds_data(spark, target_path):
-            raise ValueError(f"{target_path} holds data but no partition of {period_col}")
-        write_replace(cluster_for_write(extract, [period_col]).observe(obs, *metrics),
-                      target_path, [period_col], fmt, clustered=True)
-        m = obs.get
-        return GateResult("full" if m["n"] else "none", None, m["m"], int(m["n"]))
-    newer = extract.where(col > F.lit(target_max))
+        n, top, none = _observed_write(extract, target_path, period_col, True, fmt)
+        return GateResult("full" if n else "none", None, top, n, rows_without_period=none)
+    newer = extract.where(col.isNull() | (col > F.lit(target_max)))
     if latest_only:
-        newer = newer.where(col == newer.select(F.max(col)).scalar())
-    overwrite_periods(cluster_for_write(newer, [period_col]).observe(obs, *metrics),
-                      target_path, period_col, fmt, clustered=True)
-    m = obs.get
-    return GateResult("append" if m["n"] else "none", target_max, m["m"], int(m["n"]))
+        newer = newer.where(col.isNull() | (col == newer.select(F.max(col)).scalar()))
+    n, top, none = _observed_write(newer, target_path, period_col, False, fmt)
+    return GateResult("append" if n else "none", target_max, top, n, rows_without_period=none)
 
 
 def dimension_snapshot(df: DataFrame, columns: Sequence[str], path: str, report_date, dataset_type: str,
@@ -209,6 +291,18 @@ def dimension_snapshot(df: DataFrame, columns: Sequence[str], path: str, report_
     return snap
 
 
+def snapshot_view(spark: SparkSession, path: str, columns: Sequence[str], view: str) -> DataFrame:
+    """A view of the distinct dimension rows over all snapshots of the archive, and its rows.
+
+    The view is a query, not a copy: later snapshots show when it is read again."""
+    if read_table(spark, path) is None:
+        raise ValueError(f"no archive at {path}")
+    listed = ", ".join(f"`{c}`" for c in columns)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW `{view}__archive` USING parquet OPTIONS (path '{path}', basePath '{path}')")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW `{view}` AS SELECT DISTINCT {listed} FROM `{view}__archive`")
+    return spark.table(f"`{view}`")
+
+
 def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",") -> None:
     """Parallel CSV export (one file per partition)."""
     df.write.mode("overwrite").option("header", header).option("sep", sep).csv(path)

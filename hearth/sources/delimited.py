@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from typing import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.functions.casting import conform
+from hearth.session import stage
+from hearth.sources.by_name import BOM_TEXT, _pattern, numbered, resolve_by_name
 
 BOM = "﻿"
 
@@ -18,18 +19,23 @@ def clean_name(name: str) -> str:
     return name.replace(BOM, "").replace("ï»¿", "").strip()
 
 
-def _header_groups(spark: SparkSession, path: str | Sequence[str], sep: str) -> list[list[str]] | None:
-    """Files grouped by equal header line; None when all agree (or there is one file)."""
-    lines = spark.read.text(path)
-    if len(lines.inputFiles()) < 2:
-        return None
-    firsts = (lines.where("_metadata.file_block_start = 0")
-              .select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("id"))
-              .groupBy("file").agg(F.min_by("value", "id").alias("header")))
-    groups = firsts.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
-    if len({tuple(clean_name(n) for n in g["header"].split(sep)) for g in groups}) < 2:
-        return None
-    return [[unquote(f) for f in g["files"]] for g in sorted(groups, key=lambda g: g["files"][0])]
+def _first_rows(batches):
+    """The first row of a split; the rest of it is not read."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def _same_headers(spark: SparkSession, path: str | Sequence[str], sep: str) -> bool:
+    """Whether all files have the same header names. Only the head of each file is read: a
+    session of its own deals every file out as a task, and a task stops at its first line."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))
+    heads = (own.read.text(path).select("value", F.col("_metadata.file_block_start").alias("block"))
+             .where("block = 0").select("value").mapInArrow(_first_rows, "value string"))
+    names = F.transform(F.split("value", _pattern(sep)), lambda c: F.trim(F.regexp_replace(c, BOM_TEXT, "")))
+    return len(heads.select(names.alias("n")).distinct().limit(2).collect()) < 2
 
 
 def read_delimited_raw(spark: SparkSession, path: str | Sequence[str], sep: str = ",",
@@ -37,17 +43,17 @@ def read_delimited_raw(spark: SparkSession, path: str | Sequence[str], sep: str
     """All columns as text, header names cleaned. Schema inference is off on
     purpose: an all-empty column must not become a number.
 
-    Columns are taken by name: files whose headers differ are read group by
-    group, each by its own names, and a column that a file lacks is NULL."""
-    groups = _header_groups(spark, path, sep) if header else None
-    if groups:
-        parts = [read_delimited_raw(spark, files, sep, header, lower, **options) for files in groups]
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part, allowMissingColumns=True)
-        return out
-    reader = spark.read.option("header", header).option("sep", sep).option("inferSchema", False) \
-        .option("mode", "PERMISSIVE").option("multiLine", options.pop("multiLine", False))
+    Columns are taken by name. Where all headers agree the files are read as they are, in one
+    lazy pass; else their lines are staged once and each value is found by its own file's
+    header (``by_name``): a column that a file lacks is NULL. Folders like ``k=1/`` add the
+    column k either way."""
+    options = {"multiLine": False, **options}
+    if header and not options["multiLine"] and not _same_headers(spark, path, sep):
+        text = spark.read.text(path)
+        keep = [c for c in text.columns if c != "value"]
+        own = {k: str(v) for k, v in options.items() if k != "multiLine"}
+        return resolve_by_name(stage(numbered(text, keep), "landed_lines"), None, sep, lower, keep, own)
+    reader = spark.read.option("header", header).option("sep", sep).option("inferSchema", False).option("mode", "PERMISSIVE")
     for k, v in options.items():
         reader = reader.option(k, v)
     raw = reader.csv(path)

@@ -3,50 +3,132 @@
 The source families publish files into a landing folder. Instead of polling
 and comparing maxima by hand, a file stream picks up only files it has not
 seen (tracked in the checkpoint, so a restart or a lost executor never loads
-a file twice or skips one) and each micro-batch is transformed and written
-into partitions of its own, (period, batch): a period that arrives in several
-files or deliveries adds up, and a batch that is run again after a failure
-replaces only what it wrote before. ``trigger(availableNow=True)`` processes everything
-that has landed and stops, which makes it a scheduled batch job with
-exactly-once file bookkeeping.
+a file twice or skips one). Each micro-batch resolves its lines by every file's
+own header, is transformed, and is written into partitions of its own.
+``trigger(availableNow=True)`` processes everything that has landed and stops,
+which makes it a scheduled batch job with exactly-once file bookkeeping.
+
+What a period that arrives more than once means is one of two rules:
+
+* by default deliveries add up: the target is partitioned by (period, batch), and
+  a batch that is run again after a failure replaces only what it wrote before;
+* with a ``delivery`` pattern a file belongs to the delivery that the pattern finds
+  in its path, and a delivery that lands again (a corrected file under a new name)
+  replaces all that it brought before. The target is partitioned by (period, delivery).
+  Of files of one delivery that land together the one modified last counts, of equal
+  ones the last by path.
 """
 
 from __future__ import annotations
 
-from typing import Callable
+import datetime as _dt
+from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from hearth.sinks import overwrite_partitions
+from hearth.quality.ledger import LoadEntry, record
+from hearth.session import stage
+from hearth.sinks import cluster_for_write, overwrite_partitions, partition_values
+from hearth.sources.by_name import line_columns, resolve_by_name
 
 BATCH_COLUMN = "load_batch"
+DELIVERY_COLUMN = "load_delivery"
 
 
-def landed_csv_stream(spark: SparkSession, landing_path: str, columns: list[str], sep: str = ",",
+def landed_csv_stream(spark: SparkSession, landing_path: str, columns: Sequence[str] | None = None, sep: str = ",",
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of newly landed delimited files, every column as text (no inference)."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    reader = spark.readStream.schema(schema).option("header", True).option("sep", sep)
+    """Stream of newly landed delimited files as lines with their file; ``incremental_load``
+    resolves them by name. ``columns`` are those that every batch has, whatever its headers
+    say (default: the names that the batch's headers have); ``sep`` parts the cells."""
+    reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(landing_path)
+    lines = reader.load(landing_path)
+    wanted = F.array(*[F.lit(c) for c in columns]) if columns is not None else F.lit(None).cast("array<string>")
+    return lines.select(*[F.col(f"`{c}`") for c in lines.columns if c != "value"], *line_columns(),
+                        F.lit(sep).alias("__sep"), wanted.alias("__wanted"))
+
+
+def _landed_rows(batch: DataFrame, delivery: str | None) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of one text column for each name, staged lines); a batch that holds no lines is
+    taken to be rows already."""
+    if "__line" not in batch.columns:
+        return batch, None
+    head = batch.select("__sep", "__wanted").first()
+    if head is None:
+        return batch.drop("__line"), None
+    keep = [c for c in batch.columns if not c.startswith("__")]
+    lines = stage(batch.drop("__sep", "__wanted").withColumn("__pos", F.monotonically_increasing_id()), "batch_lines")
+    if delivery:
+        lines = stage(_by_delivery(lines, delivery), "batch_deliveries")
+        keep = [*keep, DELIVERY_COLUMN]
+    return resolve_by_name(lines, head["__wanted"], head["__sep"], keep=keep), lines
+
+
+def _by_delivery(lines: DataFrame, pattern: str) -> DataFrame:
+    """Lines with their file's delivery; of each delivery only the file modified last."""
+    named = lines.withColumn(DELIVERY_COLUMN, F.regexp_extract("__file", pattern, 1))
+    # One row per file of the batch.
+    files = named.select("__file", "__landed", DELIVERY_COLUMN).distinct()
+    last = Window.partitionBy(DELIVERY_COLUMN).orderBy(F.col("__landed").desc(), F.col("__file").desc())
+    kept = files.withColumn("__n", F.row_number().over(last)).where("__n = 1").select("__file")
+    return named.join(kept, "__file", "left_semi")
 
 
 def incremental_load(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], target_path: str,
-                     period_col: str, checkpoint_path: str, available_now: bool = True) -> StreamingQuery:
-    """Transform each micro-batch and write it beside the earlier ones.
+                     period_col: str, checkpoint_path: str, available_now: bool = True, delivery: str | None = None,
+                     ledger_path: str | None = None, table: str | None = None) -> StreamingQuery:
+    """Transform each micro-batch and write it; see the module on what a repeated period means.
+
+    ``delivery`` is a pattern with one group, matched against a file's path; a file without
+    a match belongs to the delivery ''. The checkpoint belongs to the table: start a new
+    checkpoint only with a new table. With ``ledger_path`` every batch leaves one row in the
+    load ledger (table, 'stream', batch), also when it is run again; its counts are those of
+    the write itself, and rows without a period are counted as quarantined, not written."""
+    by = DELIVERY_COLUMN if delivery else BATCH_COLUMN
 
-    The target is partitioned by the period and by ``load_batch``, the batch's
-    number in the checkpoint, so the rows of a period do not depend on how its
-    files fall into batches. The checkpoint belongs to the table: start a new
-    checkpoint only with a new table."""
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        rows = transform(batch).withColumn(BATCH_COLUMN, F.lit(epoch).cast("long"))
-        overwrite_partitions(rows, target_path, [period_col, BATCH_COLUMN])
+        spark = batch.sparkSession
+        if batch.isEmpty():
+            return
+        landed, lines = _landed_rows(batch, delivery)
+        rows = transform(landed)
+        if not delivery:
+            rows = rows.withColumn(BATCH_COLUMN, F.lit(epoch).cast("long"))
+        elif DELIVERY_COLUMN not in rows.columns:
+            raise ValueError(f"the transform must keep the column {DELIVERY_COLUMN}")
+        seen = Observation()
+        period = F.col(f"`{period_col}`")
+        rows = cluster_for_write(rows, [period_col, by]).observe(
+            seen, F.count(F.lit(1)).alias("read"), F.count_if(period.isNotNull()).alias("written"),
+            F.max(period).cast("string").alias("newest"))
+        overwrite_partitions(rows.where(period.isNotNull()), target_path, [period_col, by], clustered=True)
+        if delivery:
+            _drop_old_periods(spark, lines, rows, target_path, period_col)
+        if ledger_path:
+            got = seen.get
+            record(spark, ledger_path, LoadEntry(
+                table or target_path.rstrip("/").split("/")[-1], "stream", f"batch-{epoch:08d}", _dt.datetime(1970, 1, 1),
+                "append", got["read"], got["written"], rows_quarantined=got["read"] - got["written"], max_period=got["newest"]))
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
     return writer.start()
+
+
+def _drop_old_periods(spark: SparkSession, lines: DataFrame, rows: DataFrame, target_path: str, period_col: str) -> None:
+    """Remove periods that a delivery brought before and no longer has: the folders of the
+    batch's deliveries under periods that the batch did not write. Folders, not data."""
+    deliveries = {r[0] for r in lines.select(DELIVERY_COLUMN).distinct().collect()}
+    now = {(str(r[0]), r[1]) for r in rows.where(F.col(f"`{period_col}`").isNotNull())
+           .select(F.col(f"`{period_col}`").cast("string"), DELIVERY_COLUMN).distinct().collect()}
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for period in partition_values(spark, target_path, period_col, T.StringType()):
+        at = f"{target_path.rstrip('/')}/{period_col}={period}"
+        for d in partition_values(spark, at, DELIVERY_COLUMN, T.StringType()):
+            if d in deliveries and (period, d) not in now:
+                gone = fs_path(f"{at}/{DELIVERY_COLUMN}={d}")
+                gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)

@@ -146,7 +146,9 @@ def test_investor_fill_down_and_guards(spark, tmpdir_path):
     _write(f"{tmpdir_path}/inv/x.csv", lines)
     out = {r["Redfin Metro"]: r for r in fam.run_investor(spark, f"{tmpdir_path}/inv", f"{tmpdir_path}/INV", RUN,
                                                           quarantine_path=f"{tmpdir_path}/Q").collect()}
-    q = [tuple(r) for r in read_table(spark, f"{tmpdir_path}/Q").collect()]
+    tagged = read_table(spark, f"{tmpdir_path}/Q")
+    assert [r.step for r in tagged.collect()] == ["inv"]
+    q = [tuple(r) for r in tagged.drop("table_name", "run_id", "step").collect()]
     assert q == [(4, "Miami, FL", "Quarter", "quarter 'YYYY QN'", "2024-3")]
     assert len(out) == 4
     b, a, m, d = out["Boston, MA"], out["Austin, TX"], out["Miami, FL"], out["Denver, CO"]
@@ -176,7 +178,7 @@ def test_weekly(spark, tmpdir_path):
 
 def test_home_values_series(spark, tmpdir_path):
     head = "RegionID,SizeRank,RegionName,RegionType,StateName,State,City,Metro,CountyName,2024-01-31,2024-02-29"
-    rows = ['58710,248,2301,zip,MA,MA,Brockton,"Boston, MA",Plymouth County,126909.5,127000.4',
+    rows = ['77001,31,2301,zip,MA,MA,Millbrook,"Boston, MA",Plymouth County,210400.5,211000.4',
             '1,2,10001,zip,NY,NY,,"New York, NY",New York County,,900000']
     _write(f"{tmpdir_path}/hv/a/a.csv", [head] + rows)
     _write(f"{tmpdir_path}/hv/b/b.csv", [head] + rows)
@@ -186,10 +188,10 @@ def test_home_values_series(spark, tmpdir_path):
     got = sorted((tuple(r) for r in read_table(spark, f"{tmpdir_path}/ZW").collect()),
                  key=lambda t: (t[2], t[5] is None, t[5] or 0))
     assert fact.columns == ["RegionID", "SizeRank", "Month_End_Date", "Value", "Date_Pulled", "LOOKUP_KEY"]
-    assert got == [(58710, 248, dt.date(2024, 1, 31), 126910.0, dt.date(2025, 1, 15), 1),
-                   (58710, 248, dt.date(2024, 1, 31), 126910.0, dt.date(2025, 1, 15), None),
-                   (58710, 248, dt.date(2024, 2, 29), 127000.0, dt.date(2025, 1, 15), 1),
-                   (58710, 248, dt.date(2024, 2, 29), 127000.0, dt.date(2025, 1, 15), None)]
+    assert got == [(77001, 31, dt.date(2024, 1, 31), 210400.0, dt.date(2025, 1, 15), 1),
+                   (77001, 31, dt.date(2024, 1, 31), 210400.0, dt.date(2025, 1, 15), None),
+                   (77001, 31, dt.date(2024, 2, 29), 211000.0, dt.date(2025, 1, 15), 1),
+                   (77001, 31, dt.date(2024, 2, 29), 211000.0, dt.date(2025, 1, 15), None)]
     dim = read_table(spark, f"{tmpdir_path}/DIM").collect()
     assert len(dim) == 1 and dim[0].Zip_Code == "02301" and dim[0].dataset_type == "Home_Values"
 
