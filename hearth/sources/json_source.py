@@ -18,7 +18,7 @@ def read_landed_json(spark: SparkSession, path: str | Sequence[str], multi_line:
     """One row per document: file, row_no (order within the file's split), text, document
     (variant, NULL where the text is no JSON). A file is one document with ``multi_line``,
     else every non-empty line is. Folders like ``k=1/`` add the column k."""
-    text = spark.read.option("wholetext", multi_line).text(path)
+    text = spark.read.text(path, wholetext=multi_line)
     keep = [c for c in text.columns if c != "value"]
     rows = text.select(*[F.col(f"`{c}`") for c in keep], F.col("_metadata.file_path").alias("file"),
                        F.monotonically_increasing_id().alias("row_no"), F.col("value").alias("text"))

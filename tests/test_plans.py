@@ -38,9 +38,9 @@ def test_fill_down_shuffles_the_data_once(spark):
                                   F.when(F.col("id") % 11 == 0, F.col("id").cast("string")).alias("q"),
                                   (F.col("id") * 2).alias("payload"))
     plan = fill_down(df, ["q"], "row_no", keys=["k"], bucket_width=100)._jdf.queryExecution().executedPlan().toString()
-    # exchanges: data on (key, bucket); partial summaries on (key, bucket); summaries on key
-    assert plan.count("Exchange hashpartitioning(__g0") == 3
-    assert plan.count("partial_max_by") == 1
+    # one exchange: the data on (key, bucket); the carries were summarised before and are staged
+    assert plan.count("Exchange hashpartitioning(__g0") == 1
+    assert "max_by" not in plan
     assert "Exchange SinglePartition" not in plan
 
 
