@@ -8,6 +8,7 @@ absent *and* Spark runs in local mode (tests, laptop runs).
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -112,12 +113,33 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_RUN = uuid.uuid4().hex[:12]   # this process's part of the scratch folder
+_roots: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused location under the shared folder."""
+    """A fresh, never-reused location under the shared folder, removed when this process ends
+    (results are read by then: a lazy frame does not outlive its process)."""
     base = shared_dir(spark)
     if base.startswith("file:"):
         base = base[len("file:"):]
-    return os.path.join(base, "hearth-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    root = os.path.join(base, "hearth-scratch", _RUN)
+    if not _roots:
+        atexit.register(release_scratch)
+    _roots[root] = spark
+    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def release_scratch() -> None:
+    """Remove what this process staged in the shared folder. Runs by itself at the end of the
+    process; a long-lived one may call it between runs, when no staged result is read any more."""
+    for root, spark in list(_roots.items()):
+        try:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            del _roots[root]
+        except Exception:  # the session is gone: its files are left to the folder's owner
+            pass
 
 
 def stage(df, name: str):

@@ -33,3 +33,17 @@ def test_cluster_profile_and_defaults(spark):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "dynamic"
     assert SESSION_DEFAULTS["spark.sql.adaptive.enabled"] == "true"
     assert int(CLUSTER_PROFILE["spark.sql.shuffle.partitions"]) >= 1000
+
+
+def test_scratch_is_removed_at_the_end(spark, monkeypatch):
+    import os
+
+    from hearth import session
+    monkeypatch.setattr(session, "_RUN", "of-this-test")
+    monkeypatch.setattr(session, "_roots", {})
+    staged = session.stage(spark.range(5), "scratch_test")
+    assert staged.count() == 5
+    root = next(iter(session._roots))
+    assert root.endswith("of-this-test") and os.listdir(root)
+    session.release_scratch()
+    assert not os.path.exists(root) and not session._roots
