@@ -16,13 +16,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model does not reject; it learns from those here that are labelled."""
+    """Documents that the toxicity model does not reject; it learns from those here that are labelled.
+    Without labels of both classes nothing is rejected."""
     from hearth.llm.toxicity import drop_toxic
     return drop_toxic(docs, _table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near copies."""
+    """One document, that with the smallest id (then hash of the text), of each group of near copies."""
     from hearth.llm.ngram_jaccard import one_of_each_group
     return one_of_each_group(docs)
 
