@@ -89,10 +89,13 @@ def overwrite_periods(df: DataFrame, path: str, period_col: str, fmt: str = "par
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``; None where there is none (or a folder without data)."""
+    if not table_exists(spark, path) and not recover_swap(spark, path):
+        return None
     try:
         return spark.read.format(fmt).option("basePath", path).load(path)
     except AnalysisException:
-        return read_table(spark, path, fmt) if recover_swap(spark, path) else None
+        return None
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
