@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as
 Parquet and read again as the next stage's ``docs``.
+
+Null and empty texts are clean, have no near copies, hold no benchmark item and have size 0,
+so they pass to the mix, which takes them with their source's whole epochs. Rows equal in id
+and text are one document: one of them stays. Rows that share an id but not their text are
+different documents, each judged by itself; rows without an id stay unless they are toxic or
+leaked. Empty tables give an empty result. The last stage carries text, lang and source.
 """
 
 from __future__ import annotations
