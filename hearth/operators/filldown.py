@@ -27,6 +27,7 @@ from hearth.operators.joins import fits
 from hearth.session import stage
 
 MAX_ROWS = 1 << 16      # rows of a key that one window takes as they are
+WHOLE_SHARE = 8         # a file without keys is cut this much finer: its buckets are all its tasks
 MAX_HOT_KEYS = 100_000  # broadcast to the data; beyond it, a shuffle join
 
 
@@ -75,6 +76,7 @@ def _bucketed(base: DataFrame, names: list[str], max_rows: int) -> tuple[DataFra
     any key is cut. Keys of at most ``max_rows`` rows are one bucket."""
     def bucket(lo, width):
         return F.coalesce(F.floor((F.col("__o") - lo) / width), F.lit(-1)).cast("long")
+    max_rows = max_rows if names else max(1, max_rows // WHOLE_SHARE)
     counted = base.groupBy(*names).agg(F.count(F.lit(1)).alias("__rows"), F.min("__o").alias("__lo"), F.max("__o").alias("__hi"))
     width = (F.col("__hi") - F.col("__lo") + 1).cast("double") * max_rows / F.col("__rows")
     hot = counted.where((F.col("__rows") > max_rows) & F.col("__lo").isNotNull()).select(

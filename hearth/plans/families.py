@@ -33,8 +33,12 @@ from hearth.sources import read_delimited_raw, read_preamble_tsv, read_wide_seri
 
 
 def _doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """try_cast the listed columns to double, others unchanged (one projection)."""
-    wanted = {c.lower() for c in columns}
+    """try_cast the listed columns to double, others unchanged (one projection, none where
+    all of them are doubles)."""
+    have = {c.lower(): t for c, t in df.dtypes}
+    wanted = {c.lower() for c in columns if have.get(c.lower()) != "double"}
+    if not wanted:
+        return df
     return df.selectExpr(*[f"try_cast({q(c)} AS double) AS {q(c)}" if c.lower() in wanted else q(c)
                            for c in df.columns])
 
