@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the separators where letters still have their case
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 AROUND = 24  # words on either side of a keyword that a rule may read; no rule spans more
 
@@ -179,6 +179,11 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
         F.slice("words", left + 1, F.col("at") - left), F.array(F.concat(F.lit("@"), F.col("keyword"))),
         F.slice("words", F.col("at") + 2, F.lit(AROUND))), " "), F.lit(" "))
     spots = spots.select("id", "sum", "at", left.alias("left"), "keyword", around.alias("around"))
+    some = F.lit(False)  # one literal pattern for each keyword: most places match no rule
+    for k in keywords:
+        any_rule = "|".join(dict.fromkeys(r[5] for r in rules() if r[3] == k))
+        some = some | ((F.col("keyword") == k) & F.col("around").rlike(f" (?:{any_rule}) "))
+    spots = spots.where(some)
     tried = spots.join(F.broadcast(rule_table(spark)), "keyword")
     whole = F.concat(F.lit("(?s)^(.*? )("), F.col("pattern"), F.lit(") "))
     tried = tried.where(F.regexp_like("around", F.concat(F.lit(" (?:"), F.col("pattern"), F.lit(") ")))).select(
@@ -205,7 +210,7 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
         F.min(F.when(F.col("base"), F.col("start"))).alias("first_word"), F.max(F.when(F.col("base"), F.col("start"))).alias("last_word"),
         sets(F.when(F.col("base"), F.col("label"))).alias("base_labels"), sets(F.when(F.col("kept"), F.col("label"))).alias("labels"),
         F.max(F.when(F.col("kept"), F.col("weight"))).alias("score"))
-    counted = rows.select(F.col("id"), F.col("sum"), F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"))
+    counted = rows.select(F.col("id"), F.col("sum"), F.size(F.filter(F.split("text", BETWEEN), lambda x: x != "")).cast("long").alias("n_words"))
     joined = counted.alias("d").join(per.alias("p"), F.col("d.id").eqNullSafe(F.col("p.id")) & (F.col("d.sum") == F.col("p.sum")), "left")
     return joined.select(F.col("d.id").alias(key), "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"),
                          "first_word", "last_word", F.coalesce("base_labels", F.lit("")).alias("base_labels"),
