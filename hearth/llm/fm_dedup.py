@@ -28,7 +28,7 @@ from hearth.session import stage
 
 WINDOW, SEED = 35, 8
 PER_FRAGMENT = 2_000_000   # minimizers one counting task holds
-PER_SHARD = 2_000_000      # words one shard's index holds
+PER_SHARD = 1_000_000      # words one shard's index holds
 HOT = 20_000               # minimizers with more occurrences are routed window by window
 DOCS_PER_BUCKET = 50_000
 
