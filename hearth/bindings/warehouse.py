@@ -18,7 +18,7 @@ from hearth.sinks import (
     create_declared, delete_period, dimension_snapshot, drop_declared, export_sample, insert_declared, overwrite_periods,
     read_table, replace_declared, snapshot_view, write_create, write_replace,
 )
-from hearth.sources import flatten_json, malformed_json, read_delimited, read_landed_json
+from hearth.sources import flatten_json, malformed_json, read_delimited, read_json_documents
 
 
 def _declared_sql(geo: str) -> str:
@@ -155,7 +155,7 @@ def _landed_json(spark, sf):
     line = F.when(F.col("event_id") % 20 == 3, F.substring(document, 1, 12)).otherwise(document)
     path = scratch_path(spark, "landed_json")
     e.select(line.alias("value")).write.text(path)
-    return read_landed_json(spark, path, multi_line=False)
+    return read_json_documents(spark, path, multi_line=False)
 
 
 @binding("json_landed_paths", """

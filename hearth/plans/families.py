@@ -95,6 +95,7 @@ def inventory_transform(raw: DataFrame, geo: S.Geography, run_ts: _dt.datetime,
 # ---------------------------------------------------------------------------
 # Monthly hotness (metro / county / zip)
 
+# Each derived hotness column, its level, its change and the rule.
 HOTNESS_DERIVED = [
     Derived("hotness_rank_lm", "hotness_rank", "hotness_rank_mm", "sum"),
     Derived("hotness_rank_ly", "hotness_rank", "hotness_rank_yy", "diff"),
@@ -105,11 +106,6 @@ HOTNESS_DERIVED = [
     Derived("median_listing_price_ly", "median_listing_price", "median_listing_price_yy", "ratio"),
     Derived("median_listing_price_us", "median_listing_price", "median_listing_price_vs_us", "ratio"),
 ]
-HOTNESS_TWO_PLACES = ["hotness_rank", "demand_score", "hotness_rank_lm", "hotness_rank_ly",
-                      "median_listing_price_lm", "median_listing_price_ly", "median_listing_price_us"]
-HOTNESS_FOUR_PLACES = ["median_days_on_market_ly", "median_days_on_market_lm", "median_days_on_market_us",
-                       "hotness_score", "supply_score", "page_view_count_per_property_mm",
-                       "page_view_count_per_property_yy", "page_view_count_per_property_vs_us"]
 
 
 def hotness_transform(raw: DataFrame, geo: S.Geography, run_ts: _dt.datetime, fill: bool = True) -> DataFrame:
@@ -119,8 +115,8 @@ def hotness_transform(raw: DataFrame, geo: S.Geography, run_ts: _dt.datetime, fi
     df = with_prior_levels(df, HOTNESS_DERIVED, drop_changes=False, drop=S.HOTNESS_CHANGE_INPUTS)
     # Two places for ranks and prices, four for scores and day counts (the
     # demand score is rounded to two, so its later four-place rounding is a no-op).
-    df = round_columns(df, {c: 2 for c in HOTNESS_TWO_PLACES}, "half_even")
-    df = round_columns(df, {c: 4 for c in HOTNESS_FOUR_PLACES}, "half_even")
+    df = round_columns(df, {c: 2 for c in S.HOTNESS_TWO_PLACES}, "half_even")
+    df = round_columns(df, {c: 4 for c in S.HOTNESS_FOUR_PLACES}, "half_even")
     df = df.withColumnRenamed("hh_rank", "household_count_rank")
     df = _geo_keys(df, geo)
     df = _filled(df, fill)

@@ -27,6 +27,13 @@ HOTNESS_CHANGE_INPUTS = ["hotness_rank_mm", "hotness_rank_yy", "median_dom_mm_da
                          "median_dom_vs_us", "median_listing_price_mm", "median_listing_price_yy",
                          "median_listing_price_vs_us", "median_days_on_market_mm", "median_days_on_market_yy"]
 
+# Hotness columns rounded to two and to four places.
+HOTNESS_TWO_PLACES = ["hotness_rank", "demand_score", "hotness_rank_lm", "hotness_rank_ly",
+                      "median_listing_price_lm", "median_listing_price_ly", "median_listing_price_us"]
+HOTNESS_FOUR_PLACES = ["median_days_on_market_ly", "median_days_on_market_lm", "median_days_on_market_us",
+                       "hotness_score", "supply_score", "page_view_count_per_property_mm",
+                       "page_view_count_per_property_yy", "page_view_count_per_property_vs_us"]
+
 # Housing-tracker measures. Ratio measures publish a relative
 # change; point measures publish a change in points.
 TRACKER_RATIO_MEASURES = ["median_sale_price", "median_list_price", "median_ppsf", "median_list_ppsf",

@@ -1,7 +1,7 @@
 """JSON responses landed as files, or JSON text columns -> key/value rows.
 
-Types are never inferred and nothing is dropped: a document is parsed to a variant, its
-nested fields become (path, value) rows, and text that is no JSON is kept apart as it came.
+``read_json_documents`` infers no types and drops nothing: a document is parsed to a variant,
+its nested fields become (path, value) rows, and text that is no JSON is kept apart as it came.
 """
 
 from __future__ import annotations
@@ -15,6 +15,11 @@ from hearth.session import stage
 
 
 def read_landed_json(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:
+    """The documents' top-level fields as columns, their types inferred by Spark's JSON reader."""
+    return spark.read.option("multiLine", multi_line).json(path)
+
+
+def read_json_documents(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:
     """One row per document: file, row_no (order within the file's split), text, document
     (variant, NULL where the text is no JSON). A file is one document with ``multi_line``,
     else every non-empty line is. Folders like ``k=1/`` add the column k."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hearth.operators import bounded, extend_keys, fill_down, latest_month_slice, month_bounds, months_between, newer_months
 from hearth.quality import NotConforming, conformance_report, read_ledger, require_conformance
 from hearth.sinks import create_declared, delete_period, drop_declared, read_table, recover_swap, replace_declared, write_replace
-from hearth.sources import flatten_json, malformed_json, read_delimited_raw, read_landed_json
+from hearth.sources import flatten_json, malformed_json, read_delimited_raw, read_json_documents
 from tests.test_landed_rows import put
 
 
@@ -117,7 +117,7 @@ def test_keys_never_change(spark):
 def test_json_paths_and_what_is_no_json(spark, tmpdir_path):
     put(f"{tmpdir_path}/j/a.json", '{"a": {"b": [1, {"c": null}, []], "d": "{}"}, "e": true,\n "f": {}}')
     put(f"{tmpdir_path}/j/b.json", '{"a": ')
-    landed = read_landed_json(spark, f"{tmpdir_path}/j")
+    landed = read_json_documents(spark, f"{tmpdir_path}/j")
     assert [r.text for r in malformed_json(landed).collect()] == ['{"a": ']
     assert sorted(map(tuple, flatten_json(landed, "document").collect())) == [
         ("$.a.b[0]", "1"), ("$.a.b[1].c", None), ("$.a.b[2]", "[]"), ("$.a.d", "{}"), ("$.e", "true"), ("$.f", "{}")]
