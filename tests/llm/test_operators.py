@@ -14,6 +14,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 CLASH = "n long, root long, id long, size long, shard int, label string, words string"
 DOC_SCHEMA = f"doc_id long, text string, lang string, source string, {CLASH}"
@@ -296,12 +297,59 @@ def test_suffix_tree_is_a_distribution():
     import pyarrow as pa
     from hearth.llm import textops as T
     codes, counts = np.unique(code, return_counts=True)
-    got = L._retained(len(code))(pa.table({"codes": [T.pack(codes)], "counts": [T.pack(counts)]}))
-    tree = L.SuffixTree(*(got.column(c).to_numpy() for c in ("depth", "context", "symbol", "count", "kept")))
+    part = pa.table({"codes": [T.pack(codes)], "counts": [T.pack(counts)]})
+
+    def built(cache_share):
+        got = L._tree_rows(len(code), cache_share)([pa.scalar(0)], part)
+        pick = lambda kind, *names: [got.filter(pa.compute.equal(got["kind"], kind)).column(c).to_numpy() for c in names]
+        return L.SuffixTree(*pick(L.GRAM, "depth", "context", "symbol", "count", "kept"),
+                            pick(L.BEYOND, "depth", "context", "symbol")), pick(L.SUBTREE, "depth", "grams", "counts")
+    tree, (depths, grams, times) = built(0)
     assert np.allclose((10.0 ** tree.log.reshape(-1, L.SYMBOLS)).sum(1), 1, atol=1e-4)
     entropy = -sum(p * math.log10(p) for p in (.1, .4, .3, .2))
     fresh = np.concatenate([symbols[:L.DEPTH], rng.choice([1, 3, 4, 5], 20000, p=[.1, .4, .3, .2]).astype(np.uint8)])
     assert -tree.log10(fresh).mean() == pytest.approx(entropy, abs=0.03)
+    # A cache of a few contexts and the parts of the tree beyond it give what the whole tree gives.
+    whole, outside = tree.score(fresh)
+    assert not len(outside)
+    deep = L.deep_probability(tree.first, {int(d): (np.frombuffer(g, np.int64), np.frombuffer(n, np.int64))
+                                           for d, g, n in zip(depths, grams, times)})
+    code = L.contexts(fresh) << L.BITS | fresh[L.DEPTH:]
+    assert np.allclose(np.log10(deep(code)), whole, atol=1e-5)
+    small, outside = built(0.05)[0].score(fresh)
+    assert 0 < len(outside) and len(built(0.05)[0].log) < len(tree.log)
+    small[outside] = np.log10(deep(code[outside]))
+    assert np.allclose(small, whole, atol=1e-5)
+    assert np.array_equal(L.from_planes(L.planes(code), np.int64), code)
+
+
+def test_suffix_tree_cache_changes_no_score(spark, docs):
+    """The score is the same with nothing, little or everything cached, and by a plain walk of the whole
+    tree; a context that stands a fixed number of times is there whatever the size of the corpus."""
+    from hearth.llm import suffix_tree_lm as L
+    from hearth.llm.suffix_tree_lm import score_documents
+    rng = np.random.default_rng(3)
+    vocabulary = ["".join(rng.choice(list("abcdeét"), rng.integers(1, 8))) for _ in range(60)]
+    many = spark.createDataFrame([(i, " ".join(rng.choice(vocabulary, rng.integers(0, 80)))) for i in range(400)]
+                                 + [(None, "A b"), (7, None), (7, "")], "doc_id long, text string").repartition(3, "doc_id")
+    found = {}
+    for cut in (0.0, 0.002, 2.0):
+        rows = score_documents(many, cache_share=cut).collect()
+        assert len(rows) == 403
+        found[cut] = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.score) for r in rows)
+    for cut in (0.002, 2.0):
+        assert [x[:3] for x in found[cut]] == [x[:3] for x in found[0.0]]
+        assert np.allclose([x[3] for x in found[cut]], [x[3] for x in found[0.0]], rtol=1e-5)
+    # A rare passage's contexts are retained in a corpus of any size: here 12 times among 12 and 3000 texts.
+    for others in (0, 3000):
+        rare = [(i, "qzzqxq") for i in range(12)]
+        plain = [(100 + i, " ".join(rng.choice(vocabulary, 40))) for i in range(others)]
+        model = L.learn(spark.createDataFrame(rare + plain, "doc_id long, text string"))
+        q = model.symbol[ord("q")]
+        held = [np.frombuffer(r.grams, np.int64) >> L.BITS for r in model.sub_trees.collect() if r.depth == 2]
+        names = np.unique(np.concatenate(held))
+        assert {int(x) for x in names[(names >> L.BITS == q) | (names & 63 == q)]} >= {
+            int(model.symbol[ord(far)]) << L.BITS | int(model.symbol[ord(near)]) for far, near in ("qz", "zq", "qx", "xq")}
 
 
 def test_license_scan(spark):
