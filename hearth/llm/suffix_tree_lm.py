@@ -40,8 +40,8 @@ MARGIN = 2.0             # nats of divergence asked for beyond the penalty for a
 PER_FRAGMENT = 2_000_000  # (document, word) entries or n-gram counts one fragment task holds
 PAIRS = SYMBOLS * SYMBOLS  # the two nearest symbols of a context decide its part of the tree
 PER_PART = 64_000_000    # positions whose n-grams one part of the tree counts, on average
-PER_SLICE = 64_000_000   # positions of one group of parts that one task may have to score
-BLOCK_TEXTS, BLOCK_ENTRIES = 30_000, 2_000_000  # of a block of neighbouring texts sent on together
+PER_SLICE = 16_000_000   # positions of one group of parts that one task may have to score
+BLOCK_TEXTS, BLOCK_ENTRIES = 30_000, 1_000_000  # of a block of neighbouring texts sent on together
 DOCS_PER_BUCKET = 50_000
 
 
