@@ -38,6 +38,8 @@ CACHE_SHARE = 4e-6       # retained contexts of at least this share of all posit
 #                          scoring function: at most DEPTH / CACHE_SHARE of them, whatever the corpus
 MARGIN = 2.0             # nats of divergence asked for beyond the penalty for a context's parameters
 PER_FRAGMENT = 2_000_000  # (document, word) entries or n-gram counts one fragment task holds
+WORD_SHARE = 1e-5        # words of at least this share of all training words are counted before and cached:
+#                          at most 1 / WORD_SHARE of them
 PAIRS = SYMBOLS * SYMBOLS  # the two nearest symbols of a context decide its part of the tree
 PER_PART = 64_000_000    # positions whose n-grams one part of the tree counts, on average
 PER_SLICE = 16_000_000   # positions of one group of parts that one task may have to score
@@ -105,14 +107,37 @@ def _texts(batch, column, max_bytes=1 << 20):
         yield lo, hi, data, *T.word_bounds(data, offsets)
 
 
-def _byte_counts(batches):
-    counts, words, docs = np.zeros(256, np.int64), 0, 0
+def _first_counts(batches):
+    """Of a partition: its byte counts, words and texts in one row; one row for each distinct word."""
+    counts, words, docs, held, size = np.zeros(256, np.int64), 0, 0, [], 0
+    total = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def rows(word, n):
+        for i in range(0, len(word), 100_000):
+            w = pa.array(word[i:i + 100_000].view(np.int64))
+            none = pa.nulls(len(w), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(w), pa.list_(pa.int64())), none, none, w, pa.array(n[i:i + 100_000])], COUNT_ROWS)
+
     for batch in batches:
-        for lo, hi, data, _, _, first in _texts(batch, 0):
+        for lo, hi, data, starts, ends, first in _texts(batch, 0):
             counts += np.bincount(data, minlength=256)
             words, docs = words + int(first[-1]), docs + hi - lo
-    yield pa.RecordBatch.from_arrays([pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([words], pa.int64()),
-                                      pa.array([docs], pa.int64())], ["bytes", "words", "docs"])
+            held.append(T.hash_spans(data, starts, ends))
+            size += len(starts)
+            if size >= BLOCK_ENTRIES:
+                total = _merge(*(np.concatenate(x) for x in zip(total, np.unique(np.concatenate(held), return_counts=True))))
+                held, size = [], 0
+            if len(total[0]) >= PER_FRAGMENT:
+                yield from rows(*total)
+                total = total[0][:0], total[1][:0]
+    if held:
+        total = _merge(*(np.concatenate(x) for x in zip(total, np.unique(np.concatenate(held), return_counts=True))))
+    yield from rows(*total)
+    yield pa.RecordBatch.from_arrays([pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([words], pa.int64()), pa.array([docs], pa.int64()),
+                                      pa.array([None], pa.int64()), pa.array([None], pa.int64())], COUNT_ROWS)
+
+
+COUNT_ROWS = ["bytes", "words", "docs", "word", "n"]
 
 
 def _merge(codes, counts):
@@ -346,18 +371,25 @@ class Model(NamedTuple):
     share: np.ndarray
     words: int
     docs: int
+    common: np.ndarray      # hashes of the cached words, in order
+    times: np.ndarray       # their counts
 
 
-def learn(train: DataFrame, text: str = "text", cache_share: float = CACHE_SHARE) -> Model:
-    """The driver receives the counts of at most DEPTH / cache_share contexts and of the pairs of symbols."""
+def learn(train: DataFrame, text: str = "text", cache_share: float = CACHE_SHARE, word_share: float = WORD_SHARE) -> Model:
+    """The driver receives the counts of at most DEPTH / cache_share contexts, of the pairs of symbols
+    and of at most 1 / word_share words."""
     texts = train.select(F.col(text).alias("text"))
-    rows = texts.mapInArrow(_byte_counts, "bytes array<long>, words long, docs long")
-    first = rows.agg(F.sum("words").alias("w"), F.sum("docs").alias("d"),
+    rows = stage(texts.mapInArrow(_first_counts, "bytes array<long>, words long, docs long, word long, n long"), "lm_words")
+    first = rows.where(F.col("word").isNull()).agg(F.sum("words").alias("w"), F.sum("docs").alias("d"),
                      *[F.sum(F.col("bytes")[b]).alias(f"b{b}") for b in range(256)]).first()
     counts = np.array([first[f"b{b}"] or 0 for b in range(256)], np.int64)
     words, docs = int(first["w"] or 0), int(first["d"] or 0)
     symbol, share = alphabet(counts)
     positions = int(counts[~T.SPACES].sum()) + words + docs
+    common = (rows.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n"))
+              .where(F.col("n") >= max(words * word_share, 1)).toArrow())
+    hashes = common.column("word").to_numpy().astype(np.int64).view(np.uint64)
+    by_hash = np.argsort(hashes)
     parts = min(PAIRS, max(64, math.ceil(positions / PER_PART)))
     rows = (texts.mapInArrow(_ngram_counts(symbol, parts), "part int, codes binary, counts binary").groupBy("part")
             .applyInArrow(_tree_rows(positions, cache_share), TREE_ROWS))
@@ -369,7 +401,8 @@ def learn(train: DataFrame, text: str = "text", cache_share: float = CACHE_SHARE
     beyond = [far.column(c).to_numpy() for c in ("depth", "context", "symbol")]
     pairs = np.bincount(context[depth == 2], weights=count[depth == 2], minlength=PAIRS)
     sub_trees = tree.where(F.col("kind") == SUBTREE).select("part", "depth", "grams", "counts")
-    return Model(SuffixTree(depth, context, after, count, kept, beyond), sub_trees, parts, pairs, symbol, share, words, docs)
+    return Model(SuffixTree(depth, context, after, count, kept, beyond), sub_trees, parts, pairs, symbol, share, words, docs,
+                 hashes[by_hash], common.column("n").to_numpy().astype(np.int64)[by_hash])
 
 
 # ---- scoring --------------------------------------------------------------
@@ -379,8 +412,8 @@ def learn(train: DataFrame, text: str = "text", cache_share: float = CACHE_SHARE
 # whose context lies outside the cache, and the part of the tree that holds such contexts.
 
 WORDS, PLACES, TREE = 0, 1, 2
-INFO = ["doc_ids", "nulls", "held", "words", "scores"]
-INFO_TYPES = [np.int64, np.uint8, np.uint8, np.int64, np.float64]
+INFO = ["doc_ids", "nulls", "held", "words", "scores", "bases", "knowns"]
+INFO_TYPES = [np.int64, np.uint8, np.uint8, np.int64, np.float64, np.float64, np.int64]
 HELD = 1 << 15
 WORD_ROWS = ["frag", "kind", "block", "values", "lens", "owners", "times", *[f"i_{c}" for c in INFO]]
 SUM_ROWS = ["bucket", "block", "owners", "base", "known", "score", "vocab", *[f"i_{c}" for c in INFO]]
@@ -437,8 +470,8 @@ def _word_batch(rows):
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], WORD_ROWS)
 
 
-def _scored(tree, symbol, share, fragments, places):
-    """Scores each text as far as the cache goes. Deals the words of a block to the words' fragments
+def _scored(tree, symbol, share, common, times, fragments, places):
+    """Scores each text as far as the caches go. Deals the other words of a block to the words' fragments
     and the positions that go on outside the cache to their part of the tree. What is known of the
     texts travels with fragment 0."""
     def rows_of(block, hashes, owners, codes, at, info):
@@ -464,6 +497,8 @@ def _scored(tree, symbol, share, fragments, places):
             yield _blank(frag=int(slot[g]), kind=PLACES, block=block, values=planes(np.diff(values[index], prepend=0)),
                          lens=planes(size), owners=planes(who[mine]), times=planes(times[mine]))
 
+    log = np.log10(times + 0.5)
+
     def run(batches):
         key = TaskContext.get().partitionId() << 36
         block, held_back, size = key, [], 0
@@ -489,15 +524,21 @@ def _scored(tree, symbol, share, fragments, places):
                 value *= ok
                 sums = np.add.reduceat(np.append(value, 0.0), heads[:-1])
                 words = np.diff(first)
-                owner = np.repeat(np.arange(hi - lo), words) + (key - block)
+                owner = np.repeat(np.arange(hi - lo), words)
+                hashes = T.hash_spans(data, starts, ends)
+                place = np.minimum(np.searchsorted(common, hashes), max(len(common) - 1, 0))
+                cached = common[place] == hashes if len(common) else np.zeros(len(hashes), bool)
+                base = np.bincount(owner[cached], weights=log[place[cached]], minlength=hi - lo)
+                known = np.bincount(owner[cached], minlength=hi - lo)
+                hashes, owner = hashes[~cached], owner[~cached] + (key - block)
                 codes = np.zeros(len(outside), np.int64)
                 for back in range(DEPTH, -1, -1):
                     codes = codes << BITS | symbols[outside + DEPTH - back]
                 at = np.searchsorted(heads, outside, "right") - 1 + (key - block)
                 ids = batch.column(0).slice(lo, hi - lo)
                 held = batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(np.uint8)
-                held_back.append((T.hash_spans(data, starts, ends), owner, codes, at, ids.fill_null(0).to_numpy().astype(np.int64),
-                                  ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8), held, words.astype(np.int64), sums))
+                held_back.append((hashes, owner, codes, at, ids.fill_null(0).to_numpy().astype(np.int64),
+                                  ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8), held, words.astype(np.int64), sums, base, known))
                 key += hi - lo
                 size += len(owner) + len(outside)
         if held_back:
@@ -572,7 +613,7 @@ def _text_rows(table):
     """In one bucket of blocks: one row for each text, and one with the vocabulary's share."""
     rows = table.to_pylist()
     texts = {r["block"]: [np.frombuffer(r[f"i_{c}"], t) for c, t in zip(INFO, INFO_TYPES)] for r in rows if r["i_words"] is not None}
-    sums = {b: [np.zeros(len(i[0])), np.zeros(len(i[0]), np.int64), i[4].copy()] for b, i in texts.items()}
+    sums = {b: [i[5].copy(), i[6].copy(), i[4].copy()] for b, i in texts.items()}
     for r in rows:
         who, (base, known, score) = from_planes(r["owners"], np.uint16), sums[r["block"]]
         if r["score"] is None:
@@ -596,20 +637,23 @@ def held_out(key: str):
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % 5 == 1
 
 
-def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", cache_share: float = CACHE_SHARE) -> DataFrame:
+def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", cache_share: float = CACHE_SHARE,
+                    word_share: float = WORD_SHARE) -> DataFrame:
     """One row per document: key, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     A null or empty text is its end mark alone. With no training document the tree is
     uniform and no token is known. Repeated rows are scored, and taught, one by one; a
     null key is a training document. ``key`` is a whole number; other columns are not read.
 
-    Word counts and the tree grow with the corpus, so neither is held whole: a partition
-    sends the words of its texts to the words' fragments, and the positions that the cached
+    Word counts and the tree grow with the corpus, so neither is held whole: the common
+    words are counted before and cached, at most 1 / word_share of them, so no fragment
+    receives a word that all texts hold; a partition sends the other words of its texts to
+    the words' fragments, and the positions that the cached
     top of the tree does not decide to the part of the tree that does, packed by blocks of
-    texts; a fragment returns a sum for each text. ``cache_share`` moves work between the
-    two, not results: the cached top has at most DEPTH / cache_share contexts."""
+    texts; a fragment returns a sum for each text. The two shares
+    move work, not results: the cached top has at most DEPTH / cache_share contexts."""
     rows = docs.select(F.col(key).cast("long").alias("id"), held_out(key).alias("held"), F.col(text).alias("text"))
-    model = learn(rows.where(~F.col("held")), cache_share=cache_share)
+    model = learn(rows.where(~F.col("held")), cache_share=cache_share, word_share=word_share)
     words, taught = model.words, model.docs
     total = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
     fragments = max(1, math.ceil((total[1] or 0) / 8 / PER_FRAGMENT))  # about eight bytes an entry
@@ -617,14 +661,15 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", ca
     places, groups = slots(model, fragments)
     packed = lambda names: ", ".join(f"{c} binary" for c in names)
     columns = "frag int, kind int, block long, " + packed(WORD_ROWS[3:])
-    parts = rows.mapInArrow(_scored(model.tree, model.symbol, model.share, fragments, places), columns).unionByName(
+    parts = rows.mapInArrow(_scored(model.tree, model.symbol, model.share, model.common, model.times,
+                                   fragments, places), columns).unionByName(
         model.sub_trees.mapInArrow(_dealt_tree(places, groups), columns))
     sums = parts.groupBy("frag").applyInArrow(
         _fragment_sums(model.tree.first, fragments, buckets),
         "bucket int, block long, " + packed(SUM_ROWS[2:6]) + ", vocab long, " + packed(SUM_ROWS[7:]))
     texts = stage(sums.groupBy("bucket").applyInArrow(
         _text_rows, "id long, held_out boolean, words long, score double, base double, known long, vocab long"), "lm_texts")
-    vocabulary = (texts.agg(F.sum("vocab")).first()[0] or 0) + (1 if taught else 0)
+    vocabulary = (texts.agg(F.sum("vocab")).first()[0] or 0) + len(model.common) + (1 if taught else 0)
     tokens = words + taught
     scale = math.log10(tokens + 0.5 * (vocabulary + 1))
     return texts.where(F.col("vocab").isNull()).select(

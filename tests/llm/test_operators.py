@@ -334,12 +334,12 @@ def test_suffix_tree_cache_changes_no_score(spark, docs):
                                  + [(None, "A b"), (7, None), (7, "")], "doc_id long, text string").repartition(3, "doc_id")
     found = {}
     for cut in (0.0, 0.002, 2.0):
-        rows = score_documents(many, cache_share=cut).collect()
+        rows = score_documents(many, cache_share=cut, word_share=cut * 10).collect()
         assert len(rows) == 403
-        found[cut] = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.score) for r in rows)
+        found[cut] = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known, r.score, r.base_score) for r in rows)
     for cut in (0.002, 2.0):
-        assert [x[:3] for x in found[cut]] == [x[:3] for x in found[0.0]]
-        assert np.allclose([x[3] for x in found[cut]], [x[3] for x in found[0.0]], rtol=1e-5)
+        assert [x[:4] for x in found[cut]] == [x[:4] for x in found[0.0]]
+        assert np.allclose([x[4:] for x in found[cut]], [x[4:] for x in found[0.0]], rtol=1e-5)
     # A rare passage's contexts are retained in a corpus of any size: here 12 times among 12 and 3000 texts.
     for others in (0, 3000):
         rare = [(i, "qzzqxq") for i in range(12)]
