@@ -3,18 +3,21 @@
 Each word enters as a learned word vector joined with the mean of its learned
 character n-gram vectors. The network reads windows of words in both directions,
 attention pools a window into one logit, and a document's logit is that of its
-most toxic window. Training is plain numpy on windows of a bounded sample of labelled
-documents: first on evenly spaced ones, then also on the most toxic of all their windows.
-The threshold is set from the sample's whole texts; scoring reads every window of every text.
+most toxic window. Every labelled document that is not held out is learned from, by its
+whole text: what words and n-grams tell is counted on Spark, and training goes in rounds.
+In a round each task seeks its documents' most toxic windows among all of them, goes on
+from the shared parameters by Adam on these windows, in numpy, and the tasks' parameters are
+averaged by their numbers of documents. The threshold errs least on all these documents.
 """
 
 from __future__ import annotations
 
-import io
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.llm import textops as T
@@ -23,9 +26,14 @@ from hearth.session import stage
 WINDOW, STRIDE = 64, 32   # words of a window, words between window starts
 HIDDEN, EMBED, ATTEND = 8, 12, 8
 WORDS, GRAMS = 4096, 8192  # learned word and n-gram vectors; others share vector 0
-SAMPLE = 2000             # labelled documents of each class used for training
-SAMPLE_WINDOWS = 24       # windows of one sampled document: so many evenly spaced, and so many of the most toxic
-BATCH, STEPS = 256, 80    # windows of an update, updates at least
+SAMPLE_WINDOWS = 2        # windows that a clean document gives to a round, its most toxic; a toxic one gives its most toxic
+ROUNDS = 3                # of training and averaging
+BATCH, STEPS = 256, 80    # windows of an update; a task's updates in all rounds, at least
+PER_TASK = 4096           # labelled documents of one training task, on average
+BLOCK = 8192              # documents whose chosen windows a task holds at once
+PER_FLUSH = 500_000       # counted words and n-grams that a task holds at once
+CHUNK = 4096              # parameters of a row that is averaged
+CELLS = 1024              # cells of a logit in which the threshold's errors are summed
 TABLE_BITS = 20           # n-gram codes are looked up in a table of 2 ** bits
 
 # Bytes that make a word here: ASCII letters and digits, and all of UTF-8 beyond ASCII.
@@ -99,18 +107,20 @@ class Net:
             "uzr": g(2, h, 2 * h), "un": g(2, h, h),
             "wa": g(2 * h, ATTEND), "va": g(ATTEND, 1)[:, 0], "wo": g(2 * h, 1)[:, 0], "bo": np.zeros(1, np.float32)}
 
-    def inputs(self, word_ids, gram_ids, gram_owner):
-        """The input vector of each distinct word."""
+    def inputs(self, word_ids, gram_ids, gram_owner, count):
+        """The input vector of each distinct word, from its known n-grams and its number of all."""
         n = len(word_ids)
-        count = np.maximum(np.bincount(gram_owner, minlength=n), 1).astype(np.float32)
         x = np.empty((n, 2 * EMBED), np.float32)
         x[:, :EMBED] = self.p["word"][word_ids]
-        known = gram_ids > 0
-        ids, own = gram_ids[known], gram_owner[known]
         for d in range(EMBED):
-            x[:, EMBED + d] = np.bincount(own, weights=self.p["gram"][ids, d], minlength=n) / count
+            x[:, EMBED + d] = np.bincount(gram_owner, weights=self.p["gram"][gram_ids, d], minlength=n) / count
         return x
 
+    def evidence(self, word_ids, gram_ids, gram_owner, count):
+        """Of each distinct word the parts that start as counted evidence; a last value for padding."""
+        return np.append(self.p["word"][word_ids, 0] + np.bincount(gram_owner, weights=self.p["gram"][gram_ids, 0],
+                                                                  minlength=len(word_ids)) / count, -9)
+
     def project(self, x):
         """The gates' input part for each distinct word and direction, and a last row for padding."""
         xw = x @ self.p["wx"] + self.p["bx"]
@@ -146,6 +156,46 @@ class Net:
         logit = pooled @ p["wo"] + p["bo"][0]
         return (logit, (both, out, tied, a, pooled, trail)) if keep else logit
 
+    def gates(self, xw):
+        """``xw`` for ``logits``: padding is a gate that lets nothing in, and a sigmoid is taken as a
+        hyperbolic tangent of the half, the half taken into the weights."""
+        n = xw.shape[1]
+        gates = xw.reshape(2 * n, -1).astype(np.float32)
+        gates[:, :2 * HIDDEN] *= 0.5
+        gates[[n - 1, 2 * n - 1], :HIDDEN] = 50
+        return gates
+
+    def logits(self, gates, index):
+        """The logits that ``forward`` gives, with less work."""
+        p, h, n = self.p, HIDDEN, len(gates) // 2
+        half = p["uzr"] * np.float32(0.5)
+        rows = index.T
+        steps, b = rows.shape
+        both = np.stack([rows, rows[::-1] + n])  # [2, T, B]
+        out = np.empty((steps, b, 2 * h), np.float32)
+        state, g = np.zeros((2, b, h), np.float32), np.empty((2, b, 3 * h), np.float32)
+        for t in range(steps):
+            np.take(gates, both[:, t], axis=0, out=g, mode="clip")
+            zr = state @ half
+            zr += g[..., :2 * h]
+            np.tanh(zr, out=zr)
+            zr += 1
+            zr *= 0.5
+            new = (zr[..., h:] * state) @ p["un"]
+            new += g[..., 2 * h:]
+            np.tanh(new, out=new)
+            new -= state
+            new *= 1 - zr[..., :h]
+            state = state + new
+            out[t, :, :h], out[steps - 1 - t, :, h:] = state
+        valid = rows < n - 1
+        tied = out.reshape(-1, 2 * h) @ p["wa"]
+        np.tanh(tied, out=tied)
+        e = np.where(valid, (tied @ p["va"]).reshape(steps, b), -30)
+        a = np.exp(e - e.max(0)) * valid
+        a /= np.maximum(a.sum(0), 1e-9)
+        return (a * (out @ p["wo"])).sum(0) + p["bo"][0]
+
     def gradients(self, x, index, target, weight):
         """Gradients of the weighted logistic loss; ``d_x`` for the words' input vectors."""
         p, h = self.p, HIDDEN
@@ -192,137 +242,57 @@ class Net:
         return logit, g, d_x
 
 
-def _evidence(hashes, owner, positive):
-    """(names, positive documents, documents) of the distinct hashes, by the documents that hold them."""
-    names, which = np.unique(hashes, return_inverse=True)
-    code = np.unique(which * np.int64(len(positive)) + owner)
-    which, doc = code // len(positive), code % len(positive)
-    return names, np.bincount(which, weights=positive[doc], minlength=len(names)), np.bincount(which, minlength=len(names))
+class Read:
+    """The windows of lower-cased texts, over their distinct words."""
 
+    def __init__(self, vocabulary: Vocabulary, data: np.ndarray, offsets: np.ndarray):
+        starts, ends, self.first = tokens(data, offsets)
+        count = np.diff(self.first)
+        wins = np.where(count > 0, np.maximum(-(-(count - WINDOW) // STRIDE), 0) + 1, 0)
+        self.text = np.repeat(np.arange(len(count)), wins)
+        nth = np.arange(len(self.text)) - np.repeat(np.cumsum(wins) - wins, wins)
+        self.head = self.first[self.text] + nth * STRIDE
+        self.hashes, at, which = np.unique(T.hash_spans(data, starts, ends), return_index=True, return_inverse=True)
+        self.padded = np.append(which, len(self.hashes))
+        gram_hash, owner = grams_of(data, starts[at], ends[at])
+        gram_ids = vocabulary.gram_ids(gram_hash)
+        known = gram_ids > 0
+        self.words = (vocabulary.word_ids(self.hashes), gram_ids[known], owner[known],
+                      np.maximum(np.bincount(owner, minlength=len(at)), 1).astype(np.float32))
 
-def _choose(parts, positive, most):
-    """The ``most`` telling hashes, held by two documents or more, and their smoothed log odds."""
-    names, which = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    pos = np.bincount(which, weights=np.concatenate([p[1] for p in parts]), minlength=len(names))
-    held = np.bincount(which, weights=np.concatenate([p[2] for p in parts]), minlength=len(names))
-    p, n = positive.sum(), len(positive) - positive.sum()
-    odds = np.log((pos + 0.5) / (p + 1)) - np.log((held - pos + 0.5) / (n + 1))
-    worth = np.where(held >= 2, np.abs(odds) * np.sqrt(held), -1)
-    best = np.argsort(-worth, kind="stable")[:most]
-    best = best[worth[best] > 0]
-    return names[best], odds[best]
+    def index(self, rows) -> np.ndarray:
+        """The distinct words of windows; one past the last is padding."""
+        at = self.head[rows][:, None] + np.arange(WINDOW)
+        return self.padded[np.where(at < self.first[self.text[rows] + 1][:, None], at, len(self.padded) - 1)]
+
+    def logits(self, net: Net, evidence: bool = False) -> np.ndarray:
+        """Of every window; with ``evidence``, that of its most telling word."""
+        if not len(self.text):
+            return np.zeros(0)
+        table = net.evidence(*self.words) if evidence else net.gates(net.project(net.inputs(*self.words)))
+        value = (lambda index: table[index].max(1)) if evidence else (lambda index: net.logits(table, index))
+        return np.concatenate([value(self.index(slice(lo, lo + 1024))) for lo in range(0, len(self.text), 1024)]).astype(np.float64)
 
 
 class Toxicity:
-    """A trained model: ``score(texts)`` gives one logit for each text."""
-
-    def __init__(self, texts: list[bytes], owner: np.ndarray, positive: np.ndarray, epochs: int = 6, seed: int = 0):
-        """``texts`` are lower-cased training windows, ``owner`` their documents, ``positive`` the documents' labels."""
-        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        starts, ends, first = tokens(data, offsets)
-        hashes = T.hash_spans(data, starts, ends)
-        distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-        word_doc = np.repeat(owner, np.diff(first))
-        words, word_odds = _choose([_evidence(hashes, word_doc, positive)], positive, WORDS)
-        gram_hash, gram_owner = grams_of(data, starts[at], ends[at])
-        order = np.argsort(gram_owner, kind="stable")
-        cuts = np.searchsorted(gram_owner[order], np.arange(len(distinct) + 1))
-        parts = []
-        for lo in range(0, len(positive), 100):  # a hundred documents at a time: n-grams of all at once would not fit
-            mine = slice(*np.searchsorted(word_doc, [lo, lo + 100]))
-            code = np.unique(which[mine] * np.int64(len(positive)) + word_doc[mine])
-            word, doc = code // len(positive), code % len(positive)
-            counts = np.diff(cuts)[word]
-            take = np.repeat(cuts[word] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-            parts.append(_evidence(gram_hash[order[take]], np.repeat(doc, counts), positive))
-        grams, gram_odds = _choose(parts, positive, GRAMS)
+    """A model: ``score(texts)`` gives one logit for each text."""
+
+    def __init__(self, words, word_odds, grams, gram_odds, positive: int, docs: int, seed: int = 0):
+        """Untrained, from the telling words' and n-grams' hashes and log odds and the documents of the classes."""
         self.vocabulary = Vocabulary(words, grams)
         self.net = Net(seed)
-        p = self.net.p  # the first component starts as the evidence counted above
+        p = self.net.p  # the first component starts as the evidence counted
         p["word"][0, 0] = p["gram"][0, 0] = 0
         p["word"][self.vocabulary.word_ids(words), 0] = np.clip(word_odds, -4, 4) / 2
         p["gram"][self.vocabulary.gram_ids(grams), 0] = np.clip(gram_odds, -4, 4) / 2
-        word_ids = self.vocabulary.word_ids(distinct)
-        gram_ids = self.vocabulary.gram_ids(gram_hash)
-        index = np.full((len(texts), WINDOW), len(distinct), np.int32)
-        place = np.arange(len(which)) - np.repeat(first[:-1], np.diff(first))
-        row = np.repeat(np.arange(len(texts)), np.diff(first))
-        index[row, place] = which
-        share = float(positive.mean())
-        self.empty = float(np.log((positive.sum() + 0.5) / (len(positive) - positive.sum() + 0.5))) if share < 0.5 else -1.0
-        self._train(index, word_ids, gram_ids, gram_owner, owner, positive, epochs, seed)
-
-    def state(self) -> bytes:
-        """Everything that scoring needs."""
-        out = io.BytesIO()
-        np.savez(out, words=self.vocabulary.words, table=self.vocabulary.table, cut=[self.shift, self.empty],
-                 **{f"p_{k}": v for k, v in self.net.p.items()})
-        return out.getvalue()
-
-    @classmethod
-    def from_state(cls, state: bytes) -> Toxicity:
-        got = np.load(io.BytesIO(state))
-        model = cls.__new__(cls)
-        model.vocabulary = Vocabulary.__new__(Vocabulary)
-        model.vocabulary.words, model.vocabulary.table = got["words"], got["table"]
-        model.net = Net.__new__(Net)
-        model.net.p = {k[2:]: got[k] for k in got.files if k.startswith("p_")}
-        model.shift, model.empty = (float(x) for x in got["cut"])
-        return model
-
-    def _train(self, index, word_ids, gram_ids, gram_owner, owner, positive, epochs, seed):
-        r, net = np.random.default_rng(seed), self.net
-        moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
-        label = positive[owner].astype(np.float32)
-        docs = len(positive)
-        balance = np.where(positive, docs / (2 * max(positive.sum(), 1)), docs / (2 * max(docs - positive.sum(), 1)))
-        x0 = np.append(net.inputs(word_ids, gram_ids, gram_owner)[:, [0, EMBED]].sum(1), -9)
-        logit, step = x0[index].max(1), 0
-        rank = lambda v: np.lexsort((-v, owner))
-        epochs = max(epochs, -(-STEPS * BATCH // (docs + int((~positive).sum()))))
-        for epoch in range(epochs):
-            order = rank(logit)
-            heads = np.flatnonzero(np.concatenate([[True], owner[order][1:] != owner[order][:-1]]))
-            nth = np.arange(len(order)) - np.repeat(heads, np.diff(np.append(heads, len(order))))
-            hard = order[nth == 0]                            # each document's most toxic window
-            more = order[(nth == 1) & (label[order] == 0)]    # and a second one of the clean
-            chosen = r.permutation(np.concatenate([hard, more]))
-            for lo in range(0, len(chosen), BATCH):
-                rows = chosen[lo:lo + BATCH]
-                used, local = np.unique(np.append(index[rows].ravel(), len(word_ids)), return_inverse=True)
-                real = used[:-1]
-                at = np.full(len(word_ids), -1)
-                at[real] = np.arange(len(real))
-                mine = np.flatnonzero(at[gram_owner] >= 0)
-                ids, own = gram_ids[mine], at[gram_owner[mine]]
-                x = net.inputs(word_ids[real], ids, own)
-                _, g, d_x = net.gradients(x, local[:-1].reshape(len(rows), -1), label[rows], balance[owner[rows]])
-                g["word"], g["gram"] = np.zeros_like(net.p["word"]), np.zeros_like(net.p["gram"])
-                share = d_x[:, EMBED:] / np.maximum(np.bincount(own, minlength=len(real)), 1)[:, None]
-                for d in range(EMBED):
-                    g["word"][:, d] = np.bincount(word_ids[real], weights=d_x[:, d], minlength=WORDS + 1)
-                    g["gram"][:, d] = np.bincount(ids, weights=share[own, d], minlength=GRAMS + 1)
-                g["gram"][0] = 0
-                step += 1
-                for k, v in net.p.items():
-                    m, s = moment[k]
-                    m += 0.1 * (g[k] - m)
-                    s += 0.001 * (g[k] ** 2 - s)
-                    v -= 0.01 * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.999 ** step)) + 1e-7)
-            if epoch not in (0, 2, epochs - 1) and epoch % 10:
-                continue  # the most toxic windows are sought again after these epochs
-            xw = net.project(net.inputs(word_ids, gram_ids, gram_owner))
-            logit = np.concatenate([net.forward(xw, index[lo:lo + 1024]) for lo in range(0, len(index), 1024)])
-        self.shift = 0.0  # until set_cut
-
-    def set_cut(self, logit, positive):
-        """Sets the threshold by the sample's highest logits over whole texts."""
-        self.shift = self._cut(logit, positive)
+        self.balance = docs / (2 * (docs - positive)), docs / (2 * positive)  # the classes' weights
+        self.empty = math.log((positive + 0.5) / (docs - positive + 0.5)) if 2 * positive < docs else -1.0
+        self.shift = 0.0  # until the threshold is set
 
     @staticmethod
     def _cut(logit, positive):
-        """The logit between the sample's classes with the fewest errors, in the middle of the gap it lies in."""
+        """The logit between the classes with the fewest errors, in the middle of the gap it lies in: what
+        ``_threshold`` finds on Spark, for logits that differ."""
         order = np.argsort(logit, kind="stable")
         v, y = logit[order], positive[order].astype(np.int64)
         errors = np.concatenate([[0], np.cumsum(y)]) + (len(y) - y.sum()) - np.concatenate([[0], np.cumsum(1 - y)])
@@ -330,32 +300,11 @@ class Toxicity:
         width = np.concatenate([[1], v[1:] - v[:-1], [1]])
         return float(edges[np.lexsort((-width, errors))[0]])
 
-    def window_logits(self, data: np.ndarray, offsets: np.ndarray):
-        """(text, first word, logits) of every window of lower-cased texts, in order."""
-        net = self.net
-        starts, ends, first = tokens(data, offsets)
-        count = np.diff(first)
-        wins = np.where(count > 0, np.maximum(-(-(count - WINDOW) // STRIDE), 0) + 1, 0)
-        text = np.repeat(np.arange(len(count)), wins)
-        nth = np.arange(len(text)) - np.repeat(np.cumsum(wins) - wins, wins)
-        head = first[text] + nth * STRIDE
-        out = np.empty(len(text))
-        if len(starts):
-            distinct, at, which = np.unique(T.hash_spans(data, starts, ends), return_index=True, return_inverse=True)
-            gram_hash, gram_owner = grams_of(data, starts[at], ends[at])
-            xw = net.project(net.inputs(self.vocabulary.word_ids(distinct), self.vocabulary.gram_ids(gram_hash), gram_owner))
-            padded = np.append(which, len(distinct))
-            for lo in range(0, len(text), 2048):
-                at = head[lo:lo + 2048, None] + np.arange(WINDOW)
-                at = np.where(at < first[text[lo:lo + 2048] + 1][:, None], at, len(which))
-                out[lo:lo + 2048] = net.forward(xw, padded[at])
-        return text, head, out
-
     def highest(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The highest logit of each lower-cased text's windows, before the threshold; -inf without a word."""
-        text, _, logit = self.window_logits(data, offsets)
+        read = Read(self.vocabulary, data, offsets)
         out = np.full(len(offsets) - 1, -np.inf)
-        np.maximum.at(out, text, logit)
+        np.maximum.at(out, read.text, read.logits(self.net))
         return out
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -369,86 +318,276 @@ def held_out(key: str):
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % 5 == 0
 
 
-def _sample_windows(model=None):
-    """Evenly spaced windows of each sampled text, as lower-cased words; with a model,
-    also the ones most toxic to it of all the text's windows."""
+# ---- what words and n-grams tell -------------------------------------------
+
+WORD, GRAM, DOCUMENT = 0, 1, 2  # kinds of counted things
+
+
+def _held(which, owner, positive, n):
+    """(documents that hold each of ``n`` things, the positive ones among them) of (thing, document) pairs."""
+    code = np.unique(which * np.int64(len(positive)) + owner)
+    thing, doc = code // len(positive), code % len(positive)
+    return np.bincount(thing, minlength=n), np.bincount(thing, weights=positive[doc], minlength=n).astype(np.int64)
+
+
+def _sum_by(names, *counts):
+    order = np.argsort(names, kind="stable")
+    names = names[order]
+    heads = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]])) if len(names) else np.zeros(0, int)
+    return names[heads], *(np.add.reduceat(c[order], heads) if len(heads) else c for c in counts)
+
+
+def _counts(batches):
+    """(kind, hash, held, positive): in how many documents of a partition words and n-grams stand."""
+    none = tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64))
+    total, parts = {WORD: none, GRAM: none, DOCUMENT: none}, {WORD: [], GRAM: [], DOCUMENT: []}
+
+    def rows(kind):
+        for i in range(0, len(total[kind][0]), 100_000):
+            name, held, positive = (c[i:i + 100_000] for c in total[kind])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(name), kind, np.int32)), pa.array(name.view(np.int64)),
+                                              pa.array(held), pa.array(positive)], ["kind", "hash", "held", "positive"])
+
+    def add(kind):
+        total[kind] = _sum_by(*(np.concatenate(c) for c in zip(total[kind], *parts[kind])))
+        parts[kind] = []
+
+    for batch in batches:
+        labels = batch.column(0).to_numpy() == 1
+        for lo, hi, data, offsets in T.text_batches(batch.column(1), 1 << 20):
+            data, positive = T.lower_ascii(data), labels[lo:hi]
+            starts, ends, first = tokens(data, offsets)
+            if not len(starts):
+                continue
+            hashes, at, which = np.unique(T.hash_spans(data, starts, ends), return_index=True, return_inverse=True)
+            code = np.unique(which * np.int64(hi - lo) + np.repeat(np.arange(hi - lo), np.diff(first)))
+            word, doc = code // (hi - lo), code % (hi - lo)
+            parts[WORD].append((hashes, *_held(word, doc, positive, len(hashes))))
+            gram_hash, owner = grams_of(data, starts[at], ends[at])
+            grams, gram = np.unique(gram_hash, return_inverse=True)
+            order = np.argsort(owner, kind="stable")
+            cuts = np.searchsorted(owner[order], np.arange(len(hashes) + 1))
+            size = np.diff(cuts)[word]
+            take = np.repeat(cuts[word] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            parts[GRAM].append((grams, *_held(gram[order[take]], np.repeat(doc, size), positive, len(grams))))
+            some = np.diff(first) > 0
+            parts[DOCUMENT].append((np.zeros(1, np.uint64), np.array([some.sum()]), np.array([(some & positive).sum()])))
+            for kind in (WORD, GRAM):
+                if sum(len(p[0]) for p in parts[kind]) >= PER_FLUSH:
+                    add(kind)
+                if len(total[kind][0]) >= PER_FLUSH:
+                    yield from rows(kind)
+                    total[kind] = none
+    for kind in total:
+        if parts[kind]:
+            add(kind)
+        yield from rows(kind)
+
+
+def _telling(counts: DataFrame, kind: int, positive: int, docs: int, most: int):
+    """(hashes, smoothed log odds) of the ``most`` telling ones that two documents or more hold."""
+    odds = (F.log((F.col("positive") + 0.5) / (positive + 1.0))
+            - F.log((F.col("held") - F.col("positive") + 0.5) / (docs - positive + 1.0)))
+    got = (counts.where((F.col("kind") == kind) & (F.col("held") >= 2)).select("hash", odds.alias("odds"), "held")
+           .withColumn("worth", F.abs("odds") * F.sqrt("held")).where(F.col("worth") > 0)
+           .orderBy(F.desc("worth"), "hash").limit(most).toArrow())
+    return got.column("hash").to_numpy().astype(np.int64).view(np.uint64), got.column("odds").to_numpy().astype(np.float64)
+
+
+# ---- training -------------------------------------------------------------
+
+class Descent:
+    """Adam from the shared parameters on one task's windows."""
+
+    def __init__(self, net: Net, balance):
+        self.net, self.balance, self.steps = net, np.array(balance, np.float32), 0
+        self.moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
+
+    def epoch(self, index, label, words, order):
+        """One pass over the windows ``index`` of the distinct ``words``, the next past the last being padding."""
+        word_ids, gram_ids, gram_owner, count = words
+        net, n = self.net, len(word_ids)
+        for lo in range(0, len(order), BATCH):
+            rows = order[lo:lo + BATCH]
+            used, local = np.unique(np.append(index[rows].ravel(), n), return_inverse=True)
+            real = used[:-1]
+            at = np.full(n, -1)
+            at[real] = np.arange(len(real))
+            mine = np.flatnonzero(at[gram_owner] >= 0)
+            ids, own = gram_ids[mine], at[gram_owner[mine]]
+            x = net.inputs(word_ids[real], ids, own, count[real])
+            _, g, d_x = net.gradients(x, local[:-1].reshape(len(rows), -1), label[rows], self.balance[label[rows].astype(int)])
+            g["word"], g["gram"] = np.zeros_like(net.p["word"]), np.zeros_like(net.p["gram"])
+            share = d_x[:, EMBED:] / count[real][:, None]
+            for d in range(EMBED):
+                g["word"][:, d] = np.bincount(word_ids[real], weights=d_x[:, d], minlength=WORDS + 1)
+                g["gram"][:, d] = np.bincount(ids, weights=share[own, d], minlength=GRAMS + 1)
+            g["gram"][0] = 0
+            self.steps += 1
+            for k, v in net.p.items():
+                m, s = self.moment[k]
+                m += 0.1 * (g[k] - m)
+                s += 0.001 * (g[k] ** 2 - s)
+                v -= 0.01 * (m / (1 - 0.9 ** self.steps)) / (np.sqrt(s / (1 - 0.999 ** self.steps)) + 1e-7)
+
+
+def _chosen(model, data, offsets, positive, evidence):
+    """(hashes, words, index, labels) of the windows that texts give to a round."""
+    read = Read(model.vocabulary, data, offsets)
+    order = np.lexsort((-read.logits(model.net, evidence), read.text))
+    owner = read.text[order]
+    heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, int)
+    nth = np.arange(len(order)) - np.repeat(heads, np.diff(np.append(heads, len(order))))
+    rows = order[(nth == 0) | (nth < SAMPLE_WINDOWS) & ~positive[owner]]
+    index = read.index(rows)
+    used, local = np.unique(np.append(index.ravel(), len(read.hashes)), return_inverse=True)
+    real = used[:-1]
+    at = np.full(len(read.hashes), -1)
+    at[real] = np.arange(len(real))
+    word_ids, gram_ids, gram_owner, count = read.words
+    mine = np.flatnonzero(at[gram_owner] >= 0)
+    mine = mine[np.argsort(at[gram_owner[mine]], kind="stable")]
+    return (read.hashes[real], (word_ids[real], gram_ids[mine].astype(np.uint16), at[gram_owner[mine]], count[real]),
+            np.where(local[:-1] < len(real), local[:-1], -1).reshape(-1, WINDOW).astype(np.int32), positive[read.text[rows]])
+
+
+def _joined(parts):
+    """(words, index, labels) of a block's slices over the distinct words of all."""
+    hashes, at, which = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
+    base = np.cumsum([0] + [len(p[0]) for p in parts])
+    index = np.concatenate([np.where(p[2] < 0, len(hashes), which[np.minimum(p[2] + b, base[-1] - 1)]).astype(np.int32)
+                            for p, b in zip(parts, base)])
+    word_ids, count = (np.concatenate([p[1][i] for p in parts])[at] for i in (0, 3))
+    place = np.full(base[-1], -1)
+    place[at] = np.arange(len(at))  # a word's n-grams are taken from the first slice that has it
+    owner = np.concatenate([place[p[1][2] + b] for p, b in zip(parts, base)])
+    grams = np.concatenate([p[1][1] for p in parts])[owner >= 0].astype(np.int64)
+    return (word_ids, grams, owner[owner >= 0], count), index, np.concatenate([p[3] for p in parts]).astype(np.float32)
+
+
+def _round(model, nth, seed=0):
+    """A task's part of a round: its parameters after its documents, in chunks, and their number."""
     def run(batches):
+        net = Net.__new__(Net)
+        net.p = {k: v.copy() for k, v in model.net.p.items()}
+        descent, docs, held, parts = Descent(net, model.balance), 0, 0, []
+        r = np.random.default_rng([seed, nth])
+
+        def learn():
+            words, index, label = _joined(parts)
+            for _ in range(max(1, -(-STEPS // (ROUNDS * -(-len(index) // BATCH))))):
+                descent.epoch(index, label, words, r.permutation(len(index)))
+
         for batch in batches:
-            docs, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            out = [[], [], []]
-            for lo, hi, data, offsets in T.text_batches(batch.column(2), 1 << 20):
-                data = T.lower_ascii(data)
-                starts, ends, first = tokens(data, offsets)
-                if model is not None:
-                    text, head, logit = model.window_logits(data, offsets)
-                for d in range(hi - lo):
-                    a, b = int(first[d]), int(first[d + 1])
-                    heads = np.arange(a, max(b - STRIDE, a + 1), STRIDE) if b > a else np.zeros(0, np.int64)
-                    if len(heads) > SAMPLE_WINDOWS:
-                        heads = heads[np.linspace(0, len(heads) - 1, SAMPLE_WINDOWS).astype(int)]
-                        if model is not None:
-                            mine = slice(*np.searchsorted(text, [d, d + 1]))
-                            most = np.argsort(-logit[mine], kind="stable")[:SAMPLE_WINDOWS]
-                            heads = np.union1d(heads, head[mine][most])
-                    for w in heads:
-                        span = range(int(w), min(int(w) + WINDOW, b))
-                        out[0].append(docs[lo + d])
-                        out[1].append(labels[lo + d])
-                        out[2].append(b" ".join(data[starts[i]:ends[i]].tobytes() for i in span))
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()),
-                                              pa.array(out[2], pa.binary())], ["doc", "label", "words"])
+            labels = batch.column(0).to_numpy() == 1
+            for lo, hi, data, offsets in T.text_batches(batch.column(1), 1 << 20):
+                part = _chosen(model, T.lower_ascii(data), offsets, labels[lo:hi], nth == 0)
+                if len(part[2]):
+                    parts.append(part)
+                    docs, held = docs + hi - lo, held + hi - lo
+                if held >= BLOCK:
+                    learn()
+                    held, parts = 0, []
+        if parts:
+            learn()
+        if docs:
+            flat = np.concatenate([v.ravel() for v in net.p.values()])
+            cuts = range(0, len(flat), CHUNK)
+            task = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(cuts)), pa.int32()), pa.array([task] * len(cuts), pa.int32()), pa.array([docs] * len(cuts), pa.int64()),
+                 pa.array([T.pack(flat[i:i + CHUNK].astype(np.float32)) for i in cuts], pa.binary())], ["chunk", "task", "docs", "values"])
     return run
 
 
+def _average(table):
+    """One row of a chunk's rows: their mean by documents."""
+    table = table.sort_by("task")
+    docs = table.column("docs").to_numpy()
+    mean = sum(np.frombuffer(v.as_buffer(), np.float32) * n for v, n in zip(table.column("values"), docs / docs.sum()))
+    return pa.table({"chunk": table.column("chunk")[:1], "task": table.column("task")[:1], "docs": pa.array([docs.sum()], pa.int64()),
+                     "values": pa.array([T.pack(mean.astype(np.float32))], pa.binary())})
+
+
+PARAMETER_ROWS = "chunk int, task int, docs long, values binary"
+
+
+def _trained(model, rows: DataFrame, nth: int) -> None:
+    """One round over all rows (toxic, text). The driver receives one model."""
+    tasks = rows.mapInArrow(_round(model, nth), PARAMETER_ROWS)
+    some = tasks.groupBy("chunk", (F.col("task") % 32).alias("share")).applyInArrow(_average, PARAMETER_ROWS)
+    got = some.groupBy("chunk").applyInArrow(_average, PARAMETER_ROWS).select("chunk", "values").toArrow().sort_by("chunk")
+    flat = T.unpack(got.column("values"), np.float32)
+    at = 0
+    for k, v in model.net.p.items():
+        model.net.p[k] = flat[at:at + v.size].reshape(v.shape).copy()
+        at += v.size
+
+
 def _highest(model):
-    """(doc, label, logit) of the sampled texts that have words, by all their windows."""
+    """(toxic, logit) of the texts that have words, by all their windows."""
     def run(batches):
         for batch in batches:
             best = np.empty(batch.num_rows)
-            for lo, hi, data, offsets in T.text_batches(batch.column(2), 1 << 20):
+            for lo, hi, data, offsets in T.text_batches(batch.column(1), 1 << 20):
                 best[lo:hi] = model.highest(T.lower_ascii(data), offsets)
-            out = pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.int32()), pa.array(best)],
-                                             ["doc", "label", "logit"])
+            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(best)], ["toxic", "logit"])
             yield out.filter(pa.array(np.isfinite(best)))
     return run
 
 
+def _threshold(best: DataFrame) -> float:
+    """The logit with the fewest errors over all rows (toxic, logit), in the middle of the widest gap that has it.
+
+    Errors are summed in Spark within cells of the logits; the driver sums those of the cells. A logit is
+    bounded by the output weights, so the cells are bounded too."""
+    rows = best.select("toxic", "logit", F.floor(F.col("logit") * CELLS).alias("cell"))
+    cells = (rows.groupBy("cell").agg(F.sum("toxic").alias("positive"), F.count(F.lit(1)).alias("n"), F.min("logit").alias("least"))
+             .orderBy("cell").toArrow())
+    cell, positive, n, least = (cells.column(c).to_numpy() for c in ("cell", "positive", "n", "least"))
+    clean = int((n - positive).sum())
+    # Errors of a threshold below each cell.
+    below = np.cumsum(positive) - positive + clean - (np.cumsum(n - positive) - (n - positive))
+    nexts = [*least[1:].tolist(), None]
+    known = best.sparkSession.createDataFrame(list(zip(cell.tolist(), below.tolist(), nexts)), "cell long, below long, after double")
+    each = rows.groupBy("cell", "logit").agg(F.sum(2 * F.col("toxic") - 1).alias("change"))
+    order = Window.partitionBy("cell").orderBy("logit")
+    after = F.coalesce(F.lead("logit").over(order), F.col("after"))
+    cut = (each.join(F.broadcast(known), "cell")
+           .select("logit", after.alias("after"), (F.col("below") + F.sum("change").over(order)).alias("errors"))
+           .select("errors", F.coalesce(F.col("after") - F.col("logit"), F.lit(1.0)).alias("width"),
+                   F.coalesce((F.col("after") + F.col("logit")) / 2, F.col("logit") + 1).alias("cut"))
+           .orderBy("errors", F.desc("width"), "cut").first())
+    all_toxic = (clean, -1.0, float(least[0]) - 1)
+    return min(all_toxic, (cut["errors"], -cut["width"], cut["cut"]))[2]
+
+
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Toxicity | None:
-    """A model of ``SAMPLE`` labelled documents of each class at most (the smallest by
-    a hash of the id), held-out ids left out; None where a class has no document.
-    Several labels of one id count as toxic if one does; null ids and labels are left out."""
+    """A model of all labelled documents, held-out ids left out; None where a class has no
+    document with words. Several labels of one id count as toxic if one does; null ids and labels
+    are left out. Rows that share a labelled id are documents of their own.
+
+    The driver receives at most WORDS and GRAMS counted evidence, the parameters and the sums of cells."""
     known = (labels.where(F.col(key).isNotNull() & F.col("toxic").isNotNull() & ~held_out(key))
-             .groupBy(key).agg(F.max("toxic").cast("int").alias("toxic")))
-    picked = [known.where(F.col("toxic") == c).orderBy(F.xxhash64(key), key).limit(SAMPLE) for c in (0, 1)]
-    # At most 2 * SAMPLE ids: a proven bound for the broadcast.
-    chosen = F.broadcast(picked[0].unionByName(picked[1]))
-    rows = stage(docs.select(F.col(key), F.col(text)).join(chosen, key).select(key, "toxic", text), "toxicity_sample")
-    model = None
-    for _ in range(2):  # the second time with the most toxic of all windows, as the first model sees them
-        # The windows are bounded by SAMPLE, SAMPLE_WINDOWS and WINDOW: one task fits the model.
-        got = (rows.mapInArrow(_sample_windows(model), "doc long, label int, words binary").groupBy(F.lit(0).alias("sample"))
-               .applyInArrow(_fit, "model binary").collect())
-        if not got:
-            return None
-        model = Toxicity.from_state(bytes(got[0]["model"]))
-    # At most 2 * SAMPLE rows.
-    best = rows.mapInArrow(_highest(model), "doc long, label int, logit double").groupBy("doc").agg(
-        F.max("label").alias("label"), F.max("logit").alias("logit")).toArrow()
-    model.set_cut(best.column("logit").to_numpy(), best.column("label").to_numpy() == 1)
+             .groupBy(key).agg((F.max("toxic") == 1).cast("int").alias("toxic")))
+    parts = max(1, math.ceil(known.count() / PER_TASK), math.ceil(docs.count() / (8 * PER_TASK)))
+    texts = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull() & ~held_out(key)).select(F.col(key), F.col(text).alias("text"))
+    # In the order of a hash, so that each run learns in the same order.
+    rows = stage(texts.repartition(parts, key).join(known.repartition(parts, key).hint("shuffle_hash"), key)
+                 .sortWithinPartitions(F.xxhash64(key), key, "text").select("toxic", "text"), "toxicity_texts")
+    counts = stage(rows.mapInArrow(_counts, "kind int, hash long, held long, positive long").groupBy("kind", "hash")
+                   .agg(F.sum("held").alias("held"), F.sum("positive").alias("positive")), "toxicity_counts")
+    total = counts.where(F.col("kind") == DOCUMENT).first()
+    if total is None or total["positive"] in (0, total["held"]):
+        return None
+    size = total["positive"], total["held"]
+    model = Toxicity(*_telling(counts, WORD, *size, WORDS), *_telling(counts, GRAM, *size, GRAMS), *size)
+    for nth in range(ROUNDS):
+        _trained(model, rows, nth)
+    model.shift = _threshold(stage(rows.mapInArrow(_highest(model), "toxic int, logit double"), "toxicity_logits"))
     return model
 
 
-def _fit(table):
-    """The trained model's state as one row; no row where a class has no document."""
-    table = table.sort_by([("doc", "ascending"), ("words", "ascending")])
-    ids, owner = np.unique(table.column("doc").to_numpy(), return_inverse=True)
-    positive = np.zeros(len(ids), bool)
-    positive[owner] = table.column("label").to_numpy() == 1
-    if positive.all() or not positive.any():
-        return pa.table({"model": pa.array([], pa.binary())})
-    return pa.table({"model": pa.array([Toxicity(table.column("words").to_pylist(), owner, positive).state()], pa.binary())})
-
-
 def _scorer(model):
     def run(batches):
         for batch in batches:
@@ -464,7 +603,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     """One row per document: key, held_out, score (0 to 1), predicted.
 
     Whole texts are read, in overlapping windows. A text without words (null
-    included) gets the sample's rate of toxic documents, below one half. Without labels of both
+    included) gets the rate of toxic documents learned from, below one half. Without labels of both
     classes nothing can be learned and every score is 0. Repeated rows stay."""
     model = train(docs, labels, key, text)
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))

@@ -484,6 +484,63 @@ def test_toxicity_of_long_texts(spark, monkeypatch):
     assert ((score > 0) != toxic)[taught].sum() == ((score > M.Toxicity._cut(score[taught], toxic[taught])) != toxic)[taught].sum()
 
 
+def test_toxicity_learns_from_all_labelled_texts(spark, monkeypatch):
+    """Counts, training and the threshold take every labelled document that is not held out."""
+    from hearth.llm import toxicity as M
+    rng = random.Random(6)
+    made = [(i, prose(rng, 7) + (" zork" if i % 2 else "") + (f" rare{i // 4}" if i % 50 < 4 else "")) for i in range(6000)]
+    taught = {i: t for i, t in made if zlib.crc32(str(i).encode()) % 5 != 0}
+    staged, stage = {}, M.stage
+
+    def spy(frame, name):
+        staged[name] = stage(frame, name)
+        return staged[name]
+    monkeypatch.setattr(M, "stage", spy)
+    model = M.train(spark.createDataFrame(rows(made), DOC_SCHEMA), spark.createDataFrame([(i, i % 2) for i, _ in made], "doc_id long, toxic int"))
+    assert [f.count() for f in staged.values() if "text" in f.columns] == [len(taught)]
+    held = {}
+    for i, t in taught.items():
+        for w in set(t.split()):
+            n, p = held.get(w, (0, 0))
+            held[w] = n + 1, p + i % 2
+    words = sorted(held)
+    data = np.frombuffer("".join(words).encode(), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    hashes = M.T.hash_spans(data, ends - [len(w) for w in words], ends).view(np.int64).tolist()
+    counted = {r["hash"]: (r["held"], r["positive"]) for r in staged["toxicity_counts"].where(F.col("kind") == M.WORD).collect()}
+    assert counted == {h: held[w] for h, w in zip(hashes, words)}
+    logit = np.array([r["logit"] for r in staged["toxicity_logits"].select("logit").collect()])
+    assert len(logit) == len(taught)
+    score = np.array([model.score(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0] for t in taught.values()])
+    assert ((score > 0) != np.array([i % 2 == 1 for i in taught])).sum() == 0
+
+
+@pytest.mark.parametrize("digits", [1, 6])
+def test_toxicity_threshold_equals_all_thresholds(spark, digits):
+    from hearth.llm import toxicity as M
+    r = np.random.default_rng(digits)
+    toxic = r.random(400) < 0.3
+    logit = np.round(r.standard_normal(400) + 2 * toxic, digits)
+    cut = M._threshold(spark.createDataFrame([(int(t), float(v)) for t, v in zip(toxic, logit)], "toxic int, logit double"))
+    values = np.unique(logit)
+    edges = [values[0] - 1, *(values[1:] + values[:-1]) / 2, values[-1] + 1]
+    width = [1, *np.diff(values), 1]
+    errors = [((logit > e) != toxic).sum() for e in edges]
+    best = min(range(len(edges)), key=lambda k: (errors[k], -width[k], edges[k]))
+    assert cut == pytest.approx(edges[best]) and ((logit > cut) != toxic).sum() == errors[best]
+    if digits == 6:
+        assert cut == pytest.approx(M.Toxicity._cut(logit, toxic))
+
+
+def test_fast_logits_equal_the_forward_pass():
+    from hearth.llm import toxicity as M
+    net, r = M.Net(2), np.random.default_rng(1)
+    xw = net.project(r.standard_normal((50, 2 * M.EMBED)).astype(np.float32))
+    index = r.integers(0, 50, (30, M.WINDOW))
+    index[::3, 20:] = 50
+    assert np.allclose(net.logits(net.gates(xw), index), net.forward(xw, index), atol=1e-5)
+
+
 def test_recurrent_gradients():
     from hearth.llm import toxicity as M
     net, r = M.Net(1), np.random.default_rng(0)
