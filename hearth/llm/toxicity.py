@@ -26,11 +26,13 @@ from hearth.session import stage
 WINDOW, STRIDE = 64, 32   # words of a window, words between window starts
 HIDDEN, EMBED, ATTEND = 8, 12, 8
 WORDS, GRAMS = 4096, 8192  # learned word and n-gram vectors; others share vector 0
-SAMPLE_WINDOWS = 2        # windows that a clean document gives to a round, its most toxic; a toxic one gives its most toxic
-ROUNDS = 3                # of training and averaging
+SAMPLE_WINDOWS = 1        # windows that a clean document gives to a round, its most toxic; a toxic one gives its most
+#                           toxic: the one whose logit is the document's
+ROUNDS = 2                # of training and averaging: after counted evidence, then by the network
 BATCH, STEPS = 256, 80    # windows of an update; a task's updates in all rounds, at least
 PER_TASK = 4096           # labelled documents of one training task, on average
 BLOCK = 8192              # documents whose chosen windows a task holds at once
+TABLE = 1 << 23           # marks of things in documents at once
 PER_FLUSH = 500_000       # counted words and n-grams that a task holds at once
 CHUNK = 4096              # parameters of a row that is averaged
 CELLS = 1024              # cells of a logit in which the threshold's errors are summed
@@ -108,12 +110,14 @@ class Net:
             "wa": g(2 * h, ATTEND), "va": g(ATTEND, 1)[:, 0], "wo": g(2 * h, 1)[:, 0], "bo": np.zeros(1, np.float32)}
 
     def inputs(self, word_ids, gram_ids, gram_owner, count):
-        """The input vector of each distinct word, from its known n-grams and its number of all."""
-        n = len(word_ids)
-        x = np.empty((n, 2 * EMBED), np.float32)
+        """The input vector of each distinct word, from its known n-grams (in the order of their words)
+        and its number of all."""
+        x = np.zeros((len(word_ids), 2 * EMBED), np.float32)
         x[:, :EMBED] = self.p["word"][word_ids]
-        for d in range(EMBED):
-            x[:, EMBED + d] = np.bincount(gram_owner, weights=self.p["gram"][gram_ids, d], minlength=n) / count
+        if len(gram_owner):
+            heads = np.flatnonzero(np.concatenate([[True], gram_owner[1:] != gram_owner[:-1]]))
+            own = gram_owner[heads]
+            x[own, EMBED:] = np.add.reduceat(self.p["gram"][gram_ids], heads, axis=0) / count[own, None]
         return x
 
     def evidence(self, word_ids, gram_ids, gram_owner, count):
@@ -207,9 +211,9 @@ class Net:
         d_out = a[..., None] * d_pooled
         d_a = np.einsum("tbh,bh->tb", out, d_pooled)
         d_e = a * (d_a - (a * d_a).sum(0))
-        g["va"] = np.einsum("tba,tb->a", tied, d_e)
+        g["va"] = d_e.ravel() @ tied.reshape(-1, tied.shape[2])
         d_tied = d_e[..., None] * p["va"] * (1 - tied ** 2)
-        g["wa"] = np.einsum("tbh,tba->ha", out, d_tied)
+        g["wa"] = out.reshape(-1, 2 * h).T @ d_tied.reshape(-1, d_tied.shape[2])
         d_out += d_tied @ p["wa"].T
         steps = index.shape[1]
         g["uzr"], g["un"] = np.zeros_like(p["uzr"]), np.zeros_like(p["un"])
@@ -236,9 +240,9 @@ class Net:
             heads = np.flatnonzero(np.concatenate([[True], rows[order][1:] != rows[order][:-1]]))
             d_xw[way][rows[order][heads]] = np.add.reduceat(d_gate[:, way].reshape(len(rows), -1)[order], heads)
         d_xw = d_xw[:, :-1]
-        g["wx"] = np.einsum("nx,dng->dxg", x, d_xw)
+        g["wx"] = x.T @ d_xw
         g["bx"] = d_xw.sum(1, keepdims=True)
-        d_x = np.einsum("dng,dxg->nx", d_xw, p["wx"])
+        d_x = d_xw[0] @ p["wx"][0].T + d_xw[1] @ p["wx"][1].T
         return logit, g, d_x
 
 
@@ -256,7 +260,8 @@ class Read:
         self.padded = np.append(which, len(self.hashes))
         gram_hash, owner = grams_of(data, starts[at], ends[at])
         gram_ids = vocabulary.gram_ids(gram_hash)
-        known = gram_ids > 0
+        known = np.flatnonzero(gram_ids)
+        known = known[np.argsort(owner[known], kind="stable")]
         self.words = (vocabulary.word_ids(self.hashes), gram_ids[known], owner[known],
                       np.maximum(np.bincount(owner, minlength=len(at)), 1).astype(np.float32))
 
@@ -323,11 +328,18 @@ def held_out(key: str):
 WORD, GRAM, DOCUMENT = 0, 1, 2  # kinds of counted things
 
 
-def _held(which, owner, positive, n):
-    """(documents that hold each of ``n`` things, the positive ones among them) of (thing, document) pairs."""
-    code = np.unique(which * np.int64(len(positive)) + owner)
-    thing, doc = code // len(positive), code % len(positive)
-    return np.bincount(thing, minlength=n), np.bincount(thing, weights=positive[doc], minlength=n).astype(np.int64)
+def _held(things, docs, positive, n):
+    """(documents that hold each of ``n`` things, the positive ones among them); ``things`` are those
+    of each of ``docs``, which come in order. Marked in a table, some documents at a time."""
+    held, told = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    step = max(1, TABLE // max(n, 1))
+    for lo in range(0, len(positive), step):
+        mine = slice(*np.searchsorted(docs, [lo, lo + step]))
+        marks = np.zeros((min(step, len(positive) - lo), n), bool)
+        marks[docs[mine] - lo, things[mine]] = True
+        held += marks.sum(0)
+        told += marks[positive[lo:lo + step]].sum(0)
+    return held, told
 
 
 def _sum_by(names, *counts):
@@ -360,8 +372,10 @@ def _counts(batches):
             if not len(starts):
                 continue
             hashes, at, which = np.unique(T.hash_spans(data, starts, ends), return_index=True, return_inverse=True)
-            code = np.unique(which * np.int64(hi - lo) + np.repeat(np.arange(hi - lo), np.diff(first)))
-            word, doc = code // (hi - lo), code % (hi - lo)
+            # The distinct words of each document, by document.
+            code = np.sort(np.repeat(np.arange(hi - lo) * np.int64(len(hashes)), np.diff(first)) + which)
+            code = code[np.concatenate([[True], code[1:] != code[:-1]])]
+            doc, word = code // len(hashes), code % len(hashes)
             parts[WORD].append((hashes, *_held(word, doc, positive, len(hashes))))
             gram_hash, owner = grams_of(data, starts[at], ends[at])
             grams, gram = np.unique(gram_hash, return_inverse=True)
@@ -446,7 +460,6 @@ def _chosen(model, data, offsets, positive, evidence):
     at[real] = np.arange(len(real))
     word_ids, gram_ids, gram_owner, count = read.words
     mine = np.flatnonzero(at[gram_owner] >= 0)
-    mine = mine[np.argsort(at[gram_owner[mine]], kind="stable")]
     return (read.hashes[real], (word_ids[real], gram_ids[mine].astype(np.uint16), at[gram_owner[mine]], count[real]),
             np.where(local[:-1] < len(real), local[:-1], -1).reshape(-1, WINDOW).astype(np.int32), positive[read.text[rows]])
 
@@ -461,8 +474,10 @@ def _joined(parts):
     place = np.full(base[-1], -1)
     place[at] = np.arange(len(at))  # a word's n-grams are taken from the first slice that has it
     owner = np.concatenate([place[p[1][2] + b] for p, b in zip(parts, base)])
-    grams = np.concatenate([p[1][1] for p in parts])[owner >= 0].astype(np.int64)
-    return (word_ids, grams, owner[owner >= 0], count), index, np.concatenate([p[3] for p in parts]).astype(np.float32)
+    grams = np.concatenate([p[1][1] for p in parts]).astype(np.int64)
+    mine = np.flatnonzero(owner >= 0)
+    mine = mine[np.argsort(owner[mine], kind="stable")]
+    return (word_ids, grams[mine], owner[mine], count), index, np.concatenate([p[3] for p in parts]).astype(np.float32)
 
 
 def _round(model, nth, seed=0):
