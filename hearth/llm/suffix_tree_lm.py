@@ -152,15 +152,26 @@ def part_of_pair(parts: int) -> np.ndarray:
     return np.arange(PAIRS) * 2654435761 % (1 << 32) * parts >> 32
 
 
-def _ngram_counts(symbol, parts, block=2_000_000):
-    """(part, codes, counts): n-gram counts of a partition, dealt by the two nearest context symbols."""
+def _ngram_counts(symbol, parts, block=500_000):
+    """(part, codes, counts): n-gram counts of a partition, dealt by the two nearest context symbols.
+    Sent in batches of about ``block`` counts, so that neither side holds all of a partition's as one batch."""
     part = part_of_pair(parts)
 
-    def packed(codes, counts):
-        rows = [(g, T.pack(c), T.pack(k)) for g, (c, k) in T.split_packed(part[(codes >> BITS) & (PAIRS - 1)], parts, codes, counts)]
+    def batch_of(rows):
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()),
                                            pa.array([r[2] for r in rows], pa.binary())], ["part", "codes", "counts"])
 
+    def packed(codes, counts):
+        rows, size = [], 0
+        for g, (c, k) in T.split_packed(part[(codes >> BITS) & (PAIRS - 1)], parts, codes, counts):
+            rows.append((g, T.pack(c), T.pack(k)))
+            size += len(c)
+            if size >= block:
+                yield batch_of(rows)
+                rows, size = [], 0
+        if rows:
+            yield batch_of(rows)
+
     def run(batches):
         held, size, done = [], 0, (np.zeros(0, np.int64), np.zeros(0, np.int64))
         for batch in batches:
@@ -174,13 +185,13 @@ def _ngram_counts(symbol, parts, block=2_000_000):
                     done = _merge(np.concatenate([done[0], new[0]]), np.concatenate([done[1], new[1]]))
                     held, size = [], 0
                 if len(done[0]) >= PER_FRAGMENT:
-                    yield packed(*done)
+                    yield from packed(*done)
                     done = (done[0][:0], done[1][:0])
         if held:
             new = np.unique(np.concatenate(held), return_counts=True)
             done = _merge(np.concatenate([done[0], new[0]]), np.concatenate([done[1], new[1]]))
         if len(done[0]):
-            yield packed(*done)
+            yield from packed(*done)
     return run
 
 

@@ -323,6 +323,32 @@ def test_suffix_tree_is_a_distribution():
     assert np.array_equal(L.from_planes(L.planes(code), np.int64), code)
 
 
+def test_ngram_counts_leave_in_small_batches():
+    """A partition's counts are complete, and no batch holds them all."""
+    from hearth.llm import suffix_tree_lm as L
+    rng = random.Random(3)
+    made = ["".join(rng.choice("abcdefgh ") for _ in range(3000)) for _ in range(40)]
+    symbol, _ = L.alphabet(np.bincount(np.frombuffer("".join(made).encode(), np.uint8), minlength=256))
+    batch = pa.RecordBatch.from_arrays([pa.array(made)], ["text"])
+    got, largest = collections.Counter(), 0
+    for b in L._ngram_counts(symbol, 64, block=5000)([batch]):
+        size = 0
+        for codes, counts in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            got.update(dict(zip(np.frombuffer(codes, np.int64).tolist(), np.frombuffer(counts, np.int64).tolist())))
+            size += len(codes) // 8
+        largest = max(largest, size)
+    want = collections.Counter()
+    for t in made:
+        text = [L.END] * L.DEPTH + [int(symbol[ord(c)]) for w in t.split() for c in w + " "] + [L.END]
+        text = [L.BLANK if v == symbol[ord(" ")] else v for v in text]
+        for i in range(L.DEPTH, len(text)):
+            code = 0
+            for v in text[i - L.DEPTH:i + 1]:
+                code = code << L.BITS | v
+            want[code] += 1
+    assert got == want and largest < 10_000 < len(want)
+
+
 def test_suffix_tree_cache_changes_no_score(spark, docs):
     """The score is the same with nothing, little or everything cached, and by a plain walk of the whole
     tree; a context that stands a fixed number of times is there whatever the size of the corpus."""
